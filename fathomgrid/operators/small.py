@@ -1,0 +1,22 @@
+"""Broadcast only what was measured to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when `df` has at most `max_rows` rows.
+
+    A small frame is kept after it was counted, so it is computed once. Beyond the limit the
+    frame is returned as it was: Spark then shuffles both sides and splits skewed partitions at
+    run time.
+    """
+    kept = df.persist()
+    if kept.count() <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df
