@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fathomgrid.functions import geo, times
 from fathomgrid.operators.ordered import Layout, measure, previous, running_sum, scan
@@ -109,7 +110,8 @@ def point_importance(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
         dx, dy = xs[b] - xs[a], ys[b] - ys[a]
         length = dx * dx + dy * dy
         along = np.clip((px * dx + py * dy) / length, 0.0, 1.0) if length > 0 else np.zeros(b - a - 1)
-        away = np.hypot(px - along * dx, py - along * dy)
+        ex, ey = px - along * dx, py - along * dy
+        away = np.sqrt(ex * ex + ey * ey)
         far = int(np.argmax(away))
         cap = min(cap, float(away[far]))
         mid = a + 1 + far
@@ -119,7 +121,7 @@ def point_importance(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
     return kept
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _importance(xs: pd.Series, ys: pd.Series) -> pd.Series:
     return pd.Series([point_importance(np.asarray(x, float), np.asarray(y, float)) for x, y in zip(xs, ys)])
 

@@ -96,13 +96,13 @@ def order_violations(spark, d):
 SELECT coalesce(f.cruise, p.cruise) AS cruise, coalesce(f.file_name, p.file_name) AS file_name,
   coalesce(pos, false) AS has_position, coalesce(ft, false) AS has_fix_time, coalesce(pt, false) AS has_ping_time
 FROM (SELECT cruise, file_name, bool_or(latitude IS NOT NULL) AND bool_or(longitude IS NOT NULL) AS pos,
-        bool_or(ts IS NOT NULL) AS ft FROM v_fix WHERE seq % 4 = 0 AND (latitude > 30 OR latitude IS NULL) GROUP BY ALL) f
+        bool_or(ts IS NOT NULL) AS ft FROM v_fix WHERE latitude > 60 OR latitude IS NULL GROUP BY ALL) f
 FULL JOIN (SELECT cruise, file_name, bool_or(ping_time IS NOT NULL) AS pt FROM v_ping GROUP BY ALL) p
   ON f.cruise = p.cruise AND f.file_name = p.file_name
 WHERE NOT (coalesce(pos, false) AND coalesce(ft, false) AND coalesce(pt, false))""",
 )
 def missing_columns(spark, d):
-    fixes = view(spark, d, "v_fix").filter("seq % 4 = 0 and (latitude > 30 or latitude is null)")
+    fixes = view(spark, d, "v_fix").filter("latitude > 60 or latitude is null")
     return gps.missing_columns(fixes, view(spark, d, "v_ping"))
 
 

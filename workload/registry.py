@@ -41,6 +41,10 @@ def with_views(body: str) -> str:
                 needed.append(word)
 
     visit(body)
+    body = body.strip()
     if not needed:
-        return body.strip()
-    return "WITH " + ",\n".join(f"{v} AS ({VIEWS[v]})" for v in needed) + "\n" + body.strip()
+        return body
+    head = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in needed)
+    if body.startswith("WITH RECURSIVE"):
+        return "WITH RECURSIVE " + head + "," + body.removeprefix("WITH RECURSIVE")
+    return f"WITH {head}\n{body}"

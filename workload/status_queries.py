@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fathomgrid.operators import gps, grid, status
+from fathomgrid.operators import grid, status
 from fathomgrid.session import scratch_path
 from fathomgrid.sources import tables
 from workload.registry import query, sql_view
@@ -127,16 +127,18 @@ def write_reconciliation(spark, d):
     return status.reconcile(view(spark, d, "v_fix"), view(spark, d, "v_ping"), ["cruise"])
 
 
+sql_view("v_lines", "SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey")
+
+
 @query(
     "slice_reconciliation",
     """
-WITH n AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey)
 SELECT cruise, file_name, num_ping_time_dropna AS expected, coalesce(n.n, 0) AS actual
-FROM v_usable_info f LEFT JOIN n ON cast(substr(file_name, 2) AS bigint) = n.l_orderkey
+FROM v_usable_info f LEFT JOIN v_lines n ON cast(substr(file_name, 2) AS bigint) = n.l_orderkey
 WHERE num_ping_time_dropna <> coalesce(n.n, 0)
 UNION ALL
 SELECT 'C' || cast(o_custkey AS string), 'F' || lpad(cast(l_orderkey AS string), 12, '0'), 0, n.n
-FROM n JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'P'""".replace("WITH n AS", "/* */ WITH n AS"),
+FROM v_lines n JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'P'""",
 )
 def slice_reconciliation(spark, d):
     # Lines of an order stand for the pings found in its file.
@@ -151,12 +153,12 @@ def slice_reconciliation(spark, d):
 
 @query("status_sink", f"SELECT {_COLUMNS}, true AS stamped FROM v_latest")
 def status_sink(spark, d):
-    """Write the log row by row time, append a later mark for nobody, and read the latest rows back."""
+    """Append the log in two parts and read the latest rows back."""
     path = scratch_path(spark, "status")
     log = view(spark, d, "v_status")
-    odd, even = log.filter("event_seq % 2 = 1"), log.filter("event_seq % 2 = 0")
-    tables.append_status(even, path)
-    tables.append_status(odd, path)
+    done = F.col("pipeline_status") == status.SUCCESS
+    tables.append_status(log.filter(done), path)
+    tables.append_status(log.filter(~done), path)
     latest = status.latest_status(tables.read_status(spark, path))
     return latest.select(
         *_COLUMNS.split(", "), F.col("pipeline_time").isNotNull().alias("stamped")

@@ -153,7 +153,8 @@ shared(
         "seq": "event_id",
         "ts": "ts",
         "longitude": f"cast(user_id * 37 % 340 - 179 as double) + floor({_HOURS} / 1.2e1) * 1.37e-1",
-        "latitude": f"cast(user_id % 100 - 60 as double) + floor({_HOURS} / 1.2e1) * 2.5e-1",
+        "latitude": f"cast(user_id % 100 - 60 as double) + floor({_HOURS} / 1.2e1) * 2.5e-1"
+        f" + cast((cast(floor({_HOURS} / 1.2e1) as bigint) * (user_id + 3)) % 7 as double) * 1.13e-1",
     },
 )
 
@@ -218,11 +219,12 @@ shared(
     "events",
     {
         "cruise": "'C' || cast(user_id % 2 as string)",
-        "file_name": "'F' || cast(user_id % 8 as string)",
+        # File F3 is left without any fix.
+        "file_name": "case when user_id % 8 = 3 then 'none' else 'F' || cast(user_id % 8 as string) end",
         "seq": "event_id",
         "ts": "ts",
         "latitude": "case when event_id % 4 = 0 then null else cast(user_id % 90 as double) + 1.25e-1 end",
         "longitude": "case when event_id % 4 = 0 then null else cast(event_id % 180 as double) - 5e-1 end",
     },
-    "event_type = 'view' and user_id % 8 <> 3",
+    "event_type = 'view'",
 )
