@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomgrid import schemas
-from fathomgrid.operators.small import broadcast_if_small
 from fathomgrid.operators.status import FAILURE
 
 # Log texts that mark a killed or an overdue run.
@@ -47,6 +46,7 @@ def fan_out(requests: DataFrame, files: DataFrame) -> DataFrame:
     Requests are few and files many per cruise; the side to ship is Spark's choice at run time.
     """
     listed = files.select(
+        *[c for c in ("key",) if c in files.columns],
         F.col("ship").alias("ship_name"), F.col("cruise").alias("cruise_name"),
         F.col("sensor").alias("sensor_name"), F.col("filename").alias("file_name"),
     )
@@ -100,7 +100,3 @@ def classify_log_lines(lines: DataFrame, text: str = "line") -> DataFrame:
         .withColumn("pipeline_status", F.lit(FAILURE))
     )
 
-
-def request_lookup(requests: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Requests with matching static rows, the static side broadcast when measured small."""
-    return requests.join(broadcast_if_small(keys), on)
