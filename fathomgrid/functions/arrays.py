@@ -1,4 +1,4 @@
-"""Row-local array expressions: rounding, axes, sample statistics, nearest-sample regridding.
+"""Row-local array expressions: rounding, axes, sample statistics.
 
 Arrays stay inside their row, so none of these shuffles or explodes samples. `bind` gives a
 computed array a name inside one expression; without it a lambda that mentions the array
@@ -98,108 +98,3 @@ def largest(xs: Column) -> Column:
 
 def all_missing(xs: Column) -> Column:
     return F.forall(xs, lambda x: x.isNull() | F.isnan(x))
-
-
-def _samples(ranges: Column, values: Column) -> Column:
-    """(depth, position, value) sorted by depth; unusable depths dropped, first of equal depths kept."""
-    zipped = F.transform(
-        F.arrays_zip(ranges.alias("x"), values.alias("y")),
-        lambda s, i: F.struct(s["x"].cast("double").alias("x"), i.alias("i"), s["y"].alias("y")),
-    )
-    usable = F.filter(zipped, lambda s: s["x"].isNotNull() & ~F.isnan(s["x"]))
-    ordered = F.array_sort(usable)
-    return bind(
-        ordered,
-        lambda z: F.filter(z, lambda s, i: (i == 0) | (s["x"] != F.get(z, F.greatest(i - 1, F.lit(0)))["x"])),
-    )
-
-
-def nearest_on_axis(
-    ranges: Column, values: Column, max_depth: Column, bins: Column, element: str = "float"
-) -> Column:
-    """Value of the nearest sample for every bin of a regular depth axis.
-
-    A bin half-way between two samples takes the shallower one; bins above the first or below
-    the last sample are null. The axis runs from 0 to `max_depth` in `bins` points. Each sample
-    owns a run of consecutive bins, so the result is built from as many runs as samples. Run
-    ends come from a division that is then checked against the bin depths themselves, which
-    makes ties exact.
-    """
-    deepest = single(max_depth)
-    axis = F.struct(
-        (bins.cast("long") - 1).alias("last"),
-        (deepest / F.nullif((bins - 1).cast("double"), F.lit(0.0))).alias("width"),
-        deepest.alias("deepest"),
-        _samples(ranges, values).alias("z"),
-    )
-    missing = F.lit(None).cast(element)
-
-    def bin_depth(a: Column, j: Column) -> Column:
-        return F.when(j <= 0, F.lit(0.0)).when(j == a["last"], a["deepest"]).otherwise(j * a["width"])
-
-    def upto(a: Column, depth: Column) -> Column:
-        """How many bins are not deeper than `depth`."""
-        raw = F.coalesce(F.floor(depth / F.nullif(a["width"], F.lit(0.0))), F.lit(0).cast("long"))
-        near = F.greatest(F.lit(-1).cast("long"), F.least(raw, a["last"]))
-        return bind(
-            near,
-            lambda j: F.when(depth < 0, F.lit(0).cast("long"))
-            .when((j < a["last"]) & (bin_depth(a, j + 1) <= depth), j + 2)
-            .when((j >= 0) & (bin_depth(a, j) > depth), j)
-            .otherwise(j + 1),
-        )
-
-    def below(a: Column, depth: Column) -> Column:
-        """How many bins are shallower than `depth`."""
-        return bind(upto(a, depth), lambda n: F.when((n > 0) & (bin_depth(a, n - 1) == depth), n - 1).otherwise(n))
-
-    def halfway(z: Column, i: Column) -> Column:
-        # Halves are added, as the reference interpolation does.
-        return F.get(z, i)["x"] / 2.0 + F.get(z, i + 1)["x"] / 2.0
-
-    def runs(a: Column) -> Column:
-        z = a["z"]
-        count = F.size(z)
-        ends = F.transform(
-            z,
-            lambda s, i: upto(a, F.when(i + 1 < count, halfway(z, i)).otherwise(s["x"])),
-        )
-        first = below(a, z[0]["x"])
-        return bind(
-            F.struct(z.alias("z"), ends.alias("ends"), first.alias("first")),
-            lambda r: F.concat(
-                F.array_repeat(missing, r["first"].cast("int")),
-                F.flatten(
-                    F.transform(
-                        r["z"],
-                        lambda s, i: F.array_repeat(
-                            s["y"].cast(element),
-                            F.greatest(
-                                F.lit(0).cast("long"),
-                                F.get(r["ends"], i)
-                                - F.when(i == 0, r["first"]).otherwise(
-                                    F.greatest(r["first"], F.get(r["ends"], F.greatest(i - 1, F.lit(0))))
-                                ),
-                            ).cast("int"),
-                        ),
-                    )
-                ),
-                F.array_repeat(
-                    missing,
-                    F.greatest(
-                        F.lit(0).cast("long"),
-                        a["last"] + 1 - F.greatest(r["first"], F.get(r["ends"], F.size(r["ends"]) - 1)),
-                    ).cast("int"),
-                ),
-            ),
-        )
-
-    return F.when(
-        bins > 0,
-        bind(
-            axis,
-            lambda a: F.when(F.size(a["z"]) > 0, runs(a)).otherwise(
-                F.array_repeat(missing, (a["last"] + 1).cast("int"))
-            ),
-        ),
-    )

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomgrid.functions import arrays
+from fathomgrid.functions.regridding import nearest_on_axis
 from fathomgrid.operators.small import broadcast_if_small
 
 TILE = 1024
@@ -18,9 +18,7 @@ TILE = 1024
 def regrid(soundings: DataFrame, grid: DataFrame) -> DataFrame:
     """Depth column `sv` of every sounding on its cruise's axis. Row-local after the grid lookup."""
     axis = grid.select("cruise", "max_depth", "depth_bins")
-    column = arrays.nearest_on_axis(
-        F.col("echo_range"), arrays.nans_to_nulls(F.col("sv")), F.col("max_depth"), F.col("depth_bins")
-    )
+    column = nearest_on_axis("echo_range", "sv", "max_depth", "depth_bins")
     return (
         soundings.join(broadcast_if_small(axis), "cruise")
         .withColumn("sv", column)

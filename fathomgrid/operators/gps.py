@@ -20,6 +20,13 @@ def fixes_without_nan(nmea: DataFrame) -> DataFrame:
     )
 
 
+def measure_series(
+    pings: DataFrame, nmea: DataFrame, keys: Sequence[str] = FILE_KEY, limit: int | None = None
+) -> Layout:
+    """Size of the largest file over both series; it bounds every later step on its pings too."""
+    return measure(pings.select(*keys).unionByName(nmea.select(*keys)), keys, limit)
+
+
 def align_fixes(
     pings: DataFrame,
     nmea: DataFrame,
@@ -56,8 +63,6 @@ def align_fixes(
         "ping_time",
     )
     both = right.unionByName(left)
-    if layout is None:
-        layout = measure(both, keys)
     seen = scan(both, keys, ["__at", "__kind", "__seq"], [last_seen("__last", F.col("__fix"))], layout)
     return seen.filter("__kind = 1").select(
         *keys,

@@ -12,6 +12,8 @@ from fathomgrid.operators.small import broadcast_if_small
 from fathomgrid.operators.tracks import LINE_POINTS, MAX_ZOOM
 
 TILE_KEY = ("z", "x", "y")
+FINEST = 24
+"""Zoom level at which points are projected; a tile at zoom z is that cell shifted by 24 - z bits."""
 
 
 def tile_points(points: DataFrame, max_zoom: int = MAX_ZOOM) -> DataFrame:
@@ -25,38 +27,50 @@ def tile_points(points: DataFrame, max_zoom: int = MAX_ZOOM) -> DataFrame:
     )
 
 
-def at_every_zoom(lines: DataFrame, max_zoom: int = MAX_ZOOM) -> DataFrame:
-    """Unsimplified lines, one copy per zoom level."""
-    return lines.withColumn("z", F.explode(F.sequence(F.lit(0), F.lit(max_zoom))))
+def tile_lines(lines: DataFrame, levels: Sequence[float] | int = MAX_ZOOM) -> DataFrame:
+    """Cut lines into the tiles of every zoom level: one row per line and tile it has points in.
 
+    `levels` is the deepest zoom, or a tolerance per zoom level for lines with an `importance`
+    column: a level then keeps the points whose importance exceeds its tolerance.
 
-def tile_lines(zoomed: DataFrame) -> DataFrame:
-    """Cut lines (with a zoom column `z`) into tiles: one row per line and tile it has points in.
-
-    The cut is row-local: a line has a bounded number of points, so no shuffle is needed.
+    Points are projected once, at the finest zoom; coarser tiles are found by shifting. A line
+    has a bounded number of points and is cut within its row, so nothing is shuffled.
     """
-    located = zoomed.withColumn(
-        "__located",
-        F.transform(
-            "points",
-            lambda p: F.struct(
-                geo.tile_x(p["lon"], F.col("z")).alias("x"),
-                geo.tile_y(p["lat"], F.col("z")).alias("y"),
-                F.struct(p["lon"].alias("lon"), p["lat"].alias("lat")).alias("p"),
-            ),
+    simplified = not isinstance(levels, int)
+    zooms = [
+        F.struct(F.lit(z).alias("z"), F.lit(FINEST - z).alias("up"), F.lit(t).alias("t"))
+        for z, t in enumerate(levels if simplified else [0.0] * (levels + 1))
+    ]
+    weighed = F.arrays_zip(F.col("points").alias("p"), F.col("importance").alias("i")) if simplified else (
+        F.transform("points", lambda p: F.struct(p.alias("p"), F.lit(float("inf")).alias("i")))
+    )
+    projected = F.transform(
+        weighed,
+        lambda q: F.struct(
+            geo.tile_x(q["p"]["lon"], F.lit(FINEST)).alias("x"),
+            geo.tile_y(q["p"]["lat"], F.lit(FINEST)).alias("y"),
+            F.struct(q["p"]["lon"].alias("lon"), q["p"]["lat"].alias("lat")).alias("p"),
+            q["i"].alias("i"),
         ),
     )
-    cells = F.array_distinct(
-        F.transform("__located", lambda q: F.struct(q["x"].alias("x"), q["y"].alias("y")))
+    levelled = lines.withColumn("__at", projected).withColumn("__level", F.explode(F.array(*zooms)))
+    up = F.col("__level.up")
+    placed = F.transform(
+        F.filter("__at", lambda q: q["i"] > F.col("__level.t")),
+        lambda q: F.struct(
+            F.struct(
+                *[F.call_function("shiftright", q[c], up).alias(c) for c in ("x", "y")]
+            ).alias("cell"),
+            q["p"].alias("p"),
+        ),
     )
-    apart = located.withColumn("__cell", F.explode(cells))
-    inside = F.filter(
-        "__located", lambda q: (q["x"] == F.col("__cell.x")) & (q["y"] == F.col("__cell.y"))
+    rest = [c for c in lines.columns if c not in ("points", "importance")]
+    cut = levelled.select(*rest, F.col("__level.z").alias("z"), placed.alias("__at")).select(
+        "*", F.explode(F.array_distinct(F.transform("__at", lambda q: q["cell"]))).alias("__cell")
     )
-    return (
-        apart.withColumn("points", F.transform(inside, lambda q: q["p"]))
-        .withColumns({"x": F.col("__cell.x"), "y": F.col("__cell.y")})
-        .drop("__located", "__cell")
+    inside = F.filter("__at", lambda q: q["cell"] == F.col("__cell"))
+    return cut.select(
+        *rest, "z", "__cell.x", "__cell.y", F.transform(inside, lambda q: q["p"]).alias("points")
     )
 
 

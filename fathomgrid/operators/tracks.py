@@ -144,6 +144,13 @@ def tolerance_at(
     return largest * (smallest / largest) ** (zoom / max_zoom if max_zoom else 1.0)
 
 
+def tolerances(
+    max_zoom: int = MAX_ZOOM, smallest: float = MIN_TOLERANCE, largest: float = MAX_TOLERANCE
+) -> list[float]:
+    """Tolerances of the zoom levels from 0 to `max_zoom`."""
+    return [tolerance_at(z, max_zoom, smallest, largest) for z in range(max_zoom + 1)]
+
+
 def _kept(points: Column, importance: Column, tolerance: Column) -> Column:
     marked = F.filter(
         F.arrays_zip(points.alias("p"), importance.alias("i")), lambda z: z["i"] > tolerance
@@ -169,8 +176,8 @@ def simplify_by_zoom(
     """One simplified line per zoom level from 0 to `max_zoom`."""
     levels = F.array(
         *[
-            F.struct(F.lit(z).alias("z"), F.lit(tolerance_at(z, max_zoom, smallest, largest)).alias("t"))
-            for z in range(max_zoom + 1)
+            F.struct(F.lit(z).alias("z"), F.lit(t).alias("t"))
+            for z, t in enumerate(tolerances(max_zoom, smallest, largest))
         ]
     )
     return (

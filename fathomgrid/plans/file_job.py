@@ -27,11 +27,14 @@ class FileStage:
 
 def violations(nmea: DataFrame, pings: DataFrame) -> DataFrame:
     """Files that break a rule, one row each with the sorted reasons."""
+    layout = gps.measure_series(pings, nmea)
     checks = {
         "coordinates missing": gps.missing_columns(nmea, pings),
         "positions out of bounds": gps.bounds_violations(nmea),
-        "fix times not sorted": gps.order_violations(nmea),
-        "ping times not sorted": gps.order_violations(pings, position="ping_idx", ts="ping_time"),
+        "fix times not sorted": gps.order_violations(nmea, layout=layout),
+        "ping times not sorted": gps.order_violations(
+            pings, position="ping_idx", ts="ping_time", layout=layout
+        ),
     }
     found = [rows.select(*FILE, F.lit(reason).alias("reason")) for reason, rows in checks.items()]
     everything = reduce(DataFrame.unionByName, found).distinct()
@@ -43,7 +46,8 @@ def file_stage(nmea: DataFrame, pings: DataFrame, soundings: DataFrame) -> FileS
     fixes = gps.fixes_without_nan(nmea)
     broken = violations(fixes, pings)
     sound = lambda df: df.join(broken.select(*FILE), FILE, "left_anti")
-    aligned = gps.align_fixes(sound(pings), sound(fixes))
+    layout = gps.measure_series(pings, fixes)
+    aligned = gps.align_fixes(sound(pings), sound(fixes), layout=layout)
     # Statistics are per file, so failed files are dropped after the wide rows were reduced.
     stats = sound(filestats.recorded_ranges(filestats.file_statistics(soundings)))
     counts = gps.valid_counts(aligned)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from fathomgrid.operators import tiles, tracks
+from fathomgrid.operators.ordered import measure
 
 
 @dataclass(frozen=True)
@@ -27,10 +28,14 @@ def map_stage(
     geohash_precision: int = 5,
 ) -> MapStage:
     """Lines, tiles and cells of `points`: cruise, ts, seq, longitude, latitude."""
-    split = tracks.split_tracks(points, gap_ms)
-    lines = tracks.assemble(tracks.track_points(split, precision), line_points)
-    zoomed = tracks.simplify_by_zoom(lines, max_zoom, smallest, largest)
-    return MapStage(lines, tiles.tile_lines(zoomed), tiles.geohash_cells(points, geohash_precision))
+    # Segments are never larger than their track, so one measurement serves all steps.
+    layout = measure(points, ["cruise"])
+    split = tracks.split_tracks(points, gap_ms, layout=layout)
+    lines = tracks.assemble(tracks.track_points(split, precision, layout=layout), line_points)
+    tile_rows = tiles.tile_lines(
+        tracks.with_importance(lines), tracks.tolerances(max_zoom, smallest, largest)
+    )
+    return MapStage(lines, tile_rows, tiles.geohash_cells(points, geohash_precision))
 
 
 def publish(stage: MapStage, existing_tiles: DataFrame | None = None) -> DataFrame:

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Rows that carry sample arrays go to Python workers in batches of tens of megabytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # Streaming keys are kept off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,13 +26,9 @@ def parse_messages(notifications: DataFrame, value: str = "value") -> DataFrame:
     """
     outer = F.from_json(F.col(value), schemas.NOTIFICATION)
     text = F.try_element_at(outer["Records"], F.lit(1))["Sns"]["Message"]
-    opened = notifications.withColumn("__m", F.from_json(text, schemas.STAGE_MESSAGE))
-    complete = F.lit(True)
-    for field in FIELDS:
-        complete = complete & F.col(f"__m.{field}").isNotNull()
-    return opened.withColumns(
-        {**{f: F.col(f"__m.{f}") for f in FIELDS}, "valid": F.coalesce(complete, F.lit(False))}
-    ).drop("__m")
+    # Opened by a generator, each text is parsed once however many fields are used or filtered.
+    opened = notifications.select("*", F.inline(F.array(F.from_json(text, schemas.STAGE_MESSAGE))))
+    return opened.withColumn("valid", reduce(and_, [F.col(f).isNotNull() for f in FIELDS]))
 
 
 def notification(**fields: Column) -> Column:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathomgrid.functions import arrays
+from fathomgrid.functions.regridding import nearest_on_axis
 
 
 def model(ranges, values, max_depth, bins):
@@ -24,7 +25,8 @@ def model(ranges, values, max_depth, bins):
             out.append(None)
             continue
         mids = [a / 2.0 + b / 2.0 for a, b in zip(xs, xs[1:])]
-        out.append(pairs[xs[int(np.searchsorted(mids, d, side="left"))]])
+        value = pairs[xs[int(np.searchsorted(mids, d, side="left"))]]
+        out.append(None if value is None or math.isnan(value) else float(np.float32(value)))
     return out
 
 
@@ -33,7 +35,7 @@ def regrid(spark, rows):
         rows, "id long, x array<double>, y array<double>, max_depth double, bins long"
     ).select(
         "id",
-        arrays.nearest_on_axis(F.col("x"), F.col("y"), F.col("max_depth"), F.col("bins"), "double").alias("v"),
+        nearest_on_axis("x", "y", "max_depth", "bins").alias("v"),
     )
     return {r["id"]: r["v"] for r in df.collect()}
 
@@ -54,6 +56,8 @@ CASES = {
     "nan ranges are dropped": ([0.0, float("nan"), 2.0], [1.0, 9.0, 3.0], 2.0, 5),
     "equal ranges: the first": ([0.0, 1.0, 1.0, 2.0], [1.0, 2.0, 9.0, 3.0], 2.0, 5),
     "all ranges missing": ([None, None], [1.0, 2.0], 4.0, 3),
+    "nan values are missing": ([0.0, 1.0, 2.0], [1.0, float("nan"), 3.0], 2.0, 5),
+    "no arrays": (None, None, 2.0, 3),
     "one bin": ([0.0, 1.0], [1.0, 2.0], 0.5, 1),
 }
 
@@ -64,6 +68,11 @@ def test_regrid_edges(spark):
         assert got[i] == model(*case), name
 
 
+def test_regrid_without_a_grid(spark):
+    got = regrid(spark, [(0, [0.0, 1.0], [1.0, 2.0], None, None), (1, [0.0, 1.0], [1.0, 2.0], 1.0, 2)])
+    assert got == {0: None, 1: [1.0, 2.0]}
+
+
 def test_regrid_random(spark):
     rng = np.random.default_rng(7)
     rows = []

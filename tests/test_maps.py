@@ -112,7 +112,7 @@ def test_lines_are_cut_by_tile(spark):
         [("a", 0, 0, [(T0, -10.0, 10.0), (T0, 10.0, 10.0), (T0, -20.0, 10.0)])],
         "cruise string, segment long, piece long, points array<struct<ts timestamp, lon double, lat double>>",
     )
-    rows = tiles.tile_lines(tiles.at_every_zoom(lines, 1)).collect()
+    rows = tiles.tile_lines(lines, 1).collect()
     got = {(r["z"], r["x"], r["y"]): [p["lon"] for p in r["points"]] for r in rows}
     assert got == {(0, 0, 0): [-10.0, 10.0, -20.0], (1, 0, 0): [-10.0, -20.0], (1, 1, 0): [10.0]}
 

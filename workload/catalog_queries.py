@@ -8,8 +8,9 @@ from fathomgrid.operators import catalog
 from fathomgrid.session import scratch_path
 from fathomgrid.sources import archive, tables
 from workload.registry import query, sql_view
-from workload.views import view
+from workload.views import table, view
 
+sql_view("v_cruise", "SELECT DISTINCT 'CR' || lpad(cast(o_custkey % 40 as string), 2, '0') AS cruise FROM orders")
 sql_view("v_selected", "SELECT key, size FROM v_keys WHERE contains(key, 'EK60')")
 sql_view(
     "v_file",
@@ -25,8 +26,8 @@ FROM (
 )
 sql_view(
     "v_header",
-    "SELECT DISTINCT cruise, CASE WHEN cast(substr(cruise, 3) AS int) % 4 = 0 THEN 'XML0' ELSE 'CON0' END "
-    "AS datagram FROM v_file",
+    "SELECT cruise, CASE WHEN cast(substr(cruise, 3) AS int) % 4 = 0 THEN 'XML0' ELSE 'CON0' END "
+    "AS datagram FROM v_cruise",
 )
 _SHEET = {
     "DATASET_NAME": "cruise || case when cast(substring(cruise, 3) as int) % 2 = 0 then '_EK60' else '_EK60_2' end",
@@ -38,7 +39,7 @@ sql_view(
     "v_sheet",
     "SELECT "
     + ", ".join(f"{e} AS {c}" for c, e in _SHEET.items())
-    + " FROM (SELECT DISTINCT cruise FROM v_file) WHERE cast(substring(cruise, 3) as int) % 3 = 0",
+    + " FROM v_cruise WHERE cast(substring(cruise, 3) as int) % 3 = 0",
 )
 sql_view(
     "v_calibration",
@@ -62,21 +63,19 @@ def _files(spark, d):
     return catalog.raw_files(catalog.select_keys(view(spark, d, "v_keys")))
 
 
+def _cruises(spark, d):
+    cruise = "'CR' || lpad(cast(o_custkey % 40 as string), 2, '0') AS cruise"
+    return table(spark, d, "orders").selectExpr(cruise).distinct()
+
+
 def _headers(spark, d):
     number = F.substring("cruise", 3, 9).cast("int")
-    return (
-        _files(spark, d)
-        .select("cruise")
-        .distinct()
-        .withColumn("datagram", F.when(number % 4 == 0, "XML0").otherwise("CON0"))
-    )
+    return _cruises(spark, d).withColumn("datagram", F.when(number % 4 == 0, "XML0").otherwise("CON0"))
 
 
 def _sheet(spark, d):
     return (
-        _files(spark, d)
-        .select("cruise")
-        .distinct()
+        _cruises(spark, d)
         .filter("cast(substring(cruise, 3) as int) % 3 = 0")
         .selectExpr(*[f"{e} AS {c}" for c, e in _SHEET.items()])
     )

@@ -21,8 +21,8 @@ FROM v_ping p ASOF LEFT JOIN v_fix f
 sql_view("v_valid", "SELECT * FROM v_aligned WHERE latitude IS NOT NULL AND longitude IS NOT NULL")
 
 
-def _aligned(spark, d):
-    return gps.align_fixes(view(spark, d, "v_ping"), view(spark, d, "v_fix"))
+def _aligned(spark, d, layout=None):
+    return gps.align_fixes(view(spark, d, "v_ping"), view(spark, d, "v_fix"), layout=layout)
 
 
 @query("gps_asof", "SELECT * FROM v_aligned")
@@ -48,7 +48,9 @@ def valid_counts(spark, d):
     "SELECT *, row_number() OVER (PARTITION BY cruise, file_name ORDER BY ping_idx) - 1 AS position FROM v_valid",
 )
 def ping_positions(spark, d):
-    return gps.positions_in_file(gps.valid_pings(_aligned(spark, d)).drop("epoch_seconds"))
+    layout = gps.measure_series(view(spark, d, "v_ping"), view(spark, d, "v_fix"))
+    valid = gps.valid_pings(_aligned(spark, d, layout)).drop("epoch_seconds")
+    return gps.positions_in_file(valid, layout=layout)
 
 
 @query(

@@ -177,17 +177,21 @@ JOIN (SELECT cruise, file_name, cast(coalesce(sum(n) OVER (PARTITION BY cruise O
 
 
 def _placed(spark, d):
-    aligned = gps.align_fixes(sounding_pings(spark, d), view(spark, d, "v_sounding_fix"))
-    return gps.positions_in_file(gps.valid_pings(aligned))
+    pings, fixes = sounding_pings(spark, d), view(spark, d, "v_sounding_fix")
+    layout = gps.measure_series(pings, fixes)
+    aligned = gps.align_fixes(pings, fixes, layout=layout)
+    return gps.positions_in_file(gps.valid_pings(aligned), layout=layout)
 
 
 def _sound_info(spark, d):
-    """File information of the sound files: recorded statistics with valid-ping counts."""
+    """File information of the sound files, recorded in a table before the cruise stage reads it."""
     stats = filestats.recorded_ranges(filestats.file_statistics(soundings(spark, d)))
     counts = _placed(spark, d).groupBy("cruise", "file_name").agg(F.count(F.lit(1)).alias("n"))
-    return stats.join(counts, ["cruise", "file_name"], "left").withColumn(
+    path = scratch_path(spark, "file-info")
+    stats.join(counts, ["cruise", "file_name"], "left").withColumn(
         "num_ping_time_dropna", F.coalesce("n", F.lit(0).cast("long"))
-    ).drop("n")
+    ).drop("n").write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _cube(spark, d):

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from fathomgrid.functions import geo
 from fathomgrid.operators import tiles, tracks
+from fathomgrid.operators.ordered import measure
+from fathomgrid.session import scratch_path
 from workload.registry import query, sql_view
 from workload.views import table, view
 
@@ -67,7 +69,9 @@ def _split(spark, d):
 
 
 def _points(spark, d):
-    return tracks.track_points(_split(spark, d))
+    points = view(spark, d, "v_track")
+    layout = measure(points, ["cruise"])
+    return tracks.track_points(tracks.split_tracks(points, GAP_MS, layout=layout), layout=layout)
 
 
 def _lines(spark, d):
@@ -75,7 +79,14 @@ def _lines(spark, d):
 
 
 def _tile_rows(spark, d):
-    return tiles.tile_lines(tiles.at_every_zoom(_lines(spark, d)))
+    return tiles.tile_lines(_lines(spark, d))
+
+
+def _stored_tile_rows(spark, d):
+    """Tile rows written as a table first, as merging reads the tiles of earlier runs."""
+    path = scratch_path(spark, "tiles")
+    _tile_rows(spark, d).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @query("track_split", "SELECT * FROM v_segment")
@@ -193,7 +204,7 @@ def tile_lines(spark, d):
     "FROM v_tile_line GROUP BY z, x, y",
 )
 def tile_merge(spark, d):
-    merged = tiles.merge_tiles(_tile_rows(spark, d), batch_points=256)
+    merged = tiles.merge_tiles(_stored_tile_rows(spark, d))
     return tiles.tile_summary(
         merged.withColumn("line", F.explode("lines")).select("z", "x", "y", "line.cruise", "line.points")
     )
@@ -212,7 +223,7 @@ GROUP BY z, x, y""",
 )
 def tile_replacement(spark, d):
     """Cruises of one market segment are published again, with their first segment only."""
-    rows = _tile_rows(spark, d)
+    rows = _stored_tile_rows(spark, d)
     again = (
         table(spark, d, "customer")
         .filter("c_mktsegment = 'BUILDING'")
