@@ -47,26 +47,37 @@ def tile_y(latitude: Column, zoom: Column) -> Column:
 
 
 def geohash(latitude: Column, longitude: Column, precision: int = 5) -> Column:
-    """Geohash text: longitude and latitude halvings interleaved, five bits per letter."""
+    """Geohash text: longitude and latitude halvings interleaved, five bits per letter.
+
+    A letter takes three bits of one axis and two of the other, in turn, so it is picked from the
+    alphabet in the order of those two small numbers.
+    """
     if not 1 <= precision <= 12:
         raise ValueError("precision must lie between 1 and 12")
-    total = 5 * precision
-    lon_bits, lat_bits = (total + 1) // 2, total // 2
-    cells = {
-        0: (_cell(longitude, -180.0, 360.0, lon_bits), lon_bits),
-        1: (_cell(latitude, -90.0, 180.0, lat_bits), lat_bits),
-    }
+    lon_bits, lat_bits = (5 * precision + 1) // 2, 5 * precision // 2
+    lon, lat = _cell(longitude, -180.0, 360.0, lon_bits), _cell(latitude, -90.0, 180.0, lat_bits)
     letters = []
-    for start in range(0, total, 5):
-        index = F.lit(0).cast("long")
-        for bit in range(start, start + 5):
-            cell, bits = cells[bit % 2]
-            one = F.shiftright(cell, bits - 1 - bit // 2).bitwiseAND(F.lit(1).cast("long"))
-            index = index + F.shiftleft(one, start + 4 - bit)
-        letters.append(F.substring(F.lit(GEOHASH_ALPHABET), index.cast("int") + 1, F.lit(1)))
+    for k in range(precision):
+        lon_bits, lat_bits = lon_bits - (3 - k % 2), lat_bits - (2 + k % 2)
+        three, two = ((lon, lon_bits), (lat, lat_bits)) if k % 2 == 0 else ((lat, lat_bits), (lon, lon_bits))
+        place = _bits(*three, 7) * 4 + _bits(*two, 3)
+        letters.append(F.substring(F.lit(_LETTERS), place.cast("int") + 1, F.lit(1)))
     return F.when(latitude.isNotNull() & longitude.isNotNull(), F.concat(*letters))
 
 
+def _interleaved(three: int, two: int) -> int:
+    """Five bits: those of `three` at places 0, 2, 4 and those of `two` at places 1, 3."""
+    bits = [three >> 2 & 1, two >> 1 & 1, three >> 1 & 1, two & 1, three & 1]
+    return sum(bit << 4 - i for i, bit in enumerate(bits))
+
+
+_LETTERS = "".join(GEOHASH_ALPHABET[_interleaved(n // 4, n % 4)] for n in range(32))
+
+
+def _bits(cell: Column, shift: int, mask: int) -> Column:
+    return F.shiftright(cell, shift).bitwiseAND(F.lit(mask).cast("long"))
+
+
 def _cell(x: Column, low: float, span: float, bits: int) -> Column:
     size = float(2**bits)
     cell = F.floor((x - F.lit(low)) / F.lit(span) * F.lit(size))

@@ -21,3 +21,27 @@ def test_query_matches_sql(spark, con, name):
 
 def test_entry_has_rows(spark):
     assert entry(spark).count() > 0
+
+
+ORDERED = [
+    "gps_asof", "ping_positions", "order_violations", "file_slices", "time_axis", "cruise_cube",
+    "track_split", "track_points", "tracklines", "tile_merge",
+]
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_query_with_cut_groups(spark, con, monkeypatch, name):
+    """The same rows when every group is too large for one task."""
+    monkeypatch.setattr("fathomgrid.operators.ordered.GROUP_ROWS", 25)
+    verdict, _, _, _ = compare(spark, con, SF, name, queries()[name], oracle_sql()[name])
+    assert verdict == "ok", verdict
+
+
+@pytest.mark.parametrize("name", ["datagram_propagation", "time_axis", "cruise_cube", "tile_merge", "completed_cruises"])
+def test_query_without_broadcast(spark, con, monkeypatch, name):
+    """The same rows when nothing is small enough to broadcast."""
+    from fathomgrid.operators import small
+
+    monkeypatch.setattr(small.broadcast_if_small, "__defaults__", (0,))
+    verdict, _, _, _ = compare(spark, con, SF, name, queries()[name], oracle_sql()[name])
+    assert verdict == "ok", verdict
