@@ -13,6 +13,8 @@ from fathomgrid.operators.small import broadcast_if_small
 
 TILE = 1024
 """Cells per tile edge on the depth and time axes."""
+PING_BLOCK = 1024
+FILE = ("cruise", "file_name")
 
 
 def regrid(soundings: DataFrame, grid: DataFrame) -> DataFrame:
@@ -26,22 +28,45 @@ def regrid(soundings: DataFrame, grid: DataFrame) -> DataFrame:
     )
 
 
+def ping_block(ping_idx: Column) -> Column:
+    """Number of the run of pings that is stored and joined together."""
+    return F.floor(ping_idx / F.lit(PING_BLOCK))
+
+
 def cube_rows(soundings: DataFrame, placed_pings: DataFrame, grid: DataFrame, tile: int = TILE) -> DataFrame:
     """Cube rows of all pings with a position.
 
     `placed_pings`: cruise, file_name, ping_idx, time_idx, epoch_seconds, latitude, longitude.
     The join comes first, so pings without a position are never regridded.
+
+    Soundings meet the positions of a whole block of pings, which are folded into one map of at
+    most `PING_BLOCK` entries. The key is therefore exactly what soundings are bucketed by: a
+    bucketed table is not shuffled, any other is shuffled once, and either way a block stays in
+    one task, so the sink writes few files per sound file.
     """
-    place = placed_pings.select(
-        "cruise", "file_name", "ping_idx", "time_idx",
+    place = F.struct(
+        "time_idx",
         F.col("epoch_seconds").alias("ts"),
         F.col("latitude").cast("float").alias("latitude"),
         F.col("longitude").cast("float").alias("longitude"),
     )
-    kept = soundings.join(place, ["cruise", "file_name", "ping_idx"])
+    blocks = (
+        placed_pings.select(*FILE, ping_block(F.col("ping_idx")).alias("ping_block"), "ping_idx", place.alias("place"))
+        .groupBy(*FILE, "ping_block")
+        .agg(F.map_from_entries(F.collect_list(F.struct("ping_idx", "place"))).alias("places"))
+    )
+    if "ping_block" not in soundings.columns:
+        soundings = soundings.withColumn("ping_block", ping_block(F.col("ping_idx")))
+    kept = (
+        soundings.join(blocks, [*FILE, "ping_block"])
+        .withColumn("place", F.try_element_at("places", "ping_idx"))
+        .filter(F.col("place").isNotNull())
+        .drop("places")
+    )
     return regrid(kept, grid).select(
-        "cruise", "file_name", "time_idx", F.col("frequency").cast("float").alias("frequency"),
-        "ts", "latitude", "longitude", "sv", time_tile(F.col("time_idx"), tile).alias("time_tile"),
+        *FILE, "place.time_idx", F.col("frequency").cast("float").alias("frequency"),
+        "place.ts", "place.latitude", "place.longitude", "sv",
+        time_tile(F.col("place.time_idx"), tile).alias("time_tile"),
     )
 
 

@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fathomgrid.session import reliable
+
 BROADCAST_ROWS = 200_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when `df` has at most `max_rows` rows.
 
-    A small frame is kept after it was counted, so it is computed once. Beyond the limit the
-    frame is returned as it was: Spark then shuffles both sides and splits skewed partitions at
-    run time.
+    The frame is written to the shared folder before it is counted, so what it was derived from is
+    read once, and neither the count nor the join can see different data. Beyond the limit no hint
+    is given: Spark then shuffles both sides and splits skewed partitions at run time.
     """
-    kept = df.persist()
-    if kept.count() <= max_rows:
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
+    kept = reliable(df)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept

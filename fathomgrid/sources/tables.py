@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fathomgrid import schemas
 from fathomgrid.functions import times
+from fathomgrid.operators import cube
 
 
 def append_status(rows: DataFrame, path: str) -> None:
@@ -34,18 +35,29 @@ def read_status(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_soundings(soundings: DataFrame, path: str) -> None:
-    """Soundings below cruise=/file_name= folders, so one file is read by its path alone."""
-    soundings.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    """Soundings below cruise=/file_name= folders, so one file is read by its path alone.
+
+    Rows are gathered by block of pings first: few output files per sound file, and none of them
+    depends on one task taking all of it.
+    """
+    gathered = soundings.repartition("cruise", "file_name", cube.ping_block(F.col("ping_idx")))
+    gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "cruise", "file_name"
     ).parquet(path)
 
 
 def save_soundings_bucketed(soundings: DataFrame, table: str, buckets: int) -> None:
-    """Soundings as a bucketed table: the later join with ping positions leaves them in place."""
+    """Soundings as a table bucketed by block of pings: the later join leaves them in place.
+
+    Rows are brought to their buckets first, so a bucket is one file.
+    """
+    keys = ("cruise", "file_name", "ping_block")
     (
-        soundings.write.mode("overwrite")
-        .bucketBy(buckets, "cruise", "file_name", "ping_idx")
-        .sortBy("cruise", "file_name", "ping_idx")
+        soundings.withColumn("ping_block", cube.ping_block(F.col("ping_idx")))
+        .repartition(buckets, *keys)
+        .write.mode("overwrite")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
         .saveAsTable(table)
     )
 
@@ -65,10 +77,10 @@ def write_index(index: DataFrame, path: str) -> None:
     index.write.mode("overwrite").parquet(path)
 
 
-def write_cube(cube: DataFrame, path: str) -> None:
-    """Write cube slices; only the files present in `cube` are replaced."""
+def write_cube(rows: DataFrame, path: str) -> None:
+    """Write cube slices; only the files present in `rows` are replaced."""
     (
-        cube.sortWithinPartitions("cruise", "file_name", "time_tile", "frequency", "time_idx")
+        rows.sortWithinPartitions("cruise", "file_name", "time_tile", "frequency", "time_idx")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("cruise", "file_name")
