@@ -42,7 +42,7 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Only where the session names none (tests, a single machine) a local folder is taken.
+    A local folder is taken only where the session names none and runs on one machine, as in tests.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", ""
@@ -50,6 +50,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="fathomgrid-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)

@@ -10,16 +10,20 @@ from fathomgrid.functions import times
 from fathomgrid.operators import cube
 
 
-def append_status(rows: DataFrame, path: str) -> None:
-    """Append to the file status log; absent attributes are null, nothing is overwritten."""
+def as_status(rows: DataFrame) -> DataFrame:
+    """Rows with the columns of the status log; absent attributes are null."""
     have = set(rows.columns)
-    full = rows.select(
+    return rows.select(
         *[
             F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
             for f in schemas.FILE_STATUS.fields
         ]
     )
-    full.write.mode("append").parquet(path)
+
+
+def append_status(rows: DataFrame, path: str) -> None:
+    """Append to the file status log; nothing is overwritten."""
+    as_status(rows).write.mode("append").parquet(path)
 
 
 def status_rows(files: DataFrame, status: str, event_seq: int = 0) -> DataFrame:

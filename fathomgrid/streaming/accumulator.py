@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fathomgrid.functions import times
 from fathomgrid.operators.small import broadcast_if_small
 from fathomgrid.operators.status import SUCCESS
+from fathomgrid.sources import tables
 from fathomgrid.streaming.sinks import batch_writer
 
 
@@ -53,12 +57,18 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def completion_writer(counts_path: str, notices_path: str, stage: str):
+def completion_writer(
+    counts_path: str,
+    notices_path: str,
+    stage: str,
+    then: Callable[[DataFrame, int], None] | None = None,
+):
     """`foreachBatch` function that counts first finishes and writes a notice when a cruise is full.
 
     A batch adds one count row per cruise, summed map-side first. A cruise is complete in the
     batch whose rows carry its total across the expected number, so exactly one batch reports it;
-    a replayed batch rewrites its own folder with the same rows.
+    a replayed batch rewrites its own folder with the same rows. `then` receives the completed
+    cruises of a batch and must be as repeatable.
     """
     write_counts, write_notices = batch_writer(counts_path), batch_writer(notices_path)
 
@@ -83,12 +93,18 @@ def completion_writer(counts_path: str, notices_path: str, stage: str):
             & (F.col("finished") - F.col("added") < F.col("expected"))
         )
         write_notices(completion_notices(full, stage), batch_id)
+        if then is not None:
+            then(full, batch_id)
 
     return write
 
 
 def run_accumulator(
-    finished: DataFrame, expected: DataFrame, base: str, stage: str = "raw-to-zarr"
+    finished: DataFrame,
+    expected: DataFrame,
+    base: str,
+    stage: str = "raw-to-zarr",
+    then: Callable[[DataFrame, int], None] | None = None,
 ) -> DataFrame:
     """Process all available finishes and return the completion notices written so far."""
     spark = finished.sparkSession
@@ -98,7 +114,7 @@ def run_accumulator(
         .writeStream.outputMode("append")
         .option("checkpointLocation", f"{base}/checkpoint")
         .trigger(availableNow=True)
-        .foreachBatch(completion_writer(f"{base}/counts", notices, stage))
+        .foreachBatch(completion_writer(f"{base}/counts", notices, stage, then))
         .start()
     )
     query.awaitTermination()
@@ -129,3 +145,18 @@ def status_after_completion(
     return listed.join(broadcast_if_small(completed.select("cruise_name")), "cruise_name").withColumn(
         "pipeline_status", F.lit(status)
     )
+
+
+def run_aggregator(
+    finished: DataFrame, expected: DataFrame, files: DataFrame, base: str, stage: str = "regrid"
+) -> DataFrame:
+    """Last stage: when all files of a cruise are regridded, mark each of them, and report the cruise.
+
+    Status rows are written below `base`/status by batch; returns the notices.
+    """
+    write_status = batch_writer(f"{base}/status", tables.as_status)
+
+    def mark(completed: DataFrame, batch_id: int) -> None:
+        write_status(times.stamped(status_after_completion(completed, files)), batch_id)
+
+    return run_accumulator(finished, expected, base, stage, mark)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fathomgrid.operators import catalog, status
 from fathomgrid.session import scratch_path
+from fathomgrid.sources import tables
 from fathomgrid.streaming import accumulator, messages, sinks
 from workload.catalog_queries import _files, _headers
 from workload.registry import query, sql_view
@@ -197,6 +198,22 @@ def aggregated_status(spark, d):
     )
 
 
+@query(
+    "aggregator_stream",
+    "SELECT m.file_name, m.cruise_name, 'SUCCESS' AS pipeline_status, true AS stamped "
+    "FROM v_member m JOIN v_complete USING (cruise_name)",
+)
+def aggregator_stream(spark, d):
+    """Status rows that a stream of finishes writes when a cruise is complete."""
+    members, base = _members(spark, d), scratch_path(spark, "aggregator")
+    accumulator.run_aggregator(
+        _stream_of(spark, _finishes(spark, d), "regridded"), accumulator.expected_files(members), members, base
+    )
+    return tables.read_status(spark, f"{base}/status").select(
+        "file_name", "cruise_name", "pipeline_status", F.col("pipeline_time").isNotNull().alias("stamped")
+    )
+
+
 @query(
     "completion_notices",
     "SELECT cruise_name, 'regrid' AS stage, finished AS files, true AS stamped FROM v_complete",
