@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathomgrid.operators import cube, gps, grid, status
+from fathomgrid.operators.ordered import Layout
 from fathomgrid.sources import tables
 
 
@@ -25,8 +26,9 @@ def cruise_stage(
     aligned: DataFrame,
     soundings: DataFrame,
     eligible: tuple[str, ...] = status.ELIGIBLE,
+    layout: Layout | None = None,
 ) -> CruiseStage:
-    """Grid and cube of every cruise in the log.
+    """Grid and cube of every cruise in the log; `layout` is that of the file stage, if at hand.
 
     One set of eligible statuses sizes the grid and places the slices, so both agree.
     """
@@ -35,7 +37,7 @@ def cruise_stage(
     )
     cruise_grid = grid.cruise_grid(files)
     slices = grid.file_slices(files)
-    valid = gps.positions_in_file(gps.valid_pings(aligned))
+    valid = gps.positions_in_file(gps.valid_pings(aligned), layout=layout)
     placed = grid.on_time_axis(valid, slices)
     return CruiseStage(
         cruise_grid,
@@ -44,8 +46,10 @@ def cruise_stage(
     )
 
 
-def run(log: DataFrame, aligned: DataFrame, soundings: DataFrame, out: str) -> DataFrame:
+def run(
+    log: DataFrame, aligned: DataFrame, soundings: DataFrame, out: str, layout: Layout | None = None
+) -> DataFrame:
     """Write the cube and return the reconciliation rows (none when all is well)."""
-    stage = cruise_stage(log, aligned, soundings)
+    stage = cruise_stage(log, aligned, soundings, layout=layout)
     tables.write_cube(stage.cube, out)
     return stage.mismatches

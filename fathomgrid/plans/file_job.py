@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from fathomgrid.functions import names
 from fathomgrid.operators import filestats, gps
+from fathomgrid.operators.ordered import Layout
+from fathomgrid.operators.small import broadcast_if_small
 from fathomgrid.operators.status import FAILURE, SUCCESS
 from fathomgrid.sources import geojson, tables
 
@@ -18,11 +20,15 @@ FILE = ["cruise", "file_name"]
 
 @dataclass(frozen=True)
 class FileStage:
-    """Results of the stage; `violations` names each failed file with its reasons."""
+    """Results of the stage; `violations` names each failed file with its reasons.
+
+    `layout` is the size of the largest file, for later steps over the same pings.
+    """
 
     aligned: DataFrame
     statistics: DataFrame
     violations: DataFrame
+    layout: Layout
 
 
 def violations(nmea: DataFrame, pings: DataFrame) -> DataFrame:
@@ -44,7 +50,8 @@ def violations(nmea: DataFrame, pings: DataFrame) -> DataFrame:
 def file_stage(nmea: DataFrame, pings: DataFrame, soundings: DataFrame) -> FileStage:
     """Align positions and gather statistics; files with violations are left out of both."""
     fixes = gps.fixes_without_nan(nmea)
-    broken = violations(fixes, pings)
+    # Used three times below; written once, and as a rule nearly empty.
+    broken = broadcast_if_small(violations(fixes, pings))
     sound = lambda df: df.join(broken.select(*FILE), FILE, "left_anti")
     layout = gps.measure_series(pings, fixes)
     aligned = gps.align_fixes(sound(pings), sound(fixes), layout=layout)
@@ -54,7 +61,7 @@ def file_stage(nmea: DataFrame, pings: DataFrame, soundings: DataFrame) -> FileS
     joined = stats.join(counts, FILE, "left").withColumn(
         "num_ping_time_dropna", F.coalesce("num_ping_time_dropna", F.lit(0).cast("long"))
     )
-    return FileStage(aligned, joined, broken)
+    return FileStage(aligned, joined, broken, layout)
 
 
 def status_rows(stage: FileStage, ship: str, sensor: str, event_seq: int = 1) -> DataFrame:

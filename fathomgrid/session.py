@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A skewed join is split even where the next step then needs a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     # Rows that carry sample arrays go to Python workers in batches of tens of megabytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",

@@ -3,8 +3,9 @@
 import pytest
 
 from __spark_entry__ import queries
-from fathomgrid.operators import catalog, gps, status
+from fathomgrid.operators import catalog, cube, gps, status
 from fathomgrid.operators.ordered import Layout
+from fathomgrid.sources import tables
 from workload.views import table, view
 
 SF = "/root/testdata/sf0.001"
@@ -68,3 +69,19 @@ def test_tables_are_read_in_utc(spark):
         assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_cube_reads_are_pruned(spark, tmp_path):
+    rows = spark.range(200).selectExpr(
+        "if(id % 2 = 0, 'A', 'B') AS cruise", "concat('F', cast(id % 4 as string)) AS file_name", "id AS time_idx",
+        "cast(38000 as float) AS frequency", "0D AS ts", "0F AS latitude", "0F AS longitude",
+        "array(cast(id as float)) AS sv", "floor(id / 10) AS time_tile",
+    )
+    path = str(tmp_path / "cube")
+    tables.write_cube(rows, path)
+    part = cube.read_slice(tables.read_cube(spark, path), "A", 20, 40, tile=10).select("time_idx", "latitude")
+    plan = plan_of(part)
+    assert "PartitionFilters: [isnotnull(cruise" in plan
+    assert "GreaterThanOrEqual(time_tile,2)" in plan
+    assert "sv:" not in plan.split("ReadSchema")[-1]
+    assert sorted(r["time_idx"] for r in part.collect()) == list(range(20, 40, 2))

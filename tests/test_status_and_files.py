@@ -127,8 +127,9 @@ def test_file_and_cruise_stage(spark, survey, tmp_path):
     assert [(r["file_name"], r["reasons"]) for r in broken] == [("bad.raw", ["positions out of bounds"])]
     assert geojson.read_collections(spark, geo_path).count() == 11
 
-    aligned = file_job.file_stage(nmea, pings, sound).aligned
-    mismatches = cruise_job.run(stored, aligned, sound, cube_path)
+    stage = file_job.file_stage(nmea, pings, sound)
+    aligned = stage.aligned
+    mismatches = cruise_job.run(stored, aligned, sound, cube_path, stage.layout)
     assert mismatches.count() == 0
     back = tables.read_cube(spark, cube_path).collect()
     assert len(back) == 2 * (4 + 5)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fathomgrid.functions import arrays
 from fathomgrid.operators import cube, filestats, gps, grid, status
+from fathomgrid.plans import file_job
 from fathomgrid.session import scratch_path
 from fathomgrid.sources import tables
 from workload.registry import query, sql_view
@@ -348,3 +349,31 @@ def linear_axis(spark, d):
         "o_orderkey",
         F.posexplode(arrays.linspace(F.col("o_totalprice"), F.col("o_orderkey") % 5)).alias("place", "value"),
     )
+
+
+@query(
+    "file_stage_status",
+    """
+SELECT i.file_name, i.cruise AS cruise_name,
+  CASE WHEN f.file_name IS NULL THEN 'FAILURE' ELSE 'SUCCESS' END AS pipeline_status,
+  CASE WHEN f.file_name IS NOT NULL THEN i.min_echo_range END AS min_echo_range,
+  CASE WHEN f.file_name IS NOT NULL THEN i.max_echo_range END AS max_echo_range,
+  CASE WHEN f.file_name IS NOT NULL THEN i.n END AS num_ping_time_dropna,
+  CASE WHEN f.file_name IS NOT NULL THEN i.start_time END AS start_time,
+  CASE WHEN f.file_name IS NOT NULL THEN 'level_1/Ship/' || i.cruise || '/EK60/' || i.file_name || '.zarr' END AS zarr_path
+FROM v_sound_info i LEFT JOIN (SELECT DISTINCT cruise, file_name FROM v_sounding_fix WHERE latitude IS NOT NULL) f
+  ON i.cruise = f.cruise AND i.file_name = f.file_name
+UNION ALL
+SELECT DISTINCT file_name, cruise, 'FAILURE', NULL::double, NULL::double, NULL::bigint, NULL, NULL FROM v_sounding_fix
+WHERE (cruise, file_name) NOT IN (SELECT (cruise, file_name) FROM v_sound_info)""",
+)
+def file_stage_status(spark, d):
+    """The file stage from series to status log; files without positions or without pings fail."""
+    path = scratch_path(spark, "stage")
+    stage = file_job.file_stage(view(spark, d, "v_sounding_fix"), sounding_pings(spark, d), soundings(spark, d))
+    tables.append_status(file_job.status_rows(stage, "Ship", "EK60"), path)
+    return tables.read_status(spark, path).select(
+        "file_name", "cruise_name", "pipeline_status",
+        *[F.col(c).cast("double").alias(c) for c in ("min_echo_range", "max_echo_range")],
+        "num_ping_time_dropna", "start_time", "zarr_path",
+    )
