@@ -15,6 +15,8 @@ SETTINGS = {
     # A skewed join is split even where the next step then needs a shuffle of its own.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Rows that carry sample arrays go to Python workers in batches of tens of megabytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # Streaming keys are kept off the JVM heap.

@@ -8,7 +8,7 @@ from fathomgrid.operators import catalog
 from fathomgrid.session import scratch_path
 from fathomgrid.sources import archive, tables
 from workload.registry import query, sql_view
-from workload.views import table, view
+from workload.views import shared, table, view
 
 sql_view("v_cruise", "SELECT DISTINCT 'CR' || lpad(cast(o_custkey % 40 as string), 2, '0') AS cruise FROM orders")
 sql_view("v_selected", "SELECT key, size FROM v_keys WHERE contains(key, 'EK60')")
@@ -29,17 +29,17 @@ sql_view(
     "SELECT cruise, CASE WHEN cast(substr(cruise, 3) AS int) % 4 = 0 THEN 'XML0' ELSE 'CON0' END "
     "AS datagram FROM v_cruise",
 )
-_SHEET = {
-    "DATASET_NAME": "cruise || case when cast(substring(cruise, 3) as int) % 2 = 0 then '_EK60' else '_EK60_2' end",
-    "INSTRUMENT_NAME": "'EK60'",
-    "CAL_STATE": "case cast(substring(cruise, 3) as int) % 4 when 0 then 'Calibrated w/ calibration data' "
-    "when 1 then 'Calibrated w/o calibration data' else 'uncalibrated' end",
-}
-sql_view(
+# Suppliers stand for entries of the sheet; their nations name 25 of the 40 cruises.
+shared(
     "v_sheet",
-    "SELECT "
-    + ", ".join(f"{e} AS {c}" for c, e in _SHEET.items())
-    + " FROM v_cruise WHERE cast(substring(cruise, 3) as int) % 3 = 0",
+    "supplier",
+    {
+        "DATASET_NAME": "'CR' || lpad(cast(s_nationkey as string), 2, '0') || "
+        "case when s_suppkey % 2 = 0 then '_EK60' else '_EK60_2' end",
+        "INSTRUMENT_NAME": "s_name",
+        "CAL_STATE": "case s_suppkey % 4 when 0 then 'Calibrated w/ calibration data' "
+        "when 1 then 'Calibrated w/o calibration data' else 'uncalibrated' end",
+    },
 )
 sql_view(
     "v_calibration",
@@ -74,11 +74,7 @@ def _headers(spark, d):
 
 
 def _sheet(spark, d):
-    return (
-        _cruises(spark, d)
-        .filter("cast(substring(cruise, 3) as int) % 3 = 0")
-        .selectExpr(*[f"{e} AS {c}" for c, e in _SHEET.items()])
-    )
+    return view(spark, d, "v_sheet")
 
 
 def _ntz(df, *columns):
