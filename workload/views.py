@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fathomgrid.session import use_utc
 from workload.registry import sql_view
