@@ -37,8 +37,10 @@ _FORMS = re.compile(
     (?P<email>(?<![\w.%+\-])[\w.%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+)
   | (?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d))
   | (?P<date>(?<!\d)(?:(?:19|20)\d\d-\d\d-\d\d|\d\d[./]\d\d[./](?:19|20)\d\d)(?!\d))
-  | (?P<phone>(?:\+\d{1,3}[ .\-]?)(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){2,4}(?!\d)
-      |\(\d{3}\)[ ]?\d{3}[ .\-]\d{4}(?!\d)|(?<!\d)\d{3}[.\-]\d{3}[.\-]\d{4}(?!\d))
+  | (?P<phone>(?:\+\d{1,3}[ .\-]?)?\(\d{3}\)[ ]?\d{3}[ .\-]\d{4}(?!\d)
+      |(?<![\d+])\d{3}[.\-]\d{3}[.\-]\d{4}(?!\d)
+      |\+\d{1,3}[ .\-]?\d{3}[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)
+      |\+\d{1,3}(?:[ \-]\d{2,4}){2,4}(?![\d.]))
   | (?P<ssn>(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-]))
   | (?P<number>(?<!\d)(?:\d{13,19}|\d{4}(?P<sep>[ \-])\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?!\d))
     """,
