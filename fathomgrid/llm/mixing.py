@@ -23,7 +23,7 @@ from fathomgrid.llm.ranges import running
 
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
-RANGE_ROWS = 500_000
+RANGE_ROWS = 10_000
 """Rows one task orders; sources and the merge are cut into so many ranges of about this size."""
 
 _MD5_SPAN = float(1 << 60)
