@@ -1,0 +1,73 @@
+import datetime
+
+import pytest
+
+from fathomgrid.llm.pseudonyms import Pseudonyms, luhn_digit, with_pseudonyms
+
+P = Pseudonyms(b"test")
+
+
+@pytest.mark.parametrize("size", [2, 3, 10, 26, 1000, 73_049])
+def test_permutation_without_fixed_points(size):
+    images = [P.permuter.swap("x", i, size) for i in range(min(size, 3000))]
+    assert len(set(images)) == len(images) and max(images) < size
+    assert all(i != x for i, x in enumerate(images))
+
+
+def test_card_numbers_keep_their_check():
+    new, kinds = P.text("card 4111 1111 1111 1111.")
+    digits = new[5:-1].replace(" ", "")
+    assert kinds == ["number"] and luhn_digit(digits[:-1]) == int(digits[-1]) and new != "card 4111 1111 1111 1111."
+    other = P.text("4111111111111112")[0]
+    assert luhn_digit(other[:-1]) != int(other[-1])
+
+
+def test_equal_values_stay_linked_and_others_apart():
+    a = P.text("x 10.1.2.3 y")[0].split()[1]
+    assert a == P.text("10.1.2.3")[0]
+    values = {P.text(f"10.1.2.{i}")[0] for i in range(256)}
+    assert len(values) == 256
+
+
+@pytest.mark.parametrize("text", ["1999-02-28", "28.02.1999", "28/02/1999", "02/28/1999"])
+def test_dates_stay_dates(text):
+    new = P.text(text)[0]
+    assert new != text and [c for c in new if not c.isdigit()] == [c for c in text if not c.isdigit()]
+    parts = new.replace("/", "-").replace(".", "-").split("-")
+    year = next(p for p in parts if len(p) == 4)
+    assert 1900 <= int(year) <= 2099
+    if text[4] == "-":
+        datetime.date.fromisoformat(new)
+
+
+@pytest.mark.parametrize("text", ["", "version 3.", "4.0 and 2.0", "2001-02-30", "300.1.1.1", "1 2 3 4 5 6 7 8 9 10 11 12 13", "GB00 WEST 1234"])
+def test_other_texts_stay(text):
+    assert P.text(text) == (text, [])
+
+
+def test_iban_and_secret():
+    new, kinds = P.text("GB82 WEST 1234 5698 7654 32")
+    assert kinds == ["iban"] and P.text(new)[1] == ["iban"] and new != "GB82 WEST 1234 5698 7654 32"
+    new, kinds = P.text('TOKEN = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"!!')
+    assert kinds == ["secret"] and len(new) == 52 and new.endswith('"!!')
+
+
+def test_neighbouring_values():
+    new, kinds = P.text("+1 (826) 555-4081 190.137.223.204 du")
+    assert kinds == ["phone", "ip"] and "555-4081" not in new and "190.137" not in new
+
+
+def test_awkward_rows(awkward, nothing):
+    found = with_pseudonyms(awkward)
+    assert found.columns == [*awkward.columns, "pseudonym_kinds"]
+    before = sorted((str(r["doc_id"]), str(r["text"])) for r in awkward.collect() if r["doc_id"] not in (1, 2))
+    after = sorted((str(r["doc_id"]), str(r["text"])) for r in found.collect() if r["doc_id"] not in (1, 2))
+    assert before == after
+    same = {r["text"] for r in found.filter("doc_id in (1, 2)").collect()}
+    assert len(same) == 1 and "555-7713" not in same.pop()
+    assert with_pseudonyms(nothing).count() == 0
+
+
+def test_long_text_without_spaces_is_linear():
+    text = "a" * 2_000_000 + "1"
+    assert P.text(text) == (text, [])
