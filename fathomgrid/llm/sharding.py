@@ -113,11 +113,10 @@ def splitters(rows: DataFrame, total: int, ranges: int) -> list[tuple[int, int]]
 
 def _ends(spread: DataFrame, total: int, shards: int, together: float) -> list[int]:
     """Bytes before each shard but the first; at record ends."""
-    ideal = total / shards
-    first = F.floor(F.col("before") * shards / F.lit(total))
-    last = F.floor((F.col("upto") - 1) * shards / F.lit(total))
-    # At most one record lies across each of the shards-1 even cuts.
-    across = spread.filter((first < last) | (F.col("before") * shards % F.lit(total) == 0)).select("key", "before", "upto").collect()
+    # At most one record holds each of the shards-1 even cuts, in whole numbers to the byte.
+    nth = F.expr(f"(before * {shards} + {total} - 1) div {total}")
+    across = spread.filter((nth * total < F.col("upto") * shards) & nth.between(1, shards - 1))
+    across = across.select("key", "before", "upto").collect()
     groups = {
         r["key"]: (r["low"], r["high"])
         for r in spread.filter(F.col("key").isin(*{r["key"] for r in across}))
@@ -127,15 +126,11 @@ def _ends(spread: DataFrame, total: int, shards: int, together: float) -> list[i
     }
     ends = []
     for j in range(1, shards):
-        cut = total * j / shards
-        row = next((r for r in across if r["before"] <= cut < r["upto"]), None)
-        if row is None:
-            ends.append(total)
-            continue
+        row = next(r for r in across if r["before"] * shards <= total * j < r["upto"] * shards)
         low, high = groups[row["key"]]
-        if high - low > together * ideal:
+        if (high - low) * shards > together * total:
             low, high = row["before"], row["upto"]
-        ends.append(low if cut - low <= high - cut else high)
+        ends.append(low if 2 * total * j <= (low + high) * shards else high)
     return ends
 
 
