@@ -14,6 +14,9 @@ from fathomgrid.session import scratch_path
 UPPER_TO_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 """Lower-cases A-Z and nothing else; UTF-8 continuation bytes stay."""
 
+GROUP_BYTES = 2_000_000
+"""Bytes of text whose words a task holds at a time; a longer text is a group of its own."""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

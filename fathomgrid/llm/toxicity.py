@@ -1,6 +1,6 @@
 """Toxicity: class-conditional Kneser-Ney models of characters within words.
 
-A word (letters, lower case) is read as windows of six characters with start and end marks. Windows of
+A word (a run of ASCII letters and non-ASCII characters, lower case) is read as windows of six characters with start and end marks. Windows of
 all documents are counted, apart from those of labelled rows that may be learned from. Backoff is shared
 by both classes: corpus windows, discounted, back off to three-character windows counted by how many
 windows they continue, and those to single characters counted likewise. A class's own counts, discounted,
@@ -22,9 +22,8 @@ score is the smoothed share of label 1. Repeated rows each give a row.
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomgrid.llm.common import store, texts, training_labels
+from fathomgrid.llm.common import GROUP_BYTES, store, texts, training_labels
 
 ORDER = 6
 SHORT = 3
@@ -47,13 +46,19 @@ BIN = 0.01
 BINS = 20_000
 
 START, END = "^", "$"
-_WORD = re.compile(r"[^\W\d_]+")
+_LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 _PRIME = 0x100000001B3
-_HELD_WORDS = 300_000
+_HELD_WORDS = 200_000
 
 
-def words_of(text: bytes) -> list[str]:
-    return _WORD.findall(text.decode("utf-8", "replace").lower())
+def words_of(text: bytes) -> list[bytes]:
+    """Runs of ASCII letters and non-ASCII characters, A-Z in lower case."""
+    return text.translate(_LETTERS).split()
+
+
+def spelled(words: Iterable[bytes]) -> list[str]:
+    """Words as text in lower case."""
+    return [w.decode("utf-8", "replace").lower() for w in words]
 
 
 def windows(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,7 +90,7 @@ def _count_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         weights = [np.fromiter((k[w] for w in words), np.int64, len(words)) for k in kinds]
         for k in kinds:
             k.clear()
-        points, starts, word = windows(words)
+        points, starts, word = windows(spelled(words))
         hashes = window_hashes(points, starts)
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         shown = np.lib.stride_tricks.sliding_window_view(points, ORDER)[starts[first]]
@@ -175,9 +180,9 @@ class Model:
     slope: float = 1.0
     offset: float = 0.0
 
-    def evidence_of(self, words: list[str]) -> np.ndarray:
+    def evidence_of(self, words: list[bytes]) -> np.ndarray:
         """Evidence per word beyond the margin."""
-        points, starts, word = windows(words)
+        points, starts, word = windows(spelled(words))
         found = np.zeros(len(starts))
         if len(self.hashes):
             h = window_hashes(points, starts)
@@ -190,16 +195,28 @@ class Model:
         model = self
 
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            known: dict[str, float] = {}
-            for batch in batches:
-                lists = [words_of(t or b"") for t in batch.to_pylist()]
-                new = list(set().union(*lists).difference(known)) if lists else []
+            known: dict[bytes, float] = {}
+
+            def scored(lists: list[list[bytes]]) -> list[float]:
+                words = set().union(*lists)
                 if len(known) > _HELD_WORDS:  # Memory only: words are looked at anew.
                     known.clear()
-                    new = list(set().union(*lists))
+                new = list(words - known.keys())
                 if new:
                     known.update(zip(new, model.evidence_of(new).tolist(), strict=True))
-                yield pa.array([sum(map(known.__getitem__, w)) / math.sqrt(max(len(w), 1)) for w in lists], pa.float64())
+                return [sum(map(known.__getitem__, w)) / math.sqrt(max(len(w), 1)) for w in lists]
+
+            for batch in batches:
+                found: list[float] = []
+                group: list[list[bytes]] = []
+                size = 0
+                for text in batch.to_pylist():
+                    group.append(words_of(text or b""))
+                    size += len(text or b"")
+                    if size > GROUP_BYTES:
+                        found += scored(group)
+                        group, size = [], 0
+                yield pa.array(found + scored(group), pa.float64())
 
         return F.arrow_udf(run, T.DoubleType(), F.ArrowUDFType.SCALAR_ITER)(text.cast("binary"))
 

@@ -70,7 +70,7 @@ def plain_ratios(texts, labels):
     d, order = toxicity.DISCOUNT, toxicity.ORDER
     counts = [Counter(), Counter(), Counter()]
     for text, label in zip(texts, labels, strict=True):
-        for word in toxicity.words_of(text.encode()):
+        for word in toxicity.spelled(toxicity.words_of(text.encode())):
             p = "^" * (order - 1) + word + "$"
             for i in range(len(word) + 1):
                 g = p[i : i + order]
