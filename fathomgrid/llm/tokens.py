@@ -14,9 +14,10 @@ import types
 
 import numpy as np
 
+from fathomgrid.llm.common import GROUP_BYTES, UPPER_TO_LOWER
+
 _PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_HELD = 300_000
+_HELD = 250_000
 
 
 class Encoder:
@@ -60,22 +61,22 @@ class Encoder:
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text. Chunks are lower-cased first (A-Z), as the tokenizer does, unless marked special."""
-        split = [t.split() if b"<|" in t else t.translate(_LOWER).split() for t in texts]
-        known = self.chunks
-        out = []
+        out: list[bytes] = []
         group: list[list[bytes]] = []
-        held: set[bytes] = set()
-        for words in split:
-            group.append(words)
-            held.update(w for w in words if w not in known)
-            if len(held) > _HELD // 2:
-                self.learn(held | {w for g in group for w in g})
-                out += [b"".join(map(self.chunks.__getitem__, g)) for g in group]
-                group, held = [], set()
-        if group:
-            self.learn(held if len(known) + len(held) <= _HELD else held | {w for g in group for w in g})
-            out += [b"".join(map(self.chunks.__getitem__, g)) for g in group]
-        return out
+        size = 0
+        for text in texts:
+            group.append(text.split() if b"<|" in text else text.translate(UPPER_TO_LOWER).split())
+            size += len(text)
+            if size > GROUP_BYTES:
+                out += self._joined(group)
+                group, size = [], 0
+        return out + self._joined(group)
+
+    def _joined(self, group: list[list[bytes]]) -> list[bytes]:
+        chunks = set().union(*group)
+        if not chunks <= self.chunks.keys():
+            self.learn(chunks)
+        return [b"".join(map(self.chunks.__getitem__, g)) for g in group]
 
 
 def shared_encoder(path: str) -> Encoder:
