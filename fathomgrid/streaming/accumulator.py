@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomgrid.functions import times
-from fathomgrid.operators.small import broadcast_if_small
 from fathomgrid.operators.status import SUCCESS
+from fathomgrid.session import reliable
 from fathomgrid.sources import tables
 from fathomgrid.streaming.sinks import batch_writer
 
@@ -22,30 +22,29 @@ def expected_files(files: DataFrame) -> DataFrame:
     )
 
 
-def completed_cruises(finished: DataFrame, expected: DataFrame) -> DataFrame:
-    """Batch form: cruises of which every expected file is finished.
-
-    Repeats fall out in a distinct over (cruise, file), which spreads a large cruise.
-    """
-    done = (
-        finished.select("cruise_name", "file_name")
-        .distinct()
-        .groupBy("cruise_name")
-        .agg(F.count(F.lit(1)).alias("finished"))
-    )
-    return done.join(expected, "cruise_name").filter("finished >= expected")
+def listed_files(files: DataFrame) -> DataFrame:
+    """Distinct (cruise_name, file_name) of a file list."""
+    return files.select(F.col("cruise").alias("cruise_name"), F.col("filename").alias("file_name")).distinct()
 
 
-def first_finishes(finished: DataFrame, expected: DataFrame) -> DataFrame:
-    """Stream of first finishes of expected cruises.
+def completed_cruises(finished: DataFrame, files: DataFrame) -> DataFrame:
+    """Batch form: cruises of which every listed file is finished.
 
-    Keys are remembered per (cruise, file), so the state of a large cruise is spread.
+    Finishes count only for files of the list. Repeats fall out in a distinct over (cruise, file),
+    which spreads a large cruise.
     """
-    return (
-        finished.join(broadcast_if_small(expected), "cruise_name")
-        .dropDuplicates(["cruise_name", "file_name"])
-        .select("cruise_name", "expected")
+    seen = finished.select("cruise_name", "file_name").distinct().withColumn("__seen", F.lit(1))
+    met = listed_files(files).join(seen, ["cruise_name", "file_name"], "left")
+    totals = met.groupBy("cruise_name").agg(
+        F.count("__seen").alias("finished"), F.count(F.lit(1)).alias("expected")
     )
+    return totals.filter("finished = expected")
+
+
+def first_finishes(finished: DataFrame) -> DataFrame:
+    """Stream of first finishes; keys are remembered per (cruise, file), so a large cruise is spread."""
+    keys = ["cruise_name", "file_name"]
+    return finished.select(*keys).dropDuplicates(keys)
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -57,69 +56,85 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+TOTALS = "cruise_name string, finished long, expected long, reported boolean, reported_before boolean, batch_id long"
+HELD = "cruise_name string, file_name string, batch_id long"
+
+
 def completion_writer(
-    counts_path: str,
-    notices_path: str,
+    listing: Callable[[], DataFrame],
+    base: str,
     stage: str,
     then: Callable[[DataFrame, int], None] | None = None,
 ):
-    """`foreachBatch` function that counts first finishes and writes a notice when a cruise is full.
+    """`foreachBatch` function that follows first finishes and writes a notice when a cruise is full.
+
+    `listing` returns the file list (cruise, filename) as it is now; it is asked once per batch. A finish
+    counts when its file is listed. One that is not is held, not lost: it counts in the first batch
+    after its file was listed.
 
-    A batch adds one count row per cruise, summed map-side first. A cruise is complete in the
-    batch whose rows carry its total across the expected number, so exactly one batch reports it;
-    a replayed batch rewrites its own folder with the same rows. `then` receives the completed
-    cruises of a batch and must be as repeatable.
+    What a batch leaves for the next are two small tables of its own folder: a running total per cruise,
+    and the finishes still held. A batch reads those of the batch before it only, so work does not grow
+    with history, and a replayed batch writes the same rows again. A cruise is reported once, when all
+    its listed files are finished. `then` receives the completed cruises and must be as repeatable.
     """
-    write_counts, write_notices = batch_writer(counts_path), batch_writer(notices_path)
+    totals_path, held_path = f"{base}/totals", f"{base}/held"
+    write_totals, write_held = batch_writer(totals_path), batch_writer(held_path)
+    write_notices = batch_writer(f"{base}/notices")
+    keys = ["cruise_name", "file_name"]
+
+    def of(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+        return _read(spark, path, schema).filter(F.col("batch_id") == batch_id)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        counts = batch.groupBy("cruise_name").agg(
-            F.count(F.lit(1)).alias("added"), F.max("expected").alias("expected")
-        )
-        write_counts(counts, batch_id)
-        history = _read(
-            spark, counts_path, "cruise_name string, added long, expected long, batch_id long"
-        ).filter(F.col("batch_id") <= batch_id)
-        now = F.col("batch_id") == batch_id
-        totals = history.groupBy("cruise_name").agg(
-            F.sum("added").alias("finished"),
-            F.sum(F.when(now, F.col("added")).otherwise(0)).alias("added"),
-            F.max(F.when(now, F.col("expected"))).alias("expected"),
-        )
-        full = totals.filter(
-            (F.col("added") > 0)
-            & (F.col("finished") >= F.col("expected"))
-            & (F.col("finished") - F.col("added") < F.col("expected"))
+        files = listed_files(listing())
+        waiting = of(spark, held_path, HELD, batch_id - 1).select(*keys)
+        arrived = reliable(batch.select(*keys).unionByName(waiting).distinct())
+        write_held(arrived.join(files, keys, "left_anti"), batch_id)
+        added = arrived.join(files, keys, "left_semi").groupBy("cruise_name").agg(F.count(F.lit(1)).alias("added"))
+        before = of(spark, totals_path, TOTALS, batch_id - 1).select("cruise_name", "finished", "reported")
+        sizes = files.groupBy("cruise_name").agg(F.count(F.lit(1)).alias("expected"))
+        none = F.lit(0).cast("long")
+        totals = (
+            before.join(added, "cruise_name", "full_outer")
+            .join(sizes, "cruise_name", "left")
+            .select(
+                "cruise_name",
+                (F.coalesce("finished", none) + F.coalesce("added", none)).alias("finished"),
+                "expected",
+                F.coalesce("reported", F.lit(False)).alias("reported_before"),
+            )
         )
-        write_notices(completion_notices(full, stage), batch_id)
+        full = F.coalesce(F.col("finished") >= F.col("expected"), F.lit(False))
+        write_totals(totals.withColumn("reported", F.col("reported_before") | full), batch_id)
+        now = of(spark, totals_path, TOTALS, batch_id).filter("reported and not reported_before")
+        write_notices(completion_notices(now, stage), batch_id)
         if then is not None:
-            then(full, batch_id)
+            then(now, batch_id)
 
     return write
 
 
 def run_accumulator(
     finished: DataFrame,
-    expected: DataFrame,
+    listing: Callable[[], DataFrame],
     base: str,
     stage: str = "raw-to-zarr",
     then: Callable[[DataFrame, int], None] | None = None,
 ) -> DataFrame:
     """Process all available finishes and return the completion notices written so far."""
     spark = finished.sparkSession
-    notices = f"{base}/notices"
     query = (
-        first_finishes(finished, expected)
+        first_finishes(finished)
         .writeStream.outputMode("append")
         .option("checkpointLocation", f"{base}/checkpoint")
         .trigger(availableNow=True)
-        .foreachBatch(completion_writer(f"{base}/counts", notices, stage, then))
+        .foreachBatch(completion_writer(listing, base, stage, then))
         .start()
     )
     query.awaitTermination()
     return _read(
-        spark, notices,
+        spark, f"{base}/notices",
         "cruise_name string, stage string, files long, notice_time timestamp, batch_id long",
     )
 
@@ -142,21 +157,22 @@ def status_after_completion(
         F.col("filename").alias("file_name"), F.col("cruise").alias("cruise_name"),
         F.col("ship").alias("ship_name"), F.col("sensor").alias("sensor_name"),
     )
-    return listed.join(broadcast_if_small(completed.select("cruise_name")), "cruise_name").withColumn(
+    return listed.join(completed.select("cruise_name"), "cruise_name").withColumn(
         "pipeline_status", F.lit(status)
     )
 
 
 def run_aggregator(
-    finished: DataFrame, expected: DataFrame, files: DataFrame, base: str, stage: str = "regrid"
+    finished: DataFrame, listing: Callable[[], DataFrame], base: str, stage: str = "regrid"
 ) -> DataFrame:
     """Last stage: when all files of a cruise are regridded, mark each of them, and report the cruise.
 
-    Status rows are written below `base`/status by batch; returns the notices.
+    `listing` has ship and sensor beside cruise and filename. Status rows are written below
+    `base`/status by batch; returns the notices.
     """
     write_status = batch_writer(f"{base}/status", tables.as_status)
 
     def mark(completed: DataFrame, batch_id: int) -> None:
-        write_status(times.stamped(status_after_completion(completed, files)), batch_id)
+        write_status(times.stamped(status_after_completion(completed, listing())), batch_id)
 
-    return run_accumulator(finished, expected, base, stage, mark)
+    return run_accumulator(finished, listing, base, stage, mark)

@@ -82,9 +82,15 @@ def finished_events(done: DataFrame, failed: DataFrame) -> DataFrame:
 def without_repeats(
     events: DataFrame,
     keys: tuple[str, ...] = ("file_name", "cruise_name", "stage"),
-    delay: str = "1 day",
+    delay: str | None = None,
 ) -> DataFrame:
-    """First event per file, cruise and stage; the watermark bounds how long keys are remembered."""
+    """First event per file, cruise and stage, however late it comes.
+
+    One key per file and stage is remembered for good. A `delay` bounds that by a watermark on
+    event_time; then events later than it are dropped, which is for the caller to decide.
+    """
+    if delay is None:
+        return events.dropDuplicates(list(keys))
     return events.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(keys))
 
 

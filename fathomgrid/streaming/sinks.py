@@ -44,8 +44,12 @@ def run_available(
     return query
 
 
-def status_from_stream(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Status rows of a stream, appended batch by batch; the latest row per file counts at reading."""
-    return run_available(
-        events, path, checkpoint, lambda df: df.withColumn("pipeline_time", F.current_timestamp())
-    )
+def status_from_stream(
+    events: DataFrame, path: str, checkpoint: str, at: str | None = None
+) -> StreamingQuery:
+    """Status rows of a stream, appended batch by batch; the latest row per file counts at reading.
+
+    They are stamped with the column `at`, or with the clock of their batch.
+    """
+    stamp = F.current_timestamp() if at is None else F.col(at)
+    return run_available(events, path, checkpoint, lambda df: df.withColumn("pipeline_time", stamp))

@@ -65,17 +65,22 @@ def put(spark, path, rows):
     ).coalesce(1).write.mode("append").parquet(path)
 
 
-def test_completion_is_reported_once_across_restarts(spark, tmp_path):
-    source, base = str(tmp_path / "in"), str(tmp_path / "acc")
-    files = spark.createDataFrame(
-        [("A", "f0"), ("A", "f1"), ("A", "f1"), ("A", "f2"), ("B", "g0"), ("B", "g1")], "cruise string, filename string"
-    )
-    expected = accumulator.expected_files(files)
+FILES = [("A", "f0"), ("A", "f1"), ("A", "f1"), ("A", "f2"), ("B", "g0"), ("B", "g1")]
+
+
+def file_list(spark, rows=FILES):
+    return spark.createDataFrame(rows, "cruise string, filename string")
 
-    def run():
-        stream = spark.readStream.schema("cruise_name string, file_name string, event_time timestamp").parquet(source)
-        return sorted((r["cruise_name"], r["files"]) for r in accumulator.run_accumulator(stream, expected, base).collect())
 
+def accumulate(spark, source, base, listing):
+    stream = spark.readStream.schema("cruise_name string, file_name string, event_time timestamp").parquet(source)
+    rows = accumulator.run_accumulator(stream, listing, base).collect()
+    return sorted((r["cruise_name"], r["files"]) for r in rows)
+
+
+def test_completion_is_reported_once_across_restarts(spark, tmp_path):
+    source, base = str(tmp_path / "in"), str(tmp_path / "acc")
+    run = lambda: accumulate(spark, source, base, lambda: file_list(spark))
     put(spark, source, [("A", "f0"), ("A", "f0"), ("A", "f1"), ("B", "g0")])
     assert run() == []
     put(spark, source, [("A", "f0"), ("A", "f1"), ("X", "unknown")])
@@ -87,16 +92,41 @@ def test_completion_is_reported_once_across_restarts(spark, tmp_path):
     assert run() == [("A", 3), ("B", 2)]
 
 
+def test_stray_files_complete_nothing(spark, tmp_path):
+    source, base = str(tmp_path / "in"), str(tmp_path / "acc")
+    listing = lambda: file_list(spark, [("A", "f0"), ("A", "f1")])
+    put(spark, source, [("A", "f0"), ("A", "stray")])
+    assert accumulate(spark, source, base, listing) == []
+    put(spark, source, [("A", "f1"), ("A", "stray")])
+    assert accumulate(spark, source, base, listing) == [("A", 2)]
+    finished = spark.createDataFrame([("A", "f0"), ("A", "stray")], "cruise_name string, file_name string")
+    assert accumulator.completed_cruises(finished, listing()).count() == 0
+
+
+def test_finishes_of_a_cruise_listed_later_are_held(spark, tmp_path):
+    source, base = str(tmp_path / "in"), str(tmp_path / "acc")
+    put(spark, source, [("L", "x0"), ("L", "x1"), ("A", "f0")])
+    assert accumulate(spark, source, base, lambda: file_list(spark)) == []
+    later = lambda: file_list(spark, [*FILES, ("L", "x0"), ("L", "x1")])
+    put(spark, source, [("A", "f1")])
+    assert accumulate(spark, source, base, later) == [("L", 2)]
+    put(spark, source, [("L", "x1"), ("A", "f2")])
+    assert accumulate(spark, source, base, later) == [("A", 3), ("L", 2)]
+
+
 def test_replayed_batch_gives_the_same_notices(spark, tmp_path):
-    counts, notices = str(tmp_path / "counts"), str(tmp_path / "notices")
-    write = accumulator.completion_writer(counts, notices, "stage")
-    batch = lambda rows: spark.createDataFrame(rows, "cruise_name string, expected long")
-    write(batch([("A", 3), ("A", 3)]), 0)
-    write(batch([("A", 3), ("B", 1)]), 1)
-    write(batch([("A", 3), ("B", 1)]), 1)
-    write(batch([("B", 1)]), 2)
-    rows = spark.read.parquet(notices)
-    assert sorted((r["cruise_name"], r["files"], r["batch_id"]) for r in rows.collect()) == [("A", 3, 1), ("B", 1, 1)]
+    base = str(tmp_path / "acc")
+    write = accumulator.completion_writer(lambda: file_list(spark), base, "stage")
+    batch = lambda rows: spark.createDataFrame(rows, "cruise_name string, file_name string")
+    write(batch([("A", "f0"), ("A", "f1"), ("C", "held")]), 0)
+    write(batch([("A", "f2"), ("B", "g0")]), 1)
+    write(batch([("A", "f2"), ("B", "g0")]), 1)
+    write(batch([("B", "g1")]), 2)
+    rows = spark.read.parquet(f"{base}/notices")
+    assert sorted((r["cruise_name"], r["files"], r["batch_id"]) for r in rows.collect()) == [("A", 3, 1), ("B", 2, 2)]
+    totals = spark.read.parquet(f"{base}/totals").filter("batch_id = 2")
+    assert {r["cruise_name"]: r["finished"] for r in totals.collect()} == {"A": 3, "B": 2}
+    assert spark.read.parquet(f"{base}/held").filter("batch_id = 2").count() == 1
 
 
 def test_failures_complete_a_cruise(spark):
@@ -104,9 +134,8 @@ def test_failures_complete_a_cruise(spark):
     failed = spark.createDataFrame(
         [("A", "f1", T0), (None, None, T0)], "cruise_name string, file_name string, event_time timestamp"
     )
-    expected = spark.createDataFrame([("A", 2)], "cruise_name string, expected long")
     finished = messages.finished_events(done, failed)
-    complete = accumulator.completed_cruises(finished, expected)
+    complete = accumulator.completed_cruises(finished, file_list(spark, [("A", "f0"), ("A", "f1"), ("B", "g")]))
     assert [(r["cruise_name"], r["finished"]) for r in complete.collect()] == [("A", 2)]
     listed = spark.createDataFrame([("A", "f0"), ("A", "f1"), ("B", "g")], "cruise string, filename string").withColumns(
         {"ship": F.lit("s"), "sensor": F.lit("EK60")}
@@ -128,6 +157,26 @@ def test_repeats_and_status_rows(spark, tmp_path):
     assert [(r["pipeline_status"], r["event_seq"]) for r in latest.collect()] == [("SUCCESS", 3)]
 
 
+def test_late_events_are_kept_unless_a_delay_is_given(spark, tmp_path):
+    source, schema = str(tmp_path / "in"), "file_name string, cruise_name string, stage string, event_time timestamp"
+    one = lambda name, at: spark.createDataFrame([(name, "A", "raw", at)], schema).coalesce(1).write.mode("append").parquet(source)
+    for name, at in (("f", T0), ("g", T0 + dt.timedelta(days=30)), ("h", T0 - dt.timedelta(days=30)), ("f", T0 - dt.timedelta(days=60))):
+        one(name, at)
+        for delay in (None, "1 day"):
+            stream = messages.without_repeats(spark.readStream.schema(schema).parquet(source), delay=delay)
+            sinks.run_available(stream, str(tmp_path / f"out-{delay}"), str(tmp_path / f"cp-{delay}"))
+    kept = lambda delay: sorted(r["file_name"] for r in spark.read.parquet(str(tmp_path / f"out-{delay}")).collect())
+    assert kept(None) == ["f", "g", "h"] and kept("1 day") == ["f", "g"]
+
+
+def test_status_rows_take_the_time_of_their_event(spark, tmp_path):
+    source = str(tmp_path / "in")
+    spark.createDataFrame([("f", T0)], "file_name string, event_time timestamp").write.parquet(source)
+    stream = spark.readStream.schema("file_name string, event_time timestamp").parquet(source)
+    sinks.status_from_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "event_time")
+    assert spark.read.parquet(str(tmp_path / "out")).first()["pipeline_time"] == T0
+
+
 def test_log_lines(spark):
     lines = spark.createDataFrame(
         [("Error: Runtime exited with error: signal: killed",), ("x Task timed out after 900 s",), ("fine",)], "line string"

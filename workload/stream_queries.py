@@ -52,11 +52,12 @@ def _notifications(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _stream_of(spark: SparkSession, df: DataFrame, name: str, files: int = 3) -> DataFrame:
-    """`df` as a file stream read in several batches."""
+def _stream_of(spark: SparkSession, df: DataFrame, name: str, batches: int = 3) -> DataFrame:
+    """`df` as a file stream read in several batches, each of as many files as the data have parts."""
     path = scratch_path(spark, name)
-    df.repartition(files).write.parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", "1").parquet(path)
+    parts = max(1, df.rdd.getNumPartitions())
+    df.repartition(batches * parts).write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", str(parts)).parquet(path)
 
 
 _GOOD = "kind = 'good'"
@@ -122,42 +123,46 @@ def failure_stream(spark, d):
 
 # --- completion ----------------------------------------------------------------------------------
 
-# Four users make a cruise; purchases of some value finish their file, errors of some value fail it.
+# Four users make a cruise. Each kind of event of a user is a file, finished by its events and failed by
+# errors; every thirteenth event names a file that is not listed, and some users list a file that no
+# event finishes.
 _CRUISE = "'C' || cast(cast(floor(cast(user_id as double) / 4e0) as bigint) as string)"
-_FILE = "'F' || cast(user_id as string)"
-sql_view("v_member", f"SELECT DISTINCT {_CRUISE} AS cruise_name, {_FILE} AS file_name FROM events")
+_LISTED = "'F' || cast(user_id as string) || '-' || event_type"
+_NEVER = f"case when user_id % 7 = 0 then 'X' || cast(user_id as string) else {_LISTED} end"
+_NAMED = f"case when event_id % 13 = 0 then 'stray' || cast(event_id % 3 as string) else {_LISTED} end"
+sql_view(
+    "v_member",
+    f"SELECT {_CRUISE} AS cruise_name, {_LISTED} AS file_name FROM events "
+    f"UNION SELECT {_CRUISE}, {_NEVER} FROM events",
+)
 sql_view("v_expected", "SELECT cruise_name, count(*) AS expected FROM v_member GROUP BY cruise_name")
 sql_view(
     "v_finish",
-    f"""
-SELECT {_CRUISE} AS cruise_name, {_FILE} AS file_name, ts AS event_time, event_type, event_id FROM events
-WHERE (event_type = 'purchase' AND value > 1.2e2) OR (event_type = 'error' AND value > 1.6e2)""",
+    f"SELECT {_CRUISE} AS cruise_name, {_NAMED} AS file_name, ts AS event_time, event_type, event_id FROM events",
 )
 sql_view(
     "v_complete",
     """
-SELECT cruise_name, finished, expected FROM
-  (SELECT cruise_name, count(DISTINCT file_name) AS finished FROM v_finish GROUP BY cruise_name)
-JOIN v_expected USING (cruise_name) WHERE finished = expected""",
+SELECT cruise_name, count(f.file_name) AS finished, count(*) AS expected FROM v_member m
+LEFT JOIN (SELECT DISTINCT cruise_name, file_name FROM v_finish) f USING (cruise_name, file_name)
+GROUP BY cruise_name HAVING count(f.file_name) = count(*)""",
 )
 
 
 def _members(spark, d):
-    return (
-        table(spark, d, "events")
-        .selectExpr(f"{_CRUISE} AS cruise", f"{_FILE} AS filename", "'Ship' AS ship", "'EK60' AS sensor")
-        .distinct()
-    )
+    events = table(spark, d, "events")
+    rest = ("'Ship' AS ship", "'EK60' AS sensor")
+    listed = events.selectExpr(f"{_CRUISE} AS cruise", f"{_LISTED} AS filename", *rest)
+    return listed.union(events.selectExpr(f"{_CRUISE} AS cruise", f"{_NEVER} AS filename", *rest)).distinct()
 
 
 def _finishes(spark, d):
     events = table(spark, d, "events").selectExpr(
-        f"{_CRUISE} AS cruise_name", f"{_FILE} AS file_name", "cast(ts as timestamp) AS event_time",
-        "event_type", "value",
+        f"{_CRUISE} AS cruise_name", f"{_NAMED} AS file_name", "cast(ts as timestamp) AS event_time", "event_type"
+    )
+    return messages.finished_events(
+        events.filter("event_type <> 'error'"), events.filter("event_type = 'error'")
     )
-    done = events.filter("event_type = 'purchase' and value > 120")
-    failed = events.filter("event_type = 'error' and value > 160")
-    return messages.finished_events(done, failed)
 
 
 @query("expected_files", "SELECT * FROM v_expected")
@@ -167,9 +172,7 @@ def expected_files(spark, d):
 
 @query("completed_cruises", "SELECT * FROM v_complete")
 def completed_cruises(spark, d):
-    return accumulator.completed_cruises(
-        _finishes(spark, d), accumulator.expected_files(_members(spark, d))
-    )
+    return accumulator.completed_cruises(_finishes(spark, d), _members(spark, d))
 
 
 @query(
@@ -177,22 +180,60 @@ def completed_cruises(spark, d):
     "SELECT cruise_name, finished AS files, 'raw-to-zarr' AS stage, cast(1 AS bigint) AS notices FROM v_complete",
 )
 def completion_stream(spark, d):
-    """Completion notices of a stream in several batches; repeated finishes occur across batches."""
+    """Completion notices of a stream in several batches; repeated and stray finishes occur across them."""
     notices = accumulator.run_accumulator(
         _stream_of(spark, _finishes(spark, d), "finishes"),
-        accumulator.expected_files(_members(spark, d)),
+        lambda: _members(spark, d),
         scratch_path(spark, "accumulator"),
     )
     return notices.groupBy("cruise_name", "files", "stage").agg(F.count(F.lit(1)).alias("notices"))
 
 
+# Messages of even users' cruises that were cut short are not listed, so that their cruises complete.
+_USER = "'U' || cast(user_id as string)"
+sql_view(
+    "v_message_file",
+    f"SELECT {_USER} AS cruise, 'D' || cast(event_id AS string) || '.raw' AS filename, "
+    f"event_type = 'error' AS broken, user_id FROM events",
+)
+
+
+@query(
+    "message_completion",
+    """
+SELECT cruise AS cruise_name, count(*) FILTER (NOT broken) AS files, cast(1 AS bigint) AS notices FROM v_message_file
+GROUP BY cruise HAVING any_value(user_id) % 2 = 0 AND count(*) FILTER (NOT broken) > 0
+  OR count(*) FILTER (broken) = 0""",
+)
+def message_completion(spark, d):
+    """From notification texts to completed cruises in one stream: a malformed message fails its file,
+    and a failed file counts as finished where the message still tells which it is."""
+    fields = {**_FIELDS, "cruise_name": _USER}
+    made = table(spark, d, "events").selectExpr(
+        "event_id AS event_seq", "cast(ts as timestamp) AS event_time", f"{_KIND} AS kind", "user_id", "event_type",
+        *[f"{e} AS {c}" for c, e in fields.items()],
+    )
+    text = messages.notification(**{c: F.col(c) for c in fields})
+    short = messages.notification(**{c: F.col(c) for c in fields if c != "sensor_name"})
+    value = F.when(F.col("kind") == "broken", F.substring(text, 1, 40)).when(F.col("kind") == "short", short).otherwise(text)
+    listed = made.filter("not (event_type = 'error' and user_id % 2 = 0)").select(
+        F.col("cruise_name").alias("cruise"), F.col("input_file_name").alias("filename")
+    )
+    stream = _stream_of(spark, made.select("event_seq", "event_time", value.alias("value")), "notifications")
+    parsed = messages.parse_messages(stream)
+    done = parsed.filter("valid").withColumn("file_name", F.col("input_file_name"))
+    finished = messages.finished_events(done, messages.failures(parsed))
+    notices = accumulator.run_accumulator(finished, lambda: listed, scratch_path(spark, "accumulator"))
+    return notices.groupBy("cruise_name", "files").agg(F.count(F.lit(1)).alias("notices"))
+
+
 @query(
     "aggregated_status",
     "SELECT m.file_name, m.cruise_name, 'SUCCESS' AS pipeline_status FROM v_member m JOIN v_complete USING (cruise_name)",
 )
 def aggregated_status(spark, d):
     members = _members(spark, d)
-    done = accumulator.completed_cruises(_finishes(spark, d), accumulator.expected_files(members))
+    done = accumulator.completed_cruises(_finishes(spark, d), members)
     return accumulator.status_after_completion(done, members).select(
         "file_name", "cruise_name", "pipeline_status"
     )
@@ -205,9 +246,9 @@ def aggregated_status(spark, d):
 )
 def aggregator_stream(spark, d):
     """Status rows that a stream of finishes writes when a cruise is complete."""
-    members, base = _members(spark, d), scratch_path(spark, "aggregator")
+    base = scratch_path(spark, "aggregator")
     accumulator.run_aggregator(
-        _stream_of(spark, _finishes(spark, d), "regridded"), accumulator.expected_files(members), members, base
+        _stream_of(spark, _finishes(spark, d), "regridded"), lambda: _members(spark, d), base
     )
     return tables.read_status(spark, f"{base}/status").select(
         "file_name", "cruise_name", "pipeline_status", F.col("pipeline_time").isNotNull().alias("stamped")
@@ -219,9 +260,7 @@ def aggregator_stream(spark, d):
     "SELECT cruise_name, 'regrid' AS stage, finished AS files, true AS stamped FROM v_complete",
 )
 def completion_notices(spark, d):
-    done = accumulator.completed_cruises(
-        _finishes(spark, d), accumulator.expected_files(_members(spark, d))
-    )
+    done = accumulator.completed_cruises(_finishes(spark, d), _members(spark, d))
     return accumulator.completion_notices(done, "regrid").select(
         "cruise_name", "stage", "files", F.col("notice_time").isNotNull().alias("stamped")
     )
@@ -229,31 +268,28 @@ def completion_notices(spark, d):
 
 @query("repeat_removal", "SELECT DISTINCT file_name, cruise_name, event_type AS stage FROM v_finish")
 def repeat_removal(spark, d):
-    """First event per file, cruise and stage of a stream; the watermark spans the whole table."""
-    events = table(spark, d, "events").filter(
-        "(event_type = 'purchase' and value > 120) or (event_type = 'error' and value > 160)"
-    ).selectExpr(
-        f"{_CRUISE} AS cruise_name", f"{_FILE} AS file_name", "event_type AS stage",
+    """First event per file, cruise and stage of a stream; none is too late."""
+    events = table(spark, d, "events").selectExpr(
+        f"{_CRUISE} AS cruise_name", f"{_NAMED} AS file_name", "event_type AS stage",
         "cast(ts as timestamp) AS event_time",
     )
     base = scratch_path(spark, "repeats")
-    unique = messages.without_repeats(_stream_of(spark, events, "stages"), delay="3650 days")
+    unique = messages.without_repeats(_stream_of(spark, events, "stages"))
     sinks.run_available(unique, f"{base}/rows", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/rows").select("file_name", "cruise_name", "stage")
 
 
 @query(
     "status_stream",
-    "SELECT file_name, cruise_name, pipeline_status, event_seq FROM v_latest",
+    "SELECT file_name, cruise_name, pipeline_status, event_seq, pipeline_time FROM v_latest",
 )
 def status_stream(spark, d):
-    """Status rows appended by a stream; the latest row per file counts when reading."""
+    """Status rows appended by a stream, stamped with their event's time; the latest per file counts."""
     base = scratch_path(spark, "status-stream")
     rows = view(spark, d, "v_status").withColumn("event_time", F.col("pipeline_time")).drop("pipeline_time")
-    sinks.status_from_stream(_stream_of(spark, rows, "marks"), f"{base}/rows", f"{base}/checkpoint")
-    # Batches carry their own clock; the event order decides here, as it does within one batch.
-    log = spark.read.parquet(f"{base}/rows").withColumn("pipeline_time", F.col("event_time"))
-    return status.latest_status(log).select("file_name", "cruise_name", "pipeline_status", "event_seq")
+    sinks.status_from_stream(_stream_of(spark, rows, "marks"), f"{base}/rows", f"{base}/checkpoint", "event_time")
+    log = spark.read.parquet(f"{base}/rows")
+    return status.latest_status(log).select("file_name", "cruise_name", "pipeline_status", "event_seq", "pipeline_time")
 
 
 _LINE = (
