@@ -31,19 +31,32 @@ def in_bounds(latitude: Column, longitude: Column) -> Column:
     )
 
 
+def map_x(longitude: Column) -> Column:
+    """Place on the square map from west to east, 0 to 1."""
+    return (longitude + 180.0) / 360.0
+
+
+def map_y(latitude: Column) -> Column:
+    """Place on the square map from north to south, 0 to 1."""
+    clamped = F.greatest(F.lit(-MERCATOR_LIMIT), F.least(latitude, F.lit(MERCATOR_LIMIT)))
+    angle = F.radians(clamped)
+    height = F.ln(F.tan(angle) + F.lit(1.0) / F.cos(angle))
+    return (F.lit(1.0) - height / F.lit(math.pi)) / 2.0
+
+
+def tile_of(place: Column, side: Column) -> Column:
+    """Tile number of a place given in tiles; the map's far edge belongs to the last tile."""
+    return F.greatest(F.lit(0).cast("long"), F.least(F.floor(place), side.cast("long") - 1))
+
+
 def tile_x(longitude: Column, zoom: Column) -> Column:
     side = F.pow(F.lit(2.0), zoom)
-    cell = F.floor((longitude + 180.0) / 360.0 * side)
-    return F.greatest(F.lit(0).cast("long"), F.least(cell, side.cast("long") - 1))
+    return tile_of(map_x(longitude) * side, side)
 
 
 def tile_y(latitude: Column, zoom: Column) -> Column:
     side = F.pow(F.lit(2.0), zoom)
-    clamped = F.greatest(F.lit(-MERCATOR_LIMIT), F.least(latitude, F.lit(MERCATOR_LIMIT)))
-    angle = F.radians(clamped)
-    height = F.ln(F.tan(angle) + F.lit(1.0) / F.cos(angle))
-    cell = F.floor((F.lit(1.0) - height / F.lit(math.pi)) / 2.0 * side)
-    return F.greatest(F.lit(0).cast("long"), F.least(cell, side.cast("long") - 1))
+    return tile_of(map_y(latitude) * side, side)
 
 
 def geohash(latitude: Column, longitude: Column, precision: int = 5) -> Column:

@@ -1,19 +1,24 @@
-"""Map tiles and geohash cells of tracks."""
+"""Map tiles and geohash cells of tracks.
+
+A tile row is a stretch of a line within one tile: a straight piece with its two ends. Stretches follow each
+other by (from_idx, start); `part` numbers the visits of a line, so a line that leaves a tile and comes
+back has two parts there. Rows have this one form however many lines a tile holds.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomgrid.functions import geo
-from fathomgrid.operators.small import broadcast_if_small
-from fathomgrid.operators.tracks import LINE_POINTS, MAX_ZOOM
+from fathomgrid.operators.ordered import Layout, previous, running_sum, scan
+from fathomgrid.operators.tracks import LINE, MAX_ZOOM, at_levels, with_ends
 
 TILE_KEY = ("z", "x", "y")
-FINEST = 24
-"""Zoom level at which points are projected; a tile at zoom z is that cell shifted by 24 - z bits."""
+ORDER = ("from_idx", "start")
 
 
 def tile_points(points: DataFrame, max_zoom: int = MAX_ZOOM) -> DataFrame:
@@ -27,88 +32,137 @@ def tile_points(points: DataFrame, max_zoom: int = MAX_ZOOM) -> DataFrame:
     )
 
 
-def tile_lines(lines: DataFrame, levels: Sequence[float] | int = MAX_ZOOM) -> DataFrame:
-    """Cut lines into the tiles of every zoom level: one row per line and tile it has points in.
+def edges(levelled: DataFrame, keys: Sequence[str] = LINE, layout: Layout | None = None) -> DataFrame:
+    """Straight steps between the points a line keeps at a zoom level; a lone point steps nowhere.
+
+    `levelled`: the line's keys, z, point_idx, longitude, latitude, last_point.
+    """
+    here = F.struct("point_idx", F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
+    group = [*keys, "z"]
+    stepped = scan(levelled, group, ["point_idx"], [previous("__from", here)], layout)
+    lone = F.col("last_point.point_idx") == 0
+    return stepped.filter(F.col("__from").isNotNull() | lone).select(
+        *group,
+        F.coalesce("__from.point_idx", "point_idx").alias("from_idx"),
+        F.col("point_idx").alias("to_idx"),
+        F.coalesce("__from.lon", "longitude").alias("lon0"),
+        F.coalesce("__from.lat", "latitude").alias("lat0"),
+        F.col("longitude").alias("lon1"),
+        F.col("latitude").alias("lat1"),
+    )
+
+
+def _crossings(a: Column, b: Column) -> Column:
+    """Shares of the way from a to b at which whole numbers are passed."""
+    low, high = F.floor(F.least(a, b)) + 1, F.ceil(F.greatest(a, b)) - 1
+    none = F.array().cast("array<double>")
+    return F.when(low <= high, F.transform(F.sequence(low, high), lambda k: (k - a) / (b - a))).otherwise(none)
 
-    `levels` is the deepest zoom, or a tolerance per zoom level for lines with an `importance`
-    column: a level then keeps the points whose importance exceeds its tolerance.
 
-    Points are projected once, at the finest zoom; coarser tiles are found by shifting. A line
-    has a bounded number of points and is cut within its row, so nothing is shuffled.
+def tile_lines(
+    points: DataFrame,
+    levels: Sequence[float] | int = MAX_ZOOM,
+    keys: Sequence[str] = LINE,
+    layout: Layout | None = None,
+) -> DataFrame:
+    """Lines cut at the borders of every tile they cross, at every zoom level.
+
+    `levels` is the deepest zoom, or a tolerance per zoom level for points with an `importance`: a level
+    then keeps the points whose importance exceeds its tolerance.
+
+    Each edge is cut within its row: the shares of its way at which it passes a tile border are sorted,
+    and each stretch between two of them lies in the tile of its middle. An edge passes at most twice
+    as many borders as the map has tiles across.
     """
-    simplified = not isinstance(levels, int)
-    zooms = [
-        F.struct(F.lit(z).alias("z"), F.lit(FINEST - z).alias("up"), F.lit(t).alias("t"))
-        for z, t in enumerate(levels if simplified else [0.0] * (levels + 1))
-    ]
-    weighed = F.arrays_zip(F.col("points").alias("p"), F.col("importance").alias("i")) if simplified else (
-        F.transform("points", lambda p: F.struct(p.alias("p"), F.lit(float("inf")).alias("i")))
+    keys = list(keys)
+    ended = with_ends(points, keys).drop("first_point")
+    if isinstance(levels, int):
+        levelled = ended.withColumn("z", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+    else:
+        levelled = at_levels(ended, levels)
+    steps = edges(levelled, keys, layout)
+    side = F.pow(F.lit(2.0), F.col("z"))
+    placed = steps.withColumns(
+        {
+            "__u0": geo.map_x(F.col("lon0")) * side,
+            "__v0": geo.map_y(F.col("lat0")) * side,
+            "__u1": geo.map_x(F.col("lon1")) * side,
+            "__v1": geo.map_y(F.col("lat1")) * side,
+        }
     )
-    projected = F.transform(
-        weighed,
-        lambda q: F.struct(
-            geo.tile_x(q["p"]["lon"], F.lit(FINEST)).alias("x"),
-            geo.tile_y(q["p"]["lat"], F.lit(FINEST)).alias("y"),
-            F.struct(q["p"]["lon"].alias("lon"), q["p"]["lat"].alias("lat")).alias("p"),
-            q["i"].alias("i"),
-        ),
+    u0, v0, u1, v1 = (F.col(f"__{c}") for c in ("u0", "v0", "u1", "v1"))
+    cuts = F.array_sort(
+        F.array_distinct(
+            F.concat(F.array(F.lit(0.0)), _crossings(u0, u1), _crossings(v0, v1), F.array(F.lit(1.0)))
+        )
     )
-    levelled = lines.withColumn("__at", projected).withColumn("__level", F.explode(F.array(*zooms)))
-    up = F.col("__level.up")
-    placed = F.transform(
-        F.filter("__at", lambda q: q["i"] > F.col("__level.t")),
-        lambda q: F.struct(
-            F.struct(
-                *[F.call_function("shiftright", q[c], up).alias(c) for c in ("x", "y")]
-            ).alias("cell"),
-            q["p"].alias("p"),
-        ),
+    cut = placed.withColumn("__cuts", cuts)
+    pieces = F.transform(
+        F.slice("__cuts", F.lit(1), F.size("__cuts") - 1),
+        lambda t, i: F.struct(t.alias("start"), F.get(F.col("__cuts"), i + 1).alias("stop")),
     )
-    rest = [c for c in lines.columns if c not in ("points", "importance")]
-    cut = levelled.select(*rest, F.col("__level.z").alias("z"), placed.alias("__at")).select(
-        "*", F.explode(F.array_distinct(F.transform("__at", lambda q: q["cell"]))).alias("__cell")
+    group = [*keys, "z"]
+    each = cut.select(
+        *group, "from_idx", "to_idx", "lon0", "lat0", "lon1", "lat1", "__u0", "__v0", "__u1", "__v1", F.inline(pieces)
     )
-    inside = F.filter("__at", lambda q: q["cell"] == F.col("__cell"))
-    return cut.select(
-        *rest, "z", "__cell.x", "__cell.y", F.transform(inside, lambda q: q["p"]).alias("points")
+    middle = (F.col("start") + F.col("stop")) / 2.0
+    tiled = each.withColumns(
+        {"x": geo.tile_of(u0 + middle * (u1 - u0), side), "y": geo.tile_of(v0 + middle * (v1 - v0), side)}
     )
+    cell = F.struct("x", "y")
+    entered = scan(tiled, group, list(ORDER), [previous("__cell", cell)], layout)
+    moved = (F.col("__cell.x") != F.col("x")) | (F.col("__cell.y") != F.col("y"))
+    visited = scan(entered, group, list(ORDER), [running_sum("part", F.coalesce(moved, F.lit(False)).cast("long"))], layout)
+
+    def lon(t: Column) -> Column:
+        return F.when(t == 0, F.col("lon0")).when(t == 1, F.col("lon1")).otherwise(
+            F.col("lon0") + t * (F.col("lon1") - F.col("lon0"))
+        )
+
+    def lat(t: Column) -> Column:
+        across = F.lit(math.pi) * (1.0 - 2.0 * (v0 + t * (v1 - v0)) / side)
+        return F.when(t == 0, F.col("lat0")).when(t == 1, F.col("lat1")).otherwise(F.degrees(F.atan(F.sinh(across))))
+
+    start, stop = F.col("start"), F.col("stop")
+    ends = {"start_lon": lon(start), "start_lat": lat(start), "stop_lon": lon(stop), "stop_lat": lat(stop)}
+    return visited.select(
+        *keys, *TILE_KEY, "part", "from_idx", "to_idx", "start", "stop", *[c.alias(n) for n, c in ends.items()]
+    )
+
 
+def replace_cruises(
+    existing: DataFrame, fresh: DataFrame, cruises: DataFrame | None = None
+) -> DataFrame:
+    """Tile rows of all cruises: those of `fresh` replace earlier rows of the same cruises.
 
-def replace_cruises(existing: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Tile rows of all cruises: those of `fresh` replace earlier rows of the same cruises."""
-    renewed = fresh.select("cruise").distinct()
-    kept = existing.join(broadcast_if_small(renewed), "cruise", "left_anti")
+    `cruises` names the published cruises, so that one whose fresh tiles are empty loses its old ones.
+    """
+    renewed = (fresh if cruises is None else cruises).select("cruise").distinct()
+    kept = existing.join(renewed, "cruise", "left_anti")
     return kept.unionByName(fresh)
 
 
-def tile_summary(tile_rows: DataFrame) -> DataFrame:
-    """Lines, points and cruises per tile. Counted per cruise first: the coarsest tile holds all."""
-    per_cruise = tile_rows.groupBy(*TILE_KEY, "cruise").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(F.size("points")).alias("points")
+def tile_summary(tile_rows: DataFrame, keys: Sequence[str] = LINE) -> DataFrame:
+    """Cruises, parts of lines and stretches per tile. Counted per line first: the coarsest tile holds all."""
+    per_line = tile_rows.groupBy(*TILE_KEY, *keys).agg(
+        F.count(F.lit(1)).alias("stretches"), F.count_distinct("part").alias("parts")
+    )
+    per_cruise = per_line.groupBy(*TILE_KEY, "cruise").agg(
+        F.sum("stretches").alias("stretches"), F.sum("parts").alias("parts")
     )
     return per_cruise.groupBy(*TILE_KEY).agg(
-        F.count(F.lit(1)).alias("cruises"),
-        F.sum("lines").alias("lines"),
-        F.sum("points").alias("points"),
+        F.count(F.lit(1)).alias("cruises"), F.sum("parts").alias("parts"), F.sum("stretches").alias("stretches")
     )
 
 
-def merge_tiles(tile_rows: DataFrame, batch_points: int = LINE_POINTS) -> DataFrame:
-    """Tiles with the lines of all cruises, in batches of about `batch_points` points.
+def merge_tiles(tile_rows: DataFrame, keys: Sequence[str] = LINE) -> DataFrame:
+    """Rows of all cruises in the order of tiles, and within a tile by line, part and place.
 
-    The coarsest tile holds every line of every cruise, so a tile is not one group: its point
-    count fixes its number of batches, and lines are spread over them by hash.
+    Rows are dealt by range of all these columns, so the coarsest tile, which holds every line, is spread
+    over as many tasks as it has rows for, and a reader of one tile reads neighbouring files.
     """
-    sizes = tile_summary(tile_rows).select(
-        *TILE_KEY, F.ceil(F.col("points") / F.lit(batch_points)).alias("batches")
-    )
-    line = F.struct("cruise", "segment", "piece", "points")
-    return (
-        tile_rows.join(broadcast_if_small(sizes), list(TILE_KEY))
-        .withColumn("batch", F.pmod(F.xxhash64("cruise", "segment", "piece"), F.col("batches")))
-        .groupBy(*TILE_KEY, "batch")
-        .agg(F.array_sort(F.collect_list(line)).alias("lines"))
-    )
+    order = [*TILE_KEY, *keys, "part", *ORDER]
+    return tile_rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def geohash_cells(

@@ -12,7 +12,9 @@ from fathomgrid.operators.ordered import measure
 
 @dataclass(frozen=True)
 class MapStage:
-    lines: DataFrame
+    """`points` are the points of lines with their importance."""
+
+    points: DataFrame
     tile_rows: DataFrame
     cells: DataFrame
 
@@ -21,26 +23,25 @@ def map_stage(
     points: DataFrame,
     gap_ms: int = tracks.SPLIT_MS,
     precision: int = tracks.PRECISION,
-    line_points: int = tracks.LINE_POINTS,
     max_zoom: int = tracks.MAX_ZOOM,
     smallest: float = tracks.MIN_TOLERANCE,
     largest: float = tracks.MAX_TOLERANCE,
     geohash_precision: int = 5,
 ) -> MapStage:
     """Lines, tiles and cells of `points`: cruise, ts, seq, longitude, latitude."""
-    # Segments are never larger than their track, so one measurement serves all steps.
+    # Segments are never larger than their track, so one measurement serves their steps.
     layout = measure(points, ["cruise"])
     split = tracks.split_tracks(points, gap_ms, layout=layout)
-    lines = tracks.assemble(tracks.track_points(split, precision, layout=layout), line_points)
-    tile_rows = tiles.tile_lines(
-        tracks.with_importance(lines), tracks.tolerances(max_zoom, smallest, largest)
-    )
-    return MapStage(lines, tile_rows, tiles.geohash_cells(points, geohash_precision))
+    weighed = tracks.with_importance(tracks.track_points(split, precision, layout=layout))
+    rows = tiles.tile_lines(weighed, tracks.tolerances(max_zoom, smallest, largest))
+    return MapStage(weighed, rows, tiles.geohash_cells(points, geohash_precision))
 
 
-def publish(stage: MapStage, existing_tiles: DataFrame | None = None) -> DataFrame:
+def publish(
+    stage: MapStage, existing_tiles: DataFrame | None = None, cruises: DataFrame | None = None
+) -> DataFrame:
     """Merged tiles of all cruises, those of this stage replacing their earlier versions."""
-    rows = stage.tile_rows.select("z", "x", "y", "cruise", "segment", "piece", "points")
+    rows = stage.tile_rows
     if existing_tiles is not None:
-        rows = tiles.replace_cruises(existing_tiles, rows)
+        rows = tiles.replace_cruises(existing_tiles, rows, cruises)
     return tiles.merge_tiles(rows)

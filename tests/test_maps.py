@@ -36,17 +36,31 @@ def test_repeats_are_dropped_within_a_segment(spark):
     assert got == [(0, 0, 1.0), (0, 1, 1.1), (0, 2, 1.0), (1, 0, 1.0)]
 
 
-def test_pieces_share_their_joint(spark):
-    for n in (1, 2, 4, 5, 7, 10):
-        points = tracks.track_points(tracks.split_tracks(track(spark, [("a", i, float(i), 0.0) for i in range(n)])))
-        lines = tracks.assemble(points, 4).orderBy("piece").collect()
-        sizes = [len(r["points"]) for r in lines]
-        assert max(sizes) <= 4 and (n == 1 or min(sizes) > 1)
-        drawn = [p["lon"] for p in lines[0]["points"]]
-        for line in lines[1:]:
-            assert line["points"][0]["lon"] == drawn[-1]
-            drawn += [p["lon"] for p in line["points"][1:]]
-        assert drawn == [float(i) for i in range(n)]
+def lines_of(spark, rows):
+    return tracks.track_points(tracks.split_tracks(track(spark, rows)))
+
+
+def test_a_line_is_whole_at_any_length(spark):
+    for n in (1, 2, 500):
+        lines = tracks.line_strings(lines_of(spark, [("a", i, i / 10, 0.0) for i in range(n)])).collect()
+        assert [[p["lon"] for p in r["points"]] for r in lines] == [[i / 10 for i in range(n)]]
+
+
+def test_antimeridian_cuts_a_segment(spark):
+    rows = [("a", 0, 179.0, 0.0), ("a", 60, 179.9, 1.0), ("a", 120, -179.9, 2.0), ("a", 180, 179.5, 3.0),
+            ("b", 0, 180.0, 5.0), ("b", 60, -170.0, 6.0), ("c", 0, -179.0, 0.0), ("c", 60, -180.0, 1.0), ("c", 120, 180.0, 1.0)]
+    got = {}
+    for r in lines_of(spark, rows).orderBy("cruise", "side", "point_idx").collect():
+        got.setdefault((r["cruise"], r["side"]), []).append((r["longitude"], round(r["latitude"], 5)))
+    assert got == {
+        ("a", 0): [(179.0, 0.0), (179.9, 1.0), (180.0, 1.5)],
+        ("a", 1): [(-180.0, 1.5), (-179.9, 2.0), (-180.0, 2.16667)],
+        ("a", 2): [(180.0, 2.16667), (179.5, 3.0)],
+        ("b", 0): [(180.0, 5.0)],
+        ("b", 1): [(-180.0, 5.0), (-170.0, 6.0)],
+        ("c", 0): [(-179.0, 0.0), (-180.0, 1.0)],
+        ("c", 1): [(180.0, 1.0)],
+    }
 
 
 def recursive(xs, ys, tolerance):
@@ -82,14 +96,25 @@ def test_importance_answers_every_tolerance():
 def test_simplify_in_spark(spark):
     rng = random.Random(2)
     rows = [("a", i, rng.uniform(0, 5), rng.uniform(0, 5)) for i in range(40)]
-    lines = tracks.assemble(tracks.track_points(tracks.split_tracks(track(spark, rows))))
-    got = [(p["lon"], p["lat"]) for p in tracks.simplify(lines, 1.0).first()["points"]]
+    weighed = tracks.with_importance(lines_of(spark, rows))
+    got = [(r["longitude"], r["latitude"]) for r in tracks.simplify(weighed, 1.0).orderBy("point_idx").collect()]
     xs, ys = [round(r[2], 5) for r in rows], [round(r[3], 5) for r in rows]
     assert got == [(xs[i], ys[i]) for i in recursive(xs, ys, 1.0)]
-    by_zoom = {r["z"]: len(r["points"]) for r in tracks.simplify_by_zoom(lines, 3, 0.1, 3.0).collect()}
+    by_zoom = {r["z"]: r["count"] for r in tracks.simplify_by_zoom(weighed, 3, 0.1, 3.0).groupBy("z").count().collect()}
     assert list(sorted(by_zoom)) == [0, 1, 2, 3] and by_zoom[0] <= by_zoom[1] <= by_zoom[2] <= by_zoom[3]
 
 
+def test_importance_does_not_depend_on_the_span_a_task_takes(spark):
+    rng = random.Random(5)
+    rows = [(c, i, rng.uniform(0, 5) + i / 9, rng.uniform(0, 3)) for c in "ab" for i in range(150)]
+    points = lines_of(spark, rows).persist()
+    shown = lambda df: sorted((r["cruise"], r["point_idx"], r["importance"]) for r in df.collect())
+    whole = shown(tracks.with_importance(points))
+    assert whole == shown(tracks.with_importance(points, span_points=20)) == shown(tracks.with_importance(points, span_points=1))
+    xs, ys = [round(r[2], 5) for r in rows[:150]], [round(r[3], 5) for r in rows[:150]]
+    assert [i for c, _, i in whole if c == "a"] == list(tracks.point_importance(np.array(xs), np.array(ys)))
+
+
 def test_tolerances():
     assert tracks.tolerance_at(0) == 0.1
     assert math.isclose(tracks.tolerance_at(7), 0.001)
@@ -107,27 +132,63 @@ def test_tile_edges(spark):
     assert got[(-77.03, 3)] == (2, 3)
 
 
-def test_lines_are_cut_by_tile(spark):
-    lines = spark.createDataFrame(
-        [("a", 0, 0, [(T0, -10.0, 10.0), (T0, 10.0, 10.0), (T0, -20.0, 10.0)])],
-        "cruise string, segment long, piece long, points array<struct<ts timestamp, lon double, lat double>>",
-    )
-    rows = tiles.tile_lines(lines, 1).collect()
-    got = {(r["z"], r["x"], r["y"]): [p["lon"] for p in r["points"]] for r in rows}
-    assert got == {(0, 0, 0): [-10.0, 10.0, -20.0], (1, 0, 0): [-10.0, -20.0], (1, 1, 0): [10.0]}
-
-
-def test_merge_keeps_every_line_in_bounded_batches(spark):
-    rows = [(0, 0, 0, f"c{i % 7}", i, 0, [(float(i), 0.0)] * 10) for i in range(300)]
-    schema = "z int, x long, y long, cruise string, segment long, piece long, points array<struct<lon double, lat double>>"
-    merged = tiles.merge_tiles(spark.createDataFrame(rows, schema), batch_points=100).collect()
-    lines = [(l["cruise"], l["segment"]) for r in merged for l in r["lines"]]
-    assert sorted(lines) == sorted((r[3], r[4]) for r in rows)
-    assert len(merged) > 20
-    again = tiles.replace_cruises(
-        spark.createDataFrame(rows, schema), spark.createDataFrame([r for r in rows if r[3] == "c1"][:2], schema)
-    )
-    assert again.filter("cruise = 'c1'").count() == 2 and again.count() == 300 - len([r for r in rows if r[3] == "c1"]) + 2
+def stretches(rows, z):
+    """(x, y) and longitudes of the stretches of one zoom level, in the order of the line."""
+    found = sorted((r for r in rows if r["z"] == z), key=lambda r: (r["segment"], r["side"], r["from_idx"], r["start"]))
+    return [((r["x"], r["y"]), r["part"], round(r["start_lon"], 6), round(r["stop_lon"], 6)) for r in found]
+
+
+def test_an_edge_is_in_every_tile_it_crosses(spark):
+    rows = tiles.tile_lines(lines_of(spark, [("a", 0, -60.0, 10.0), ("a", 60, 60.0, 10.0)]), 4).collect()
+    assert [x for (x, _), *_ in stretches(rows, 4)] == [5, 6, 7, 8, 9, 10]
+    assert [(s[2], s[3]) for s in stretches(rows, 4)] == [(-60.0, -45.0), (-45.0, -22.5), (-22.5, 0.0), (0.0, 22.5), (22.5, 45.0), (45.0, 60.0)]
+    assert stretches(rows, 0) == [((0, 0), 0, -60.0, 60.0)]
+
+
+def test_a_line_that_comes_back_has_two_parts(spark):
+    rows = tiles.tile_lines(lines_of(spark, [("a", 0, -10.0, 10.0), ("a", 60, 10.0, 10.0), ("a", 120, -20.0, 10.0)]), 1).collect()
+    assert stretches(rows, 1) == [
+        ((0, 0), 0, -10.0, 0.0), ((1, 0), 1, 0.0, 10.0), ((1, 0), 1, 10.0, 0.0), ((0, 0), 2, 0.0, -20.0)
+    ]
+
+
+def test_a_lone_point_keeps_its_tile(spark):
+    rows = tiles.tile_lines(tracks.with_importance(lines_of(spark, [("a", 0, 5.0, 5.0)])), [0.1, 0.01]).collect()
+    assert [(r["z"], r["x"], r["y"], r["start_lon"], r["stop_lat"]) for r in sorted(rows, key=lambda r: r["z"])] == [
+        (0, 0, 0, 5.0, 5.0), (1, 1, 0, 5.0, 5.0)
+    ]
+
+
+def test_stretches_cover_every_edge(spark):
+    rng = random.Random(8)
+    lines = lines_of(spark, [("a", i, rng.uniform(-170, 170), rng.uniform(-80, 80)) for i in range(30)])
+    rows = tiles.tile_lines(lines, 5).collect()
+    for z in range(6):
+        edges = {}
+        for r in rows:
+            if r["z"] == z:
+                edges.setdefault((r["side"], r["from_idx"]), []).append(r)
+        for parts in edges.values():
+            parts.sort(key=lambda r: r["start"])
+            assert parts[0]["start"] == 0 and parts[-1]["stop"] == 1
+            for a, b in zip(parts, parts[1:]):
+                assert a["stop"] == b["start"] and abs(a["x"] - b["x"]) <= 1 and abs(a["y"] - b["y"]) <= 1
+                assert (a["x"], a["y"]) != (b["x"], b["y"])
+
+
+def test_merge_and_replacement(spark):
+    rows = tiles.tile_lines(lines_of(spark, [(f"c{i % 7}", i, i / 3 - 50, i / 5) for i in range(210)]), 3)
+    merged = tiles.merge_tiles(rows)
+    key = lambda r: tuple(r[c] for c in (*tiles.TILE_KEY, *tracks.LINE, "part", *tiles.ORDER))
+    got = [key(r) for r in merged.collect()]
+    assert got == sorted(key(r) for r in rows.collect())
+    fresh = rows.filter("cruise = 'c1' and z = 0")
+    again = tiles.replace_cruises(rows, fresh)
+    assert again.filter("cruise = 'c1'").count() == fresh.count()
+    assert again.count() == rows.filter("cruise <> 'c1'").count() + fresh.count()
+    # A published cruise without tiles of its own loses the earlier ones.
+    gone = tiles.replace_cruises(rows, rows.filter("false"), spark.createDataFrame([("c2",)], "cruise string"))
+    assert gone.filter("cruise = 'c2'").count() == 0 and gone.filter("cruise = 'c3'").count() > 0
 
 
 def encode(lat, lon, n):
@@ -159,9 +220,9 @@ def test_map_stage(spark):
     rng = random.Random(4)
     rows = [(c, i * 60 + (i // 50) * 3600, -70 + i * 0.05 + rng.uniform(0, 0.1), 40 + rng.uniform(0, 0.5)) for c in "ab" for i in range(120)]
     stage = map_job.map_stage(track(spark, rows))
-    assert stage.lines.count() == 6
+    assert stage.points.select(*tracks.LINE).distinct().count() == 6
     assert stage.cells.agg(F.sum("ping_count")).first()[0] == 240
     merged = map_job.publish(stage)
-    assert merged.filter("z = 0").select(F.sum(F.size("lines"))).first()[0] == 6
-    kept = stage.tile_rows.groupBy("z").agg(F.sum(F.size("points")).alias("n")).orderBy("z").collect()
-    assert kept[0]["n"] < kept[-1]["n"] <= 240
+    assert merged.filter("z = 0").select(*tracks.LINE).distinct().count() == 6
+    ends = merged.groupBy("z").agg(F.count_distinct(*tracks.LINE, "to_idx").alias("n")).orderBy("z").collect()
+    assert ends[0]["n"] < ends[-1]["n"] <= 240

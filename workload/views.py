@@ -128,6 +128,7 @@ shared(
         "num_ping_time_dropna": "event_id % 9",
     },
 )
+# Every event is a fix or a ping of its user's file.
 shared(
     "v_fix",
     "events",
@@ -139,15 +140,16 @@ shared(
         "latitude": "case when event_id % 11 = 0 then null else value end",
         "longitude": "case when event_id % 11 = 0 then null else value * 2e0 - 1.2e2 end",
     },
-    "event_type = 'view'",
+    "event_type in ('view', 'signup', 'error')",
 )
 shared(
     "v_ping",
     "events",
     {"cruise": _USER_CRUISE, "file_name": _USER_FILE, "ping_idx": "event_id", "ping_time": "ts"},
-    "event_type = 'click'",
+    "event_type in ('click', 'purchase')",
 )
 _HOURS = "(cast(@us(ts) - 1704067200000000 as double) / 3.6e9)"
+_EAST = f"(cast(user_id * 37 % 340 - 179 as double) + floor({_HOURS} / 1.2e1) * 1.37e-1)"
 shared(
     "v_track",
     "events",
@@ -155,7 +157,8 @@ shared(
         "cruise": "'C' || cast(user_id as string)",
         "seq": "event_id",
         "ts": "ts",
-        "longitude": f"cast(user_id * 37 % 340 - 179 as double) + floor({_HOURS} / 1.2e1) * 1.37e-1",
+        # Eastward, and round the world: some tracks cross the antimeridian.
+        "longitude": f"{_EAST} - 3.6e2 * floor(({_EAST} + 1.8e2) / 3.6e2)",
         "latitude": f"cast(user_id % 100 - 60 as double) + floor({_HOURS} / 1.2e1) * 2.5e-1"
         f" + cast((cast(floor({_HOURS} / 1.2e1) as bigint) * (user_id + 3)) % 7 as double) * 1.13e-1",
     },
