@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,23 +34,41 @@ def list_objects(spark: SparkSession, root: str, pattern: str = "*", strip: str
     )
 
 
-def header_tags(spark: SparkSession, representatives: DataFrame, root: str) -> DataFrame:
+HEADER_BYTES = 8
+
+
+def header_tags(representatives: DataFrame, root: str) -> DataFrame:
     """Header tag of one file per cruise: cruise, key, datagram.
 
-    The file list is the only thing that passes through the driver, one path per cruise. Contents
-    of other files are never opened.
+    Executors open the chosen files and read their first bytes only; nothing passes through the driver. A
+    file that cannot be found has a null tag. `root` is a path or an address that pyarrow's file
+    systems know.
     """
-    base = root.rstrip("/")
-    chosen = [(r["cruise"], r["key"]) for r in representatives.select("cruise", "key").toLocalIterator()]
-    paired = spark.createDataFrame(chosen, "cruise string, key string")
-    if not chosen:
-        return paired.withColumn("datagram", F.lit(None).cast("string"))
-    files = spark.read.format("binaryFile").load([f"{base}/{key}" for _, key in chosen])
-    tags = files.select(
-        F.substring_index("path", f"{base}/", -1).alias("key"),
-        names.header_tag(F.col("content")).alias("datagram"),
-    )
-    return paired.join(tags, "key").select("cruise", "key", "datagram")
+    base = _plain(root)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, folder = fs.FileSystem.from_uri(base)
+
+        def head(key: str | None) -> bytes | None:
+            try:
+                with store.open_input_file(f"{folder.rstrip('/')}/{key}") as f:
+                    return f.read_at(HEADER_BYTES, 0)
+            except FileNotFoundError:
+                return None
+
+        for batch in batches:
+            heads = pa.array([head(k) for k in batch.column("key").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("cruise"), batch.column("key"), heads], ["cruise", "key", "head"])
+
+    opened = representatives.select("cruise", "key").mapInArrow(read, "cruise string, key string, head binary")
+    return opened.select("cruise", "key", names.header_tag(F.col("head")).alias("datagram"))
+
+
+def _plain(root: str) -> str:
+    """Hadoop writes local addresses with one slash."""
+    return re.sub(r"^file:/+", "/", root.rstrip("/"))
 
 
 def read_calibration(spark: SparkSession, path: str) -> DataFrame:

@@ -105,7 +105,7 @@ def test_empty_listing_gives_empty_index(spark):
     headers = spark.createDataFrame([], "cruise string, datagram string")
     calibration = spark.createDataFrame([], "dataset_name string, instrument_name string, calibrated boolean")
     assert catalog.cruise_index(files, headers, calibration).count() == 0
-    assert archive.header_tags(spark, catalog.representatives(files), "/nowhere").count() == 0
+    assert archive.header_tags(catalog.representatives(files), "/nowhere").count() == 0
 
 
 def test_index_ignores_unparsed_dates(spark):

@@ -121,11 +121,21 @@ def file_stage_parts(spark, d):
     return catalog.file_stage_parts(view(spark, d, "v_keys"))
 
 
-@query("union_listings", "SELECT key, size FROM v_keys")
+# A second archive: one listing per source, each read once.
+shared(
+    "v_other_keys",
+    "part",
+    {
+        "key": "'data/raw/Ship_' || cast(p_partkey % 7 as string) || '/PT' || cast(p_size as string) || '/EK60/D'"
+        " || cast(20100101 + p_partkey % 28 as string) || '-T010203.raw'",
+        "size": "cast(p_partkey * 17 as bigint)",
+    },
+)
+
+
+@query("union_listings", "SELECT key, size FROM v_keys UNION ALL SELECT key, size FROM v_other_keys")
 def union_listings(spark, d):
-    keys = view(spark, d, "v_keys")
-    per_ship = [keys.filter(F.startswith("key", F.lit(f"data/raw/Ship_{n}/"))) for n in range(5)]
-    return catalog.union_all(*per_ship)
+    return catalog.union_all(view(spark, d, "v_keys"), view(spark, d, "v_other_keys"))
 
 
 @query("distinct_cruises", "SELECT DISTINCT cruise FROM v_file ORDER BY cruise")
@@ -210,10 +220,9 @@ def archive_listing(spark, d):
 def header_tags(spark, d):
     path = scratch_path(spark, "headers")
     # One stub file per cruise whose bytes 3-7 are a NUL and the tag.
-    _headers(spark, d).select("cruise", F.concat(F.lit("len\u0000"), "datagram").alias("value")).coalesce(
-        1
-    ).write.partitionBy("cruise").text(path)
+    stubs = _headers(spark, d).select("cruise", F.concat(F.lit("len\u0000"), "datagram").alias("value"))
+    stubs.repartition("cruise").write.partitionBy("cruise").text(path)
     files = archive.list_objects(spark, path, "*.txt").withColumn(
         "cruise", F.regexp_extract("key", "cruise=([^/]+)", 1)
     )
-    return archive.header_tags(spark, catalog.representatives(files), path).select("cruise", "datagram")
+    return archive.header_tags(catalog.representatives(files), path).select("cruise", "datagram")
