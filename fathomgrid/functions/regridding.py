@@ -69,5 +69,6 @@ def _regrid(ranges: pa.Array, values: pa.Array, max_depth: pa.Array, bins: pa.Ar
     )
 
 
-nearest_on_axis = F.arrow_udf(_regrid, T.ArrayType(T.FloatType()))
+# Marked nondeterministic so that no filter on its result is pushed through it: it is evaluated once.
+nearest_on_axis = F.arrow_udf(_regrid, T.ArrayType(T.FloatType())).asNondeterministic()
 """Column function of (ranges, values, max_depth, bins); null without a grid."""

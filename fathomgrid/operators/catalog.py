@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathomgrid.functions import names, times
-from fathomgrid.operators.small import broadcast_if_small
 
 # Header tag of the indexed format and the token that selects keys.
 RAW_DATAGRAM = "CON0"
@@ -73,7 +72,7 @@ def with_datagram(files: DataFrame, headers: DataFrame, datagram: str = RAW_DATA
     `headers` holds one row per cruise: cruise, datagram.
     """
     matching = headers.filter(F.col("datagram") == datagram).select("cruise", "datagram")
-    return files.drop("datagram").join(broadcast_if_small(matching), "cruise")
+    return files.drop("datagram").join(matching, "cruise")
 
 
 def calibration_entries(sheet: DataFrame) -> DataFrame:

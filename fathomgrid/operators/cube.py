@@ -5,11 +5,13 @@ A cube row is one (cruise, time index, frequency) with its whole depth column as
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fathomgrid.functions.regridding import nearest_on_axis
-from fathomgrid.operators.small import broadcast_if_small
 
 TILE = 1024
 """Cells per tile edge on the depth and time axes."""
@@ -22,7 +24,7 @@ def regrid(soundings: DataFrame, grid: DataFrame) -> DataFrame:
     axis = grid.select("cruise", "max_depth", "depth_bins")
     column = nearest_on_axis("echo_range", "sv", "max_depth", "depth_bins")
     return (
-        soundings.join(broadcast_if_small(axis), "cruise")
+        soundings.join(axis, "cruise")
         .withColumn("sv", column)
         .drop("echo_range", "max_depth", "depth_bins")
     )
@@ -144,13 +146,32 @@ def read_slice(cube: DataFrame, cruise: str, start: int, end: int, tile: int = T
     )
 
 
+def _transposed(columns: pa.Array) -> pa.Array:
+    """Lists of equally long float lists, turned: per depth the values of all columns."""
+    out = []
+    for rows in columns.to_pylist():
+        deepest = max((len(r) for r in rows), default=0)
+        block = np.full((len(rows), deepest), np.nan, np.float32)
+        for i, r in enumerate(rows):
+            block[i, : len(r)] = np.array(r, np.float32)  # None becomes NaN
+        out.append([np.where(np.isnan(x), None, x) for x in block.T])
+    return pa.array(out, pa.list_(pa.list_(pa.float32())))
+
+
+_turned = F.arrow_udf(_transposed, T.ArrayType(T.ArrayType(T.FloatType()))).asNondeterministic()
+
+
 def depth_major(cube: DataFrame) -> DataFrame:
-    """Reorder to (depth, time, frequency): per depth and time tile, values by time and frequency.
+    """Reorder to (depth, time, frequency): per depth, time tile and frequency, values by time.
 
-    A group holds one depth bin of one time tile, so its size is bounded by tile times frequencies.
+    Whole columns of one time tile and frequency are gathered, at most a tile of them, and turned in one
+    step; samples are never rows of a shuffle.
     """
-    cells = cube.select(
-        "cruise", "time_tile", "time_idx", "frequency", F.posexplode("sv").alias("depth_idx", "v")
+    column = F.struct("time_idx", "sv")
+    gathered = cube.groupBy("cruise", "time_tile", "frequency").agg(F.array_sort(F.collect_list(column)).alias("c"))
+    turned = gathered.select(
+        "cruise", "time_tile", "frequency", F.col("c.time_idx").alias("time_idx"), _turned(F.col("c.sv")).alias("__t")
+    )
+    return turned.select(
+        "cruise", F.posexplode("__t").alias("depth_idx", "values"), "time_tile", "frequency", "time_idx"
     )
-    ordered = F.array_sort(F.collect_list(F.struct("time_idx", "frequency", "v")))
-    return cells.groupBy("cruise", "depth_idx", "time_tile").agg(ordered.alias("cells"))

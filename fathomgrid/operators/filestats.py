@@ -23,15 +23,22 @@ def range_steps(soundings: DataFrame) -> DataFrame:
 
 
 def file_statistics(soundings: DataFrame, keys: Sequence[str] = FILE_KEY) -> DataFrame:
-    """Range step and maximum, first and last ping by position, channels and frequencies per file."""
+    """Range step and maximum, first and last ping by position, channels and frequencies per file.
+
+    The n-th frequency belongs to the n-th channel: both come from one set of pairs, in order of
+    `channel_idx` where soundings carry it, else of frequency and channel.
+    """
+    order = [c for c in ("channel_idx",) if c in soundings.columns]
+    pair = F.struct(*order, F.col("frequency").cast("double").alias("frequency"), "channel")
+    pairs = F.array_sort(F.collect_set(pair))
     per_ping = range_steps(soundings)
     return per_ping.groupBy(*keys).agg(
         F.min("step").alias("min_echo_range"),
         F.max("deepest").alias("max_echo_range"),
         times.iso_millis(F.min_by("ping_time", "ping_idx")).alias("start_time"),
         times.iso_millis(F.max_by("ping_time", "ping_idx")).alias("end_time"),
-        F.array_sort(F.collect_set("channel")).alias("channels"),
-        F.array_sort(F.collect_set(F.col("frequency").cast("double"))).alias("frequencies"),
+        F.transform(pairs, lambda p: p["channel"]).alias("channels"),
+        F.transform(pairs, lambda p: p["frequency"]).alias("frequencies"),
     )
 
 

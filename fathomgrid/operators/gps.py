@@ -11,7 +11,6 @@ from fathomgrid.functions import arrays, geo, times
 from fathomgrid.operators.ordered import Layout, last_seen, measure, previous, running_sum, scan
 
 FILE_KEY = ("cruise", "file_name")
-FEATURES_PER_DOCUMENT = 16_384
 
 
 def fixes_without_nan(nmea: DataFrame) -> DataFrame:
@@ -149,19 +148,14 @@ def features(aligned: DataFrame) -> DataFrame:
     return aligned.withColumn("feature", feature)
 
 
-def feature_collections(
-    aligned: DataFrame,
-    keys: Sequence[str] = FILE_KEY,
-    per_document: int = FEATURES_PER_DOCUMENT,
-) -> DataFrame:
-    """FeatureCollections per file in ping order.
+def feature_collections(aligned: DataFrame, keys: Sequence[str] = FILE_KEY) -> DataFrame:
+    """One FeatureCollection per file, in ping order.
 
-    A file of up to `per_document` pings gives one collection. A longer one gives several,
-    numbered by `part`, so that no task ever holds more than that many features of a file.
+    That is the exchange format: a document is as long as its file has pings. Tables hold `features`,
+    one row per ping, and documents are made of the files that are asked for.
     """
-    numbered = features(aligned).withColumn("part", F.floor(F.col("ping_idx") / F.lit(per_document)))
     ordered = F.array_sort(F.collect_list(F.struct("ping_idx", "feature")))
-    return numbered.groupBy(*keys, "part").agg(
+    return features(aligned).groupBy(*keys).agg(
         F.struct(
             F.lit("FeatureCollection").alias("type"),
             F.transform(ordered, lambda f: f["feature"]).alias("features"),

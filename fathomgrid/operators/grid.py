@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from fathomgrid.functions import arrays
 from fathomgrid.operators.ordered import Layout, running_sum, scan
-from fathomgrid.operators.small import broadcast_if_small
 
 
 def cruise_channels(files: DataFrame) -> DataFrame:
@@ -78,7 +77,7 @@ def on_time_axis(positions: DataFrame, slices: DataFrame) -> DataFrame:
     """Cruise-wide time index of each valid ping: start of its slice plus place in its file."""
     starts = slices.select("cruise", "file_name", "start_idx")
     return (
-        positions.join(broadcast_if_small(starts), ["cruise", "file_name"])
+        positions.join(starts, ["cruise", "file_name"])
         .withColumn("time_idx", F.col("start_idx") + F.col("position"))
         .drop("start_idx")
     )

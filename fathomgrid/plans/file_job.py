@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from fathomgrid.functions import names
 from fathomgrid.operators import filestats, gps
 from fathomgrid.operators.ordered import Layout
-from fathomgrid.operators.small import broadcast_if_small
 from fathomgrid.operators.status import FAILURE, SUCCESS
+from fathomgrid.session import reliable
 from fathomgrid.sources import geojson, tables
 
 FILE = ["cruise", "file_name"]
@@ -50,8 +50,8 @@ def violations(nmea: DataFrame, pings: DataFrame) -> DataFrame:
 def file_stage(nmea: DataFrame, pings: DataFrame, soundings: DataFrame) -> FileStage:
     """Align positions and gather statistics; files with violations are left out of both."""
     fixes = gps.fixes_without_nan(nmea)
-    # Used three times below; written once, and as a rule nearly empty.
-    broken = broadcast_if_small(violations(fixes, pings))
+    # Used three times below, so it is computed once.
+    broken = reliable(violations(fixes, pings))
     sound = lambda df: df.join(broken.select(*FILE), FILE, "left_anti")
     layout = gps.measure_series(pings, fixes)
     aligned = gps.align_fixes(sound(pings), sound(fixes), layout=layout)
@@ -64,8 +64,13 @@ def file_stage(nmea: DataFrame, pings: DataFrame, soundings: DataFrame) -> FileS
     return FileStage(aligned, joined, broken, layout)
 
 
-def status_rows(stage: FileStage, ship: str, sensor: str, event_seq: int = 1) -> DataFrame:
-    """SUCCESS rows with statistics and FAILURE rows, as the status log takes them."""
+def status_rows(
+    stage: FileStage, ship: str, sensor: str, event_seq: int = 1, bucket: str | None = None
+) -> DataFrame:
+    """SUCCESS rows with statistics and FAILURE rows, as the status log takes them.
+
+    `bucket` is where the file stores are; the cruise stage reads it from the log.
+    """
     named = lambda df: df.withColumnRenamed("cruise", "cruise_name").withColumns(
         {"ship_name": F.lit(ship), "sensor_name": F.lit(sensor)}
     )
@@ -73,15 +78,17 @@ def status_rows(stage: FileStage, ship: str, sensor: str, event_seq: int = 1) ->
         "level_1", F.col("ship_name"), F.col("cruise_name"), F.col("sensor_name"),
         names.store_name(F.col("file_name")),
     )
-    done = tables.status_rows(named(stage.statistics), SUCCESS, event_seq).withColumn("zarr_path", path)
+    done = tables.status_rows(named(stage.statistics), SUCCESS, event_seq).withColumns(
+        {"zarr_path": path, "zarr_bucket": F.lit(bucket).cast("string")}
+    )
     failed = tables.status_rows(named(stage.violations).drop("reasons"), FAILURE, event_seq)
     return done.unionByName(failed, allowMissingColumns=True)
 
 
 def run(
     nmea: DataFrame, pings: DataFrame, soundings: DataFrame,
-    ship: str, sensor: str, geojson_path: str, status_path: str,
+    ship: str, sensor: str, geojson_path: str, status_path: str, bucket: str | None = None,
 ) -> None:
     stage = file_stage(nmea, pings, soundings)
-    geojson.write_collections(stage.aligned, geojson_path)
-    tables.append_status(status_rows(stage, ship, sensor), status_path)
+    geojson.write_features(stage.aligned, geojson_path)
+    tables.append_status(status_rows(stage, ship, sensor, bucket=bucket), status_path)

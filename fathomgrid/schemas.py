@@ -36,7 +36,7 @@ SOUNDINGS = _fields(
 
 FILE_STATUS = _fields(
     ("file_name", _STR), ("cruise_name", _STR), ("ship_name", _STR), ("sensor_name", _STR),
-    ("pipeline_status", _STR), ("pipeline_time", _TS), ("event_seq", _LONG), ("zarr_path", _STR),
+    ("pipeline_status", _STR), ("pipeline_time", _TS), ("event_seq", _LONG), ("zarr_bucket", _STR), ("zarr_path", _STR),
     ("min_echo_range", T.DecimalType(18, 4)), ("max_echo_range", T.DecimalType(18, 4)),
     ("num_ping_time_dropna", _LONG), ("start_time", _STR), ("end_time", _STR),
     ("frequencies", T.ArrayType(_DOUBLE)), ("channels", T.ArrayType(_STR)),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -46,7 +48,8 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    A local folder is taken only where the session names none and runs on one machine, as in tests.
+    A local folder is taken only where the session names none and runs on one machine; it goes with
+    the process.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", ""
@@ -57,6 +60,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="fathomgrid-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named
@@ -67,6 +71,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: computed once, and of a size that the planner knows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Cut lineage with a checkpoint in the shared folder, which outlives lost executors."""
     shared_folder(df.sparkSession)

@@ -10,16 +10,17 @@ from fathomgrid.functions import times
 from fathomgrid.operators import gps
 
 
-def write_collections(
-    aligned: DataFrame, path: str, per_document: int = gps.FEATURES_PER_DOCUMENT
-) -> None:
-    """One FeatureCollection per line, below cruise=/file_name= folders.
+_AS_JSON = {"ignoreNullFields": "false"}
+
+
+def write_features(aligned: DataFrame, path: str) -> None:
+    """Features as newline-delimited JSON, one per ping, below cruise=/file_name= folders.
 
     Rewriting a file's positions replaces its folder and no other.
     """
-    documents = gps.feature_collections(aligned, per_document=per_document)
     (
-        documents.select("cruise", "file_name", F.to_json("collection", {"ignoreNullFields": "false"}).alias("value"))
+        gps.features(aligned)
+        .select("cruise", "file_name", F.to_json("feature", _AS_JSON).alias("value"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("cruise", "file_name")
@@ -27,6 +28,36 @@ def write_collections(
     )
 
 
+def write_collections(aligned: DataFrame, path: str) -> None:
+    """One FeatureCollection per file and line, below cruise=/file_name= folders."""
+    (
+        gps.feature_collections(aligned)
+        .select("cruise", "file_name", F.to_json("collection", _AS_JSON).alias("value"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("cruise", "file_name")
+        .text(path)
+    )
+
+
+def _positions(features: DataFrame, folders: list[str]) -> DataFrame:
+    return features.select(
+        *folders,
+        "f.id",
+        F.col("f.properties.latitude").alias("latitude"),
+        F.col("f.properties.longitude").alias("longitude"),
+        F.col("f.geometry").alias("geometry"),
+    )
+
+
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    """Stored features: id, position, geometry, and the folder columns."""
+    rows = spark.read.schema(schemas.FEATURE).json(path)
+    own = [f.name for f in schemas.FEATURE]
+    folders = [c for c in rows.columns if c not in own]
+    return _positions(rows.select(*folders, F.struct(*own).alias("f")), folders)
+
+
 def read_collections(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Features of all collections below `path`: id, position, geometry, and the folder columns.
 
@@ -38,13 +69,7 @@ def read_collections(spark: SparkSession, path: str, multi_line: bool = False) -
         .json(path)
     )
     folders = [c for c in documents.columns if c not in ("type", "features")]
-    return documents.select(*folders, F.explode("features").alias("f")).select(
-        *folders,
-        "f.id",
-        F.col("f.properties.latitude").alias("latitude"),
-        F.col("f.properties.longitude").alias("longitude"),
-        F.col("f.geometry").alias("geometry"),
-    )
+    return _positions(documents.select(*folders, F.explode("features").alias("f")), folders)
 
 
 def spatiotemporal_index(features: DataFrame) -> DataFrame:

@@ -92,5 +92,26 @@ def write_cube(rows: DataFrame, path: str) -> None:
     )
 
 
+def drop_stale_slices(spark: SparkSession, path: str, current: DataFrame) -> int:
+    """Remove stored slices of files that left their cruise; returns how many.
+
+    `current` names the files (cruise, file_name) of every cruise just written. Only folder names are
+    compared, and only those of stale files reach the driver.
+    """
+    keys = ["cruise", "file_name"]
+    stored = read_cube(spark, path).select(*keys).distinct()
+    renewed = stored.join(current.select("cruise").distinct(), "cruise", "left_semi")
+    stale = renewed.join(current.select(*keys), keys, "left_anti")
+    jvm = spark._jvm
+    gone = 0
+    for row in stale.toLocalIterator():
+        escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        folder = jvm.org.apache.hadoop.fs.Path(
+            f"{path.rstrip('/')}/cruise={escape(row['cruise'])}/file_name={escape(row['file_name'])}"
+        )
+        gone += folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return gone
+
+
 def read_cube(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.CRUISE_CUBE).parquet(path)

@@ -8,7 +8,6 @@ import random
 from pyspark.sql import functions as F
 
 from fathomgrid.operators import gps
-from fathomgrid.operators.small import broadcast_if_small
 from fathomgrid.sources import geojson
 
 T0 = dt.datetime(2007, 7, 11, 18, 0, 0)
@@ -99,9 +98,10 @@ def test_geojson_documents(spark, tmp_path):
         pings(spark, [("a", i, i) for i in range(5)]), fixes(spark, [("a", 0, 2, 40.5, -70.25)])
     )
     path = str(tmp_path / "geo")
-    geojson.write_collections(aligned, path, per_document=3)
+    geojson.write_collections(aligned, path)
     documents = [json.loads(r["value"]) for r in spark.read.text(path).collect()]
-    assert sorted(len(d["features"]) for d in documents) == [2, 3]
+    assert [len(d["features"]) for d in documents] == [5]
+    assert [f["id"] for f in documents[0]["features"]] == sorted(f["id"] for f in documents[0]["features"])
     feature = next(f for d in documents for f in d["features"] if f["id"] == "2007-07-11T18:00:00.000000000")
     assert feature == {
         "id": "2007-07-11T18:00:00.000000000", "type": "Feature",
@@ -112,6 +112,11 @@ def test_geojson_documents(spark, tmp_path):
     assert sorted(rows) == [at(2), at(3), at(4)]
     assert rows[at(3)]["geometry"]["coordinates"] == [-70.25, 40.5]
     assert rows[at(3)]["epoch_seconds"] == 1184176803.0
+    lines = str(tmp_path / "features")
+    geojson.write_features(aligned, lines)
+    assert spark.read.text(lines).count() == 5
+    same = geojson.spatiotemporal_index(geojson.read_features(spark, lines)).select(*back.columns)
+    assert sorted(map(str, same.collect())) == sorted(map(str, back.collect()))
 
 
 def test_geojson_pretty_printed(spark, tmp_path):
@@ -129,14 +134,6 @@ def test_geojson_pretty_printed(spark, tmp_path):
     assert [(r["latitude"], r["epoch_seconds"]) for r in rows] == [(1.0, 1184253857.032)]
 
 
-def test_broadcast_needs_a_small_count(spark):
-    small = spark.range(10).toDF("k")
-    big = spark.range(1000).toDF("k")
-    with_hint = big.join(broadcast_if_small(small, 10), "k")._jdf.queryExecution().optimizedPlan().toString()
-    without = big.join(broadcast_if_small(small, 9), "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in with_hint and "broadcast" not in without
-
-
 def test_valid_ping_positions(spark):
     aligned = gps.align_fixes(
         pings(spark, [("a", i * 10, i) for i in range(6)]), fixes(spark, [("a", 0, 2, 1.0, 1.0)])

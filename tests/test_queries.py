@@ -38,10 +38,11 @@ def test_query_with_cut_groups(spark, con, monkeypatch, name):
 
 
 @pytest.mark.parametrize("name", ["datagram_propagation", "time_axis", "cruise_cube", "tile_merge", "completed_cruises"])
-def test_query_without_broadcast(spark, con, monkeypatch, name):
+def test_query_without_broadcast(spark, con, name):
     """The same rows when nothing is small enough to broadcast."""
-    from fathomgrid.operators import small
-
-    monkeypatch.setattr(small.broadcast_if_small, "__defaults__", (0,))
-    verdict, _, _, _ = compare(spark, con, SF, name, queries()[name], oracle_sql()[name])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        verdict, _, _, _ = compare(spark, con, SF, name, queries()[name], oracle_sql()[name])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert verdict == "ok", verdict

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fathomgrid import schemas
+from fathomgrid import schemas, session
 from fathomgrid.operators import cube, filestats, grid, status
 from fathomgrid.plans import cruise_job, file_job
 from fathomgrid.sources import geojson, tables
@@ -125,7 +125,7 @@ def test_file_and_cruise_stage(spark, survey, tmp_path):
     assert a["zarr_path"] == "level_1/Bigelow/HB/EK60/A.zarr" and a["frequencies"] == [18000.0, 38000.0]
     broken = file_job.violations(nmea, pings).collect()
     assert [(r["file_name"], r["reasons"]) for r in broken] == [("bad.raw", ["positions out of bounds"])]
-    assert geojson.read_collections(spark, geo_path).count() == 11
+    assert geojson.read_features(spark, geo_path).count() == 11
 
     stage = file_job.file_stage(nmea, pings, sound)
     aligned = stage.aligned
@@ -142,6 +142,12 @@ def test_file_and_cruise_stage(spark, survey, tmp_path):
         assert r["sv"] == want
         assert r["ts"] == (s["ping_time"] - dt.datetime(1970, 1, 1)).total_seconds()
 
+    # A file that is no longer eligible loses its slices.
+    fewer = stored.filter("file_name <> 'A.raw'")
+    cruise_job.run(fewer, aligned, sound, cube_path)
+    assert {r["file_name"] for r in tables.read_cube(spark, cube_path).collect()} == {"B.raw"}
+    cruise_job.run(stored, aligned, sound, cube_path)
+
     # Writing one file again leaves the other slices alone.
     stage = cruise_job.cruise_stage(stored, aligned, sound)
     tables.write_cube(stage.cube.filter("file_name = 'B.raw'"), cube_path)
@@ -154,7 +160,7 @@ def test_file_and_cruise_stage(spark, survey, tmp_path):
 def test_regrid_leaves_the_samples_in_place(spark, survey):
     """The plan of the regrid has no exchange; only the grid is shipped."""
     _, _, sound = survey
-    table = grid.cruise_dimensions(files(spark, [("HB", "A", "t", 4, 0.25, 4.75, [1], ["x"])]))
+    table = session.stored(grid.cruise_dimensions(files(spark, [("HB", "A", "t", 4, 0.25, 4.75, [1], ["x"])])), "grid")
     plan = cube.regrid(sound, table)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
@@ -166,7 +172,7 @@ def test_bucketed_soundings_are_not_shuffled(spark, survey):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         placed = pings.withColumns({"time_idx": F.col("ping_idx"), "epoch_seconds": F.lit(0.0), "latitude": F.lit(1.0), "longitude": F.lit(1.0)})
-        table = grid.cruise_dimensions(files(spark, [("HB", "A", "t", 4, 0.25, 4.75, [1], ["x"])]))
+        table = session.stored(grid.cruise_dimensions(files(spark, [("HB", "A", "t", 4, 0.25, 4.75, [1], ["x"])])), "grid")
         plan = cube.cube_rows(stored, placed, table)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

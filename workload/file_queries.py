@@ -37,19 +37,20 @@ sql_view(
 @query(
     "file_statistics",
     """
-SELECT f.*, n.channels, n.frequencies FROM v_file_stats f JOIN (
-  SELECT cruise, file_name, string_agg(DISTINCT channel, ',' ORDER BY channel) AS channels,
-    string_agg(DISTINCT cast(cast(frequency AS int) AS string), ',' ORDER BY cast(cast(frequency AS int) AS string))
-      AS frequencies
-  FROM v_sounding GROUP BY ALL) n USING (cruise, file_name)""",
+SELECT f.*, n.channels, n.frequencies, n.pairs FROM v_file_stats f JOIN (
+  SELECT cruise, file_name, string_agg(channel, ',' ORDER BY frequency, channel) AS channels,
+    string_agg(cast(cast(frequency AS int) AS string), ',' ORDER BY frequency, channel) AS frequencies,
+    string_agg(channel || '@' || cast(cast(frequency AS int) AS string), ',' ORDER BY frequency, channel) AS pairs
+  FROM (SELECT DISTINCT cruise, file_name, channel, frequency FROM v_sounding) GROUP BY ALL) n
+USING (cruise, file_name)""",
 )
 def file_statistics(spark, d):
+    """Lists joined to text, and the pairs of channel and frequency at the same place."""
     stats = filestats.file_statistics(soundings(spark, d))
-    return stats.withColumns(
-        {
-            "channels": F.array_join("channels", ","),
-            "frequencies": F.array_join(F.transform("frequencies", lambda f: f.cast("int").cast("string")), ","),
-        }
+    whole = F.transform("frequencies", lambda f: f.cast("int").cast("string"))
+    pairs = F.zip_with("channels", whole, lambda c, f: F.concat(c, F.lit("@"), f))
+    return stats.withColumn("pairs", F.array_join(pairs, ",")).withColumns(
+        {"channels": F.array_join("channels", ","), "frequencies": F.array_join(whole, ",")}
     )
 
 

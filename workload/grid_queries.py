@@ -297,7 +297,10 @@ def dense_cube(spark, d):
     f"SELECT {_CELL} FROM v_cube_cell WHERE cruise = 'C1' AND time_idx >= 5 AND time_idx < 23",
 )
 def cube_slice(spark, d):
-    return _cells(cube.read_slice(_cube(spark, d), "C1", 5, 23))
+    """A slice of the stored cube: other cruises' folders and other time tiles are skipped."""
+    path = scratch_path(spark, "cube")
+    tables.write_cube(_cube(spark, d), path)
+    return _cells(cube.read_slice(tables.read_cube(spark, path), "C1", 5, 23))
 
 
 @query(
@@ -306,12 +309,10 @@ def cube_slice(spark, d):
 )
 def depth_major_cube(spark, d):
     slabs = cube.depth_major(_cube(spark, d))
-    weighted = F.aggregate(
-        "cells", F.lit(0.0),
-        lambda acc, c: acc + F.coalesce(c["v"].cast("double") * (c["time_idx"] + 1), F.lit(0.0)),
-    )
+    each = F.zip_with("values", "time_idx", lambda v, t: F.coalesce(v.cast("double") * (t + 1), F.lit(0.0)))
+    weighted = F.aggregate(each, F.lit(0.0), lambda acc, x: acc + x)
     return slabs.groupBy("cruise", F.col("depth_idx").cast("long").alias("depth_idx")).agg(
-        F.sum(F.size("cells")).alias("cells"), F.round(F.sum(weighted), 6).alias("weighted")
+        F.sum(F.size("values")).alias("cells"), F.round(F.sum(weighted), 6).alias("weighted")
     )
 
 
@@ -360,20 +361,21 @@ SELECT i.file_name, i.cruise AS cruise_name,
   CASE WHEN f.file_name IS NOT NULL THEN i.max_echo_range END AS max_echo_range,
   CASE WHEN f.file_name IS NOT NULL THEN i.n END AS num_ping_time_dropna,
   CASE WHEN f.file_name IS NOT NULL THEN i.start_time END AS start_time,
-  CASE WHEN f.file_name IS NOT NULL THEN 'level_1/Ship/' || i.cruise || '/EK60/' || i.file_name || '.zarr' END AS zarr_path
+  CASE WHEN f.file_name IS NOT NULL THEN 'level_1/Ship/' || i.cruise || '/EK60/' || i.file_name || '.zarr' END AS zarr_path,
+  CASE WHEN f.file_name IS NOT NULL THEN 'stores' END AS zarr_bucket
 FROM v_sound_info i LEFT JOIN (SELECT DISTINCT cruise, file_name FROM v_sounding_fix WHERE latitude IS NOT NULL) f
   ON i.cruise = f.cruise AND i.file_name = f.file_name
 UNION ALL
-SELECT DISTINCT file_name, cruise, 'FAILURE', NULL::double, NULL::double, NULL::bigint, NULL, NULL FROM v_sounding_fix
+SELECT DISTINCT file_name, cruise, 'FAILURE', NULL::double, NULL::double, NULL::bigint, NULL, NULL, NULL FROM v_sounding_fix
 WHERE (cruise, file_name) NOT IN (SELECT (cruise, file_name) FROM v_sound_info)""",
 )
 def file_stage_status(spark, d):
     """The file stage from series to status log; files without positions or without pings fail."""
     path = scratch_path(spark, "stage")
     stage = file_job.file_stage(view(spark, d, "v_sounding_fix"), sounding_pings(spark, d), soundings(spark, d))
-    tables.append_status(file_job.status_rows(stage, "Ship", "EK60"), path)
+    tables.append_status(file_job.status_rows(stage, "Ship", "EK60", bucket="stores"), path)
     return tables.read_status(spark, path).select(
         "file_name", "cruise_name", "pipeline_status",
         *[F.col(c).cast("double").alias(c) for c in ("min_echo_range", "max_echo_range")],
-        "num_ping_time_dropna", "start_time", "zarr_path",
+        "num_ping_time_dropna", "start_time", "zarr_path", "zarr_bucket",
     )
