@@ -9,7 +9,9 @@ Sketches merge by the larger register.
 2. Registers are banded, 32 bands of 4; classes that share a band are candidates. A link of similarity
    0.75 escapes every band with probability 5e-6.
 3. In each bucket members are tried against one centre, linear in the bucket. What is not connected then is
-   tried against another, and only pairs of different components still left in a bucket are listed.
+   tried against another. Of what still shares a bucket with another component, pairs of different
+   components are listed by an exact prefix filter on shingles, so a large group whose members are alike
+   but mostly no links is not tried pair by pair.
 4. A pair is tried by size, then by the joint likelihood of its registers (kept within five standard errors
    of the threshold), and what is left on the full sets, in whole numbers.
 
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fathomgrid.llm.common import UPPER_TO_LOWER, per_text, store
-from fathomgrid.llm.components import components
+from fathomgrid.llm.components import components, extended
 
 SHINGLE = 5
 PERCENT = 75
@@ -234,17 +236,34 @@ def class_components(docs: DataFrame, classes: DataFrame, percent: int = PERCENT
     sets = _stored_sets(texts)
     verifier = _Verifier(classes, sets, percent)
 
-    found = verifier.links(_around(members, F.min, percent))
-    labels = store(components(found), "components")
+    labels = store(components(verifier.links(_around(members, F.min, percent))), "components")
     open_members = _unsettled(members, labels)
     more = verifier.links(_around(open_members, F.max, percent))
-    found = found.unionByName(more)
-    labels = store(components(found), "components")
+    labels = store(extended(labels, more), "components")
     open_members = _unsettled(open_members.drop("component"), labels)
-    x = open_members.select("bucket", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    y = open_members.select("bucket", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-    left = x.join(y, "bucket").filter("cx < cy")
-    return components(found.unionByName(verifier.links(_pairs(left, percent))))
+    return extended(labels, verifier.links(_by_prefix(open_members, sets, percent)))
+
+
+def _by_prefix(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components among what is still unsettled, by prefix filter: none is lost.
+
+    Two sets of the wanted similarity share one of the rarest n - ceil(n * percent / 100) + 1 shingles of each.
+    A shingle that no other unsettled set has only uses up a place, so sets with many shingles of their own,
+    as heavily edited copies in a large group have, meet nobody.
+    """
+    rest = open_members.select("node", "n", "component").distinct()
+    items = sets.join(rest.select("node"), "node", "left_semi").select("node", F.explode("items").alias("item"))
+    counts = items.groupBy("item").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    held = F.sort_array(F.collect_list(F.struct("holders", "item")))
+    shared = items.join(counts, "item").groupBy("node").agg(held.alias("shared"))
+    places = F.expr(f"n - (n * {percent} + 99) div 100 + 1 - (n - size(shared))").cast("int")
+    prefix = shared.join(rest, "node").filter(places > 0).select(
+        "node", "n", "component", F.explode(F.slice("shared", F.lit(1), places)).alias("s")
+    )
+    prefix = store(prefix.select("node", "n", "component", F.col("s.item").alias("item")), "prefixes")
+    x = prefix.select("item", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
+    y = prefix.select("item", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
+    return _pairs(x.join(y, "item").filter("cx < cy"), percent)
 
 
 def _stored_sets(texts: DataFrame) -> DataFrame:
