@@ -17,7 +17,8 @@ import numpy as np
 from fathomgrid.llm.common import GROUP_BYTES, UPPER_TO_LOWER
 
 _PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-_HELD = 250_000
+_HELD_CHUNKS = 250_000
+_HELD_WORDS = 800_000
 
 
 class Encoder:
@@ -38,10 +39,10 @@ class Encoder:
     def learn(self, chunks: set[bytes]) -> None:
         """Remember chunks that are not known yet."""
         new = [c for c in chunks if c not in self.chunks]
-        if len(self.chunks) + len(new) > _HELD:
+        if len(self.chunks) + len(new) > _HELD_CHUNKS:
             self.chunks.clear()
             new = list(chunks)
-        if len(self.parts) > _HELD:
+        if len(self.parts) > _HELD_WORDS:
             self.parts.clear()
         plain: list[tuple[bytes, str, str]] = []
         other: list[tuple[bytes, str]] = []
