@@ -14,6 +14,8 @@ from fathomgrid.session import scratch_path
 UPPER_TO_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 """Lower-cases A-Z and nothing else; UTF-8 continuation bytes stay."""
 
+SLICE_ROWS = 512
+
 GROUP_BYTES = 2_000_000
 """Bytes of text whose words a task holds at a time; a longer text is a group of its own."""
 
@@ -39,20 +41,24 @@ def per_text(
 ) -> DataFrame:
     """`columns` beside what a function of one text returns; `prepare` runs once per task.
 
-    Rows stay where they are read: no shuffle, and one Arrow batch in memory at a time.
+    Rows stay where they are read: no shuffle, and the results of `SLICE_ROWS` texts in memory at a time.
     """
     spark_schema = df.sparkSession.createDataFrame([], schema).schema
     names = [f.name for f in spark_schema][len(columns) :]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = prepare()
-        for batch in batches:
-            rows = [measure(text) for text in batch.column("text").to_pylist()]
-            made = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), *(pa.array(v, type=t) for v, t in zip(made, types, strict=True))],
-                names=[*columns, *names],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
+                made = zip(*(measure(text) for text in batch.column("text").to_pylist()), strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c) for c in columns),
+                        *(pa.array(v, type=t) for v, t in zip(made, types, strict=True)),
+                    ],
+                    names=[*columns, *names],
+                )
 
     types = [_arrow(f.dataType.simpleString()) for f in spark_schema][len(columns) :]
     return texts(df, *columns).mapInArrow(run, spark_schema)

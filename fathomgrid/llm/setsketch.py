@@ -128,6 +128,7 @@ def _bands(sketch: pa.Array) -> pa.Array:
 _band_keys = F.arrow_udf(_bands, T.ArrayType(T.LongType()), F.ArrowUDFType.SCALAR)
 
 _GRID = np.linspace(0.0, 1.0, 201)
+_PAIRS = 512
 
 
 def similarity(above: np.ndarray, below: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -153,7 +154,10 @@ def _likely(a: pa.Array, b: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
     x = np.frombuffer(b"".join(a.to_pylist()), "<u2").reshape(-1, REGISTERS)
     y = np.frombuffer(b"".join(b.to_pylist()), "<u2").reshape(-1, REGISTERS)
     n, m = (c.to_numpy(zero_copy_only=False).astype(float) for c in (n, m))
-    return pa.array(similarity((x > y).sum(axis=1), (x < y).sum(axis=1), n, m))
+    above, below = (x > y).sum(axis=1), (x < y).sum(axis=1)
+    # A few hundred pairs at a time: the likelihoods of each are a row of the grid's width.
+    parts = [slice(i, i + _PAIRS) for i in range(0, len(x), _PAIRS)]
+    return pa.array(np.concatenate([similarity(above[p], below[p], n[p], m[p]) for p in parts]))
 
 
 _estimate = F.arrow_udf(_likely, T.DoubleType(), F.ArrowUDFType.SCALAR)
@@ -166,7 +170,7 @@ def _least_estimate(percent: int) -> float:
 
 def _sets() -> Callable[[bytes], tuple]:
     hashes = _WordHashes()
-    return lambda text: (shingles(text, hashes).view(np.int64).tolist(),)
+    return lambda text: (shingles(text, hashes).view(np.int64),)
 
 
 def _sizes_allow(n: Column, m: Column, percent: int) -> Column:
