@@ -17,8 +17,11 @@ from fathomgrid.llm.queries import tokenizer_path
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the rejection threshold."""
     labels = training_labels(table(spark, sf_dir, "labels"), "toxic", id_remainder("doc_id", 5) == 0)
-    model = toxicity.fit(docs, labels)
-    return docs.filter(model.score(F.coalesce("text", F.lit(""))) < toxicity.REJECT_AT)
+    # The text alone fixes the score, so rejected rows are known by their text.
+    key = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    scored = toxicity.scored(docs, labels, {"__key": key})
+    rejected = store(scored.filter(F.col("score") >= toxicity.REJECT_AT).select("__key").distinct(), "rejected")
+    return docs.join(rejected, key == F.col("__key"), "left_anti")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,8 +11,13 @@ A word's evidence is its toxic minus ordinary log-likelihood beyond `MARGIN`; a
 over its words, normalised by the square root of their number. A logistic over it, fitted on the learned
 rows, gives the score.
 
-Bounds: at most about `MOST_LABELLED` labelled ids are learned from (a sample by hash beyond that), and the
-`MOST_WINDOWS` windows of most evidence go to the tasks. Counts cover every document.
+Every window counts: ratios are a stored table, joined to the windows of words, and the evidence of words is
+joined to the words of documents. Tasks hold `BUCKETS` upper bounds of ratios, which only spare the joins:
+a word whose bounds stay within the margin has no evidence. Ratios are summed in whole units of 2^-28, so
+sums do not depend on their order.
+
+Bounds: at most about `MOST_LABELLED` labelled ids are learned from (a sample by hash beyond that). Counts
+cover every document.
 
 Null texts count as empty; texts without words have evidence 0 and are scored by the logistic. Rows without
 an id are scored, never learned from. Contradicting labels of an id are left out. With one class known every
@@ -21,10 +26,10 @@ score is the smoothed share of label 1. Repeated rows each give a row.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomgrid.llm.common import GROUP_BYTES, store, texts, training_labels
+from fathomgrid.llm.common import GROUP_BYTES, SLICE_ROWS, store, texts, training_labels
 
 ORDER = 6
 SHORT = 3
@@ -41,7 +46,8 @@ PSEUDO = 20.0
 MARGIN = 2.0
 REJECT_AT = 0.5
 MOST_LABELLED = 200_000
-MOST_WINDOWS = 1 << 20
+UNIT = 1 << 28
+BUCKETS = 1 << 22
 BIN = 0.01
 BINS = 20_000
 
@@ -49,6 +55,7 @@ START, END = "^", "$"
 _LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 _PRIME = 0x100000001B3
 _HELD_WORDS = 200_000
+_HELD_WINDOWS = 200_000
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -162,7 +169,7 @@ def window_ratios(counts: DataFrame) -> DataFrame:
 
 
 def strongest(ratios: DataFrame, most: int) -> DataFrame:
-    """At most about `most` windows, those of most evidence."""
+    """At most about `most` windows, those of most evidence: for a model to be shipped; scoring here uses all."""
     evidence = F.abs("ratio") * F.col("everywhere")
     rows, telling = ratios.select(
         F.count(F.lit(1)), F.count(F.when(F.abs("ratio") > 1e-3, 1))
@@ -173,55 +180,104 @@ def strongest(ratios: DataFrame, most: int) -> DataFrame:
     return ratios.filter(F.abs("ratio") > 1e-3).select("hash", F.col("ratio").cast("float"))
 
 
-@dataclass(frozen=True)
-class Model:
-    hashes: np.ndarray
-    ratios: np.ndarray
-    slope: float = 1.0
-    offset: float = 0.0
-
-    def evidence_of(self, words: list[bytes]) -> np.ndarray:
-        """Evidence per word beyond the margin."""
-        points, starts, word = windows(spelled(words))
-        found = np.zeros(len(starts))
-        if len(self.hashes):
-            h = window_hashes(points, starts)
-            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            found = np.where(self.hashes[at] == h, self.ratios[at], 0.0)
-        return np.maximum(np.bincount(word, found, len(words)) - MARGIN, 0.0)
-
-    def evidence(self, text: Column) -> Column:
-        """Normalised evidence of a text."""
-        model = self
-
-        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            known: dict[bytes, float] = {}
-
-            def scored(lists: list[list[bytes]]) -> list[float]:
-                words = set().union(*lists)
-                if len(known) > _HELD_WORDS:  # Memory only: words are looked at anew.
-                    known.clear()
-                new = list(words - known.keys())
-                if new:
-                    known.update(zip(new, model.evidence_of(new).tolist(), strict=True))
-                return [sum(map(known.__getitem__, w)) / math.sqrt(max(len(w), 1)) for w in lists]
-
-            for batch in batches:
-                found: list[float] = []
-                group: list[list[bytes]] = []
-                size = 0
-                for text in batch.to_pylist():
-                    group.append(words_of(text or b""))
-                    size += len(text or b"")
-                    if size > GROUP_BYTES:
-                        found += scored(group)
-                        group, size = [], 0
-                yield pa.array(found + scored(group), pa.float64())
-
-        return F.arrow_udf(run, T.DoubleType(), F.ArrowUDFType.SCALAR_ITER)(text.cast("binary"))
-
-    def score(self, text: Column) -> Column:
-        return 1.0 / (1.0 + F.exp(-(F.lit(self.slope) * self.evidence(text) + F.lit(self.offset))))
+def ratio_bounds(ratios: DataFrame, buckets: int) -> np.ndarray:
+    """The largest ratio of a window per bucket of hashes; `ratios` has hash and units of every window."""
+    bucket = F.pmod("hash", F.lit(buckets)).cast("int")
+    most = ratios.groupBy(bucket.alias("bucket")).agg(F.max("units").alias("units")).filter("units != 0")
+    # At most one row per bucket.
+    found = most.select("bucket", (F.col("units") / UNIT).cast("float").alias("most")).toArrow()
+    bounds = np.zeros(buckets, dtype=np.float32)
+    bounds[found.column("bucket").to_numpy()] = np.nextafter(found.column("most").to_numpy(), np.float32(np.inf))
+    return bounds
+
+
+def _suspects(bounds: np.ndarray):
+    """Adds to rows (..., text) their number of words, and key, word and times of those that may have evidence."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, bytes | None] = {}
+
+        def look(lists: list[list[bytes]]) -> list[list[tuple[bytes, bytes, int]]]:
+            words = set().union(*lists)
+            if len(known) > _HELD_WORDS:  # Memory only: words are looked at anew.
+                known.clear()
+            new = list(words - known.keys())
+            if new:
+                points, starts, word = windows(spelled(new))
+                most = bounds[window_hashes(points, starts) % len(bounds)]
+                may = np.bincount(word, most, len(new)) > MARGIN
+                known.update(
+                    (w, hashlib.blake2b(w, digest_size=16).digest() if m else None)
+                    for w, m in zip(new, may.tolist(), strict=True)
+                )
+            return [[(known[w], w, n) for w, n in Counter(filter(known.__getitem__, ws)).items()] for ws in lists]
+
+        def made(rows: pa.RecordBatch, lists: list[list[bytes]]) -> pa.RecordBatch:
+            found = [[{"key": k, "word": w, "times": n} for k, w, n in ws] for ws in look(lists)]
+            kind = pa.list_(pa.struct([("key", pa.binary()), ("word", pa.binary()), ("times", pa.int64())]))
+            return pa.RecordBatch.from_arrays(
+                [*rows.columns[:-1], pa.array([len(ws) for ws in lists], pa.int64()), pa.array(found, kind)],
+                names=[*rows.schema.names[:-1], "words", "suspects"],
+            )
+
+        for batch in batches:
+            lists: list[list[bytes]] = []
+            at, size = 0, 0
+            for text in batch.column("text").to_pylist():
+                lists.append(words_of(text))
+                size += len(text)
+                if size > GROUP_BYTES:
+                    yield made(batch.slice(at, len(lists)), lists)
+                    at, lists, size = at + len(lists), [], 0
+            if lists:
+                yield made(batch.slice(at), lists)
+
+    return run
+
+
+def _word_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, hash and times of the windows of each word."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            part = batch.slice(at, SLICE_ROWS)
+            keys = part.column("key").cast(pa.binary())
+            points, starts, word = windows(spelled(part.column("word").to_pylist()))
+            hashes = window_hashes(points, starts)
+            for low in range(0, len(starts), _HELD_WINDOWS):
+                own = slice(low, low + _HELD_WINDOWS)
+                # A window that repeats in a word of many is one row.
+                pairs, times = np.unique(np.column_stack([word[own], hashes[own]]), axis=0, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [keys.take(pa.array(pairs[:, 0])), pa.array(pairs[:, 1]), pa.array(times.astype(np.int64))],
+                    names=["key", "hash", "times"],
+                )
+
+
+def word_evidence(words: DataFrame, ratios: DataFrame) -> DataFrame:
+    """key, evidence in units beyond the margin, of those distinct words (key, word) that have any."""
+    each = words.mapInArrow(_word_windows, "key binary, hash bigint, times bigint")
+    sums = each.join(ratios, "hash").groupBy("key").agg(F.sum(F.col("times") * F.col("units")).alias("units"))
+    margin = int(MARGIN * UNIT)
+    return sums.filter(F.col("units") > margin).select("key", (F.col("units") - margin).alias("evidence"))
+
+
+def evidence(docs: DataFrame, ratios: DataFrame, columns: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """`columns` and normalised evidence per row of `docs`; `ratios` has gram, hash and ratio of all its windows."""
+    units = F.round(F.col("ratio") * UNIT).cast("bigint")
+    ratios = store(ratios.select("hash", units.alias("units")), "ratios")
+    suspect = T.StructType().add("key", T.BinaryType()).add("word", T.BinaryType()).add("times", T.LongType())
+    shape = T.StructType([*docs.select(*columns).schema, T.StructField("row", T.LongType())])
+    shape = shape.add("words", T.LongType()).add("suspects", T.ArrayType(suspect))
+    numbered = texts(docs.withColumn("row", F.monotonically_increasing_id()), *columns, "row")
+    rows = store(numbered.mapInArrow(_suspects(ratio_bounds(ratios, buckets)), shape), "suspects")
+    each = rows.select("row", F.inline("suspects"))
+    # Windows of which nothing follows are left out of the join: their ratio is 0.
+    known = word_evidence(each.groupBy("key").agg(F.first("word").alias("word")), ratios.filter("units != 0"))
+    sums = each.select("row", "key", "times").join(store(known, "evidence"), "key").groupBy("row")
+    sums = sums.agg(F.sum(F.col("times") * F.col("evidence")).alias("sum"))
+    norm = F.sqrt(F.greatest(F.col("words"), F.lit(1)).cast("double"))
+    found = (F.coalesce(F.col("sum"), F.lit(0)) / F.lit(float(UNIT))) / norm
+    return rows.drop("suspects").join(sums, "row", "left").select(*columns, found.alias("evidence"))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -240,33 +296,36 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(a[0]), float(a[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_windows: int = MOST_WINDOWS, most_labelled: int = MOST_LABELLED) -> Model:
-    """`labels` has doc_id and label 0 or 1, of rows that may be learned from."""
+def scored(docs: DataFrame, labels: DataFrame, columns: dict[str, Column], most_labelled: int = MOST_LABELLED) -> DataFrame:
+    """`columns`, expressions over `docs`, and the score of each of its rows.
+
+    `labels` has doc_id and label 0 or 1, of rows that may be learned from.
+    """
+    wanted = [c.alias(name) for name, c in columns.items()]
     n, toxic = labels.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
-    empty = np.array([], dtype=np.int64)
     if toxic in (0, n):
-        share = (toxic + 1) / (n + 2)
-        return Model(empty, empty.astype(np.float32), 0.0, math.log(share / (1 - share)))
+        return docs.select(*wanted, F.lit((toxic + 1) / (n + 2)).alias("score"))
     if n > most_labelled:
         dice = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) / F.lit(float(1 << 30))
         labels = labels.filter(dice < most_labelled / n)
     labels = store(labels, "labels")
-    docs = docs.select("doc_id", "text")
-    counts = store(window_counts(docs, labels), "windows")
-    kept = strongest(store(window_ratios(counts), "ratios"), most_windows).toArrow()
-    hashes, ratios = kept.column("hash").to_numpy(), kept.column("ratio").to_numpy()
-    order = np.argsort(hashes)
-    model = Model(hashes[order], ratios[order])
-    evidence = docs.join(F.broadcast(labels), "doc_id").select(
-        "label", F.least(F.floor(model.evidence(F.col("text")) / BIN), F.lit(BINS)).alias("bin")
-    )
+    counts = store(window_counts(docs.select("doc_id", "text"), labels), "windows")
+    named = docs.select(F.col("doc_id").alias("__id"), "text", *wanted)
+    known = labels.withColumnRenamed("doc_id", "__id")
+    # At most about MOST_LABELLED rows, as above.
+    named = named.join(F.broadcast(known.withColumnRenamed("label", "__label")), "__id", "left")
+    found = store(evidence(named, window_ratios(counts), [*columns, "__label"]), "scored")
+    bin = F.least(F.floor(F.col("evidence") / BIN), F.lit(BINS))
     # Two rows per bin at most.
-    bins = np.array([tuple(r) for r in evidence.groupBy("label", "bin").count().collect()], dtype=float).reshape(-1, 3)
-    return Model(model.hashes, model.ratios, *_logistic((bins[:, 1] + 0.5) * BIN, bins[:, 0], bins[:, 2]))
+    seen = found.filter("__label is not null").groupBy("__label", bin.alias("bin")).count().collect()
+    bins = np.array([tuple(r) for r in seen], dtype=float).reshape(-1, 3)
+    slope, offset = _logistic((bins[:, 1] + 0.5) * BIN, bins[:, 0], bins[:, 2])
+    score = 1.0 / (1.0 + F.exp(-(F.lit(slope) * F.col("evidence") + F.lit(offset))))
+    return found.select(*columns, score.alias("score"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, reject_at: float = REJECT_AT) -> DataFrame:
     """doc_id, held_out, score, predicted per row of `docs`; `held_out` is an expression over doc_id."""
-    model = fit(docs, training_labels(labels, "toxic", held_out))
-    scored = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), model.score(F.col("text")).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= reject_at).cast("int"))
+    columns = {"doc_id": F.col("doc_id"), "held_out": F.coalesce(held_out, F.lit(False))}
+    found = scored(docs, training_labels(labels, "toxic", held_out), columns)
+    return found.withColumn("predicted", (F.col("score") >= reject_at).cast("int"))

@@ -121,3 +121,31 @@ def test_a_smaller_model_keeps_the_strongest_windows(spark):
     ratios = spark.createDataFrame(rows, "gram string, hash long, everywhere long, ratio double")
     kept = [r["hash"] for r in toxicity.strongest(ratios, 100).collect()]
     assert 90 <= len(kept) <= 110 and min(kept) >= 890
+
+
+@pytest.mark.parametrize("buckets", [1, 1 << 16])
+def test_every_window_counts_toward_the_evidence(spark, buckets):
+    bad = ["idiot", "moron", "zyqqward", "dämlich"]
+    texts = [f"{w} " * 200 + "you" for w in bad] + ["a fine day the day " * 200, "", "idiots and a moronic day, zyqqwards", "the rest"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = [1] * len(bad) + [0] + [None] * 3
+    known = spark.createDataFrame([(i, n) for i, n in enumerate(labels) if n is not None], "doc_id long, label int")
+    ratios = toxicity.window_ratios(toxicity.window_counts(docs, known))
+    found = {r["doc_id"]: r["evidence"] for r in toxicity.evidence(docs, ratios, ["doc_id"], buckets).collect()}
+    want, plain = {}, plain_ratios(texts, labels)
+    for i, text in enumerate(texts):
+        words = toxicity.spelled(toxicity.words_of(text.encode()))
+        marked = ["^" * (toxicity.ORDER - 1) + w + "$" for w in words]
+        sums = [sum(plain[m[k : k + toxicity.ORDER]] for k in range(len(m) - toxicity.ORDER + 1)) for m in marked]
+        want[i] = sum(max(x - toxicity.MARGIN, 0) for x in sums) / math.sqrt(max(len(words), 1))
+    assert found == pytest.approx(want, abs=1e-6) and sum(x > 0 for x in want.values()) >= 4
+
+
+def test_scoring_holds_no_model(spark):
+    docs = spark.createDataFrame([(i, f"idiot{'abcdefgh'[i]} day") for i in range(8)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, label int")
+    ratios = toxicity.window_ratios(toxicity.window_counts(docs, labels))
+    units = ratios.select("hash", F.round(F.col("ratio") * toxicity.UNIT).cast("bigint").alias("units"))
+    bounds = toxicity.ratio_bounds(units, 16)
+    assert len(bounds) == 16
+    assert all(bounds[r["hash"] % 16] >= r["units"] / toxicity.UNIT for r in units.collect())
