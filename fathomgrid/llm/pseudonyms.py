@@ -16,9 +16,13 @@ a row; whole texts are read and nothing is shuffled. Other columns are untouched
 from __future__ import annotations
 
 import datetime
+import functools
 import hashlib
 import math
 import re
+import string
+import sys
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -46,7 +50,17 @@ _FORMS = re.compile(
     """,
     re.VERBOSE,
 )
-_IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}\b")
+_IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+_IBAN_LENGTHS = dict(
+    x.split("=")
+    for x in (
+        "AD=24 AE=23 AL=28 AT=20 AZ=28 BA=20 BE=16 BG=22 BH=22 BR=29 BY=28 CH=21 CR=22 CY=28 CZ=24 DE=22 DK=18 DO=28"
+        " EE=20 EG=29 ES=24 FI=18 FO=18 FR=27 GB=22 GE=22 GI=23 GL=18 GR=27 GT=28 HR=21 HU=28 IE=22 IL=23 IQ=23 IS=26"
+        " IT=27 JO=30 KW=30 KZ=20 LB=28 LC=32 LI=21 LT=20 LU=20 LV=21 MC=27 MD=24 ME=22 MK=19 MR=27 MT=31 MU=30 NL=18"
+        " NO=15 PK=24 PL=28 PS=29 PT=25 QA=29 RO=24 RS=22 SA=24 SC=31 SE=24 SI=19 SK=24 SM=27 ST=25 SV=28 TL=23 TN=24"
+        " TR=26 UA=29 VA=22 VG=24 XK=20"
+    ).split()
+)
 _SECRET = re.compile(
     r"""\b(?:token|secret|password|passwd|api[_\-]?key|access[_\-]?key)\s*[=:]\s*["']([^"'\s]{6,})["']""", re.IGNORECASE
 )
@@ -114,7 +128,7 @@ class Pseudonyms:
         return str(self.permuter.swap(f"{kind}{len(digits)}", int(digits), 10 ** len(digits))).zfill(len(digits))
 
     def letters(self, kind: str, value: str) -> str:
-        """ASCII letters and digits are permuted as one mixed-radix number; case and the rest stay."""
+        """Letters and digits are permuted within their alphabets as one mixed-radix number; case and the rest stay."""
         x, size = 0, 1
         for c in value:
             base, at = _place(c)
@@ -126,12 +140,14 @@ class Pseudonyms:
             base, _ = _place(c)
             if base:
                 x, at = divmod(x, base)
-                c = chr({10: 48, 26: 97 if c.islower() else 65}[base] + at)
+                c = _alphabet(c)[at]
             out.append(c)
         return "".join(reversed(out))
 
     def email(self, value: str) -> str | None:
         local, _, domain = value.rpartition("@")
+        if not any(map(str.isalnum, local)):
+            return None
         return f"{self.letters('email' + domain.lower(), local)}@{domain}"
 
     def ip(self, value: str) -> str | None:
@@ -243,26 +259,52 @@ class Pseudonyms:
         def one(m: re.Match) -> str:
             return put(m.lastgroup, m[0])
 
-        out, last = [], 0
-        for m in _IBAN.finditer(line):
-            if _mod97_of(m[0]) == 1:
-                out += [_FORMS.sub(one, line[last : m.start()]), put("iban", m[0])]
-                last = m.end()
+        out, last, at = [], 0, 0
+        while m := _IBAN.search(line, at):
+            value = _iban_in(line, m)
+            if value is None:  # Another may begin inside of what is none.
+                at = m.start() + 2
+                continue
+            out += [_FORMS.sub(one, line[last : m.start()]), put("iban", value)]
+            last = at = m.start() + len(value)
         return "".join([*out, _FORMS.sub(one, line[last:])])
 
 
+def _iban_in(line: str, m: re.Match) -> str | None:
+    """The IBAN at the start of a match: of its country's length, or the longest that ends a token and checks."""
+    ends = [i for i in range(m.end(), m.start() + 14, -1) if line[i - 1] != " " and not _WORD.match(line, i)]
+    values = [line[m.start() : i] for i in ends]
+    own = int(_IBAN_LENGTHS.get(m[0][:2], 0))
+    values.sort(key=lambda v: len(v.replace(" ", "")) != own)
+    return next((v for v in values if len(v.replace(" ", "")) >= 15 and _mod97_of(v) == 1), None)
+
+
+_WORD = re.compile(r"\w")
+_ASCII = {c: a for a in (string.digits, string.ascii_lowercase, string.ascii_uppercase) for c in a}
+
+
+@functools.cache
+def _alphabets() -> dict[str, str]:
+    """Of each letter or digit beyond ASCII those of its kind in its block of 256; lone ones form one alphabet."""
+    groups: dict[tuple, list[str]] = {}
+    for c in map(chr, range(128, sys.maxunicode + 1)):
+        if c.isalnum():
+            groups.setdefault((ord(c) >> 8, unicodedata.category(c)), []).append(c)
+    lone = "".join(g[0] for g in groups.values() if len(g) == 1)
+    return {c: "".join(g) if len(g) > 1 else lone for g in groups.values() for c in g}
+
+
+def _alphabet(c: str) -> str:
+    return _ASCII.get(c, "") if c < "\x80" else _alphabets().get(c, "")
+
+
 def _place(c: str) -> tuple[int, int]:
-    if "0" <= c <= "9":
-        return 10, ord(c) - 48
-    if "a" <= c <= "z":
-        return 26, ord(c) - 97
-    if "A" <= c <= "Z":
-        return 26, ord(c) - 65
-    return 0, 0
+    alphabet = _alphabet(c)
+    return (len(alphabet), alphabet.index(c)) if alphabet else (0, 0)
 
 
 def _form(value: str) -> str:
-    return "".join("9" if "0" <= c <= "9" else "a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else c for c in value)
+    return "".join({"0": "9"}.get(a[0], a[0]) if (a := _alphabet(c)) else c for c in value)
 
 
 def _mod97(text: str) -> int:

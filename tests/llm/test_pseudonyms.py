@@ -71,3 +71,28 @@ def test_awkward_rows(awkward, nothing):
 def test_long_text_without_spaces_is_linear():
     text = "a" * 2_000_000 + "1"
     assert P.text(text) == (text, [])
+
+
+@pytest.mark.parametrize(
+    ("before", "iban", "after"),
+    [
+        ("IBAN ", "DE89370400440532013000", " BIC COBADEFFXXX"),
+        ("", "GB82 WEST 1234 5698 7654 32", " BIC WESTGB22"),
+        ("XX12 ABCD 0000 1111 ", "DE89 3704 0044 0532 0130 00", " EUR 12"),
+        ("", "GB82WEST12345698765432", ". Next"),
+    ],
+)
+def test_iban_among_capital_and_digit_tokens(before, iban, after):
+    new, kinds = P.text(before + iban + after)
+    changed = new[len(before) : len(new) - len(after)]
+    assert kinds == ["iban"] and new.startswith(before) and new.endswith(after) and changed != iban
+    assert changed.replace(" ", "") == P.text(iban.replace(" ", ""))[0]
+    assert P.text(changed)[1] == ["iban"]
+
+
+def test_local_parts_beyond_ascii():
+    values = [f"{c}@example.com" for c in "абвгдежз"] + ["мария@example.com", "李雷@example.com", "dämlich@example.com", "ª@example.com"]
+    made = [P.text(v) for v in values]
+    assert all(kinds == ["email"] and new != v and new.endswith("@example.com") for v, (new, kinds) in zip(values, made))
+    assert len({new for new, _ in made}) == len(values)
+    assert P.text("_@example.com") == ("_@example.com", [])
