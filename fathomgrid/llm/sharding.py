@@ -114,7 +114,8 @@ def splitters(rows: DataFrame, total: int, ranges: int) -> list[tuple[int, int]]
 def _ends(spread: DataFrame, total: int, shards: int, together: float) -> list[int]:
     """Bytes before each shard but the first; at record ends."""
     # At most one record holds each of the shards-1 even cuts, in whole numbers to the byte.
-    nth = F.expr(f"(before * {shards} + {total} - 1) div {total}")
+    # The first record has nothing before it and may hold the first cut.
+    nth = F.greatest(F.expr(f"(before * {shards} + {total} - 1) div {total}"), F.lit(1))
     across = spread.filter((nth * total < F.col("upto") * shards) & nth.between(1, shards - 1))
     across = across.select("key", "before", "upto").collect()
     groups = {

@@ -1,5 +1,8 @@
+import hashlib
 import zlib
 
+import pytest
+
 from fathomgrid.llm import sharding
 
 
@@ -61,3 +64,22 @@ def test_awkward_rows(awkward, nothing):
     check(awkward.collect(), rows, 24)
     assert {(r["size"], r["text_crc32"]) for r in rows if r["doc_id"] in (3, 4)} == {(8, 0)}
     assert sharding.shard_by_bytes(nothing).count() == 0
+
+
+@pytest.mark.parametrize("count", [1, 5])
+def test_fewer_equal_rows_than_shards(spark, count):
+    docs = spark.createDataFrame([(i, "the same text") for i in range(count)], "doc_id long, text string")
+    rows = sharding.shard_by_bytes(docs).collect()
+    sizes = check(docs.collect(), rows, 24)
+    assert len(rows) == count and len(sizes) == count
+
+
+def test_a_huge_first_record(spark):
+    texts = [f"text {i} " + "x" * 5000 for i in range(60)]
+    first = min(texts, key=lambda t: hashlib.md5(t.encode()).hexdigest()[:15])
+    # Of all texts the first in hash order is kept, the others are short and later in it.
+    later = [t for t in (f"short {i}" for i in range(400)) if hashlib.md5(t.encode()).hexdigest() > hashlib.md5(first.encode()).hexdigest()]
+    docs = spark.createDataFrame(list(enumerate([first, *later])), "doc_id long, text string")
+    rows = sharding.shard_by_bytes(docs).collect()
+    check(docs.collect(), rows, 24)
+    assert max(r["size"] for r in rows) * 24 > sum(r["size"] for r in rows)
