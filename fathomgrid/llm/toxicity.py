@@ -20,8 +20,8 @@ Bounds: at most about `MOST_LABELLED` labelled ids are learned from (a sample by
 cover every document.
 
 Null texts count as empty; texts without words have evidence 0 and are scored by the logistic. Rows without
-an id are scored, never learned from. Contradicting labels of an id are left out. With one class known every
-score is the smoothed share of label 1. Repeated rows each give a row.
+an id are scored, never learned from. Contradicting labels of an id are left out. With at most one class
+known among the rows every score is the smoothed share of label 1, 0.1 without labels. Repeated rows each give a row.
 """
 
 from __future__ import annotations
@@ -296,6 +296,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(a[0]), float(a[1])
 
 
+def _share(toxic: float, n: float) -> float:
+    """The share of label 1, smoothed toward a small one: where nothing was learned nothing is rejected."""
+    return float((toxic + 0.1) / (n + 1))
+
+
 def scored(docs: DataFrame, labels: DataFrame, columns: dict[str, Column], most_labelled: int = MOST_LABELLED) -> DataFrame:
     """`columns`, expressions over `docs`, and the score of each of its rows.
 
@@ -304,7 +309,7 @@ def scored(docs: DataFrame, labels: DataFrame, columns: dict[str, Column], most_
     wanted = [c.alias(name) for name, c in columns.items()]
     n, toxic = labels.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     if toxic in (0, n):
-        return docs.select(*wanted, F.lit((toxic + 1) / (n + 2)).alias("score"))
+        return docs.select(*wanted, F.lit(_share(toxic, n)).alias("score"))
     if n > most_labelled:
         dice = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) / F.lit(float(1 << 30))
         labels = labels.filter(dice < most_labelled / n)
@@ -319,6 +324,9 @@ def scored(docs: DataFrame, labels: DataFrame, columns: dict[str, Column], most_
     # Two rows per bin at most.
     seen = found.filter("__label is not null").groupBy("__label", bin.alias("bin")).count().collect()
     bins = np.array([tuple(r) for r in seen], dtype=float).reshape(-1, 3)
+    n, toxic = bins[:, 2].sum(), bins[bins[:, 0] == 1, 2].sum()
+    if toxic in (0, n):
+        return found.select(*columns, F.lit(_share(toxic, n)).alias("score"))
     slope, offset = _logistic((bins[:, 1] + 0.5) * BIN, bins[:, 0], bins[:, 2])
     score = 1.0 / (1.0 + F.exp(-(F.lit(slope) * F.col("evidence") + F.lit(offset))))
     return found.select(*columns, score.alias("score"))

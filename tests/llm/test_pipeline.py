@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from fathomgrid.llm import packing
-from fathomgrid.llm.common import store, table
+from fathomgrid.llm.common import id_remainder, store, table
 from tests.llm.test_packing import check
 from tests.llm.test_setsketch import plain_components
 
@@ -55,3 +55,14 @@ def test_awkward_and_empty_rows(spark, awkward, nothing, stage):
 def test_repeated_rows_leave_one(spark, awkward):
     rows = pipeline.drop_near_duplicates(spark, awkward, SF).filter(F.col("doc_id") == 1).collect()
     assert len(rows) == 1
+
+
+@pytest.mark.parametrize("ids", [[], [-1, -2]])
+def test_without_usable_labels_nothing_is_rejected(spark, tmp_path, ids):
+    labels = spark.createDataFrame([(i, 1, n % 2) for n, i in enumerate(ids)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(i, f"a clean text {i}") for i in range(20)], "doc_id long, text string")
+    if ids:
+        held_out = {r["doc_id"] for r in labels.filter(id_remainder("doc_id", 5) == 0).collect()}
+        assert not held_out
+    assert pipeline.reject_toxic(spark, docs, str(tmp_path)).count() == 20
