@@ -41,9 +41,10 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; rows that share an id are taken alike."""
-    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__copies"))
-    joined = docs.join(taken.filter("__copies > 0"), F.col("doc_id").eqNullSafe(F.col("__id")))
+    """Each row as often as the mix takes it."""
+    rows = store(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    taken = mixing.mix(rows, row="__row").filter("copies > 0").select("__row", F.col("copies").alias("__copies"))
+    joined = rows.join(taken, "__row")
     turns = joined.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
     return turns.select(*(F.col(f"`{c}`") for c in docs.columns))
 

@@ -72,11 +72,14 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Data
     return store(ranked.select("source", "source_size", "source_rows", "rank", target.alias("target")), "targets")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """Per row of `docs`: doc_id, size, source_size, target, taken and copies."""
+def mix(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, range_rows: int = RANGE_ROWS, row: str | None = None
+) -> DataFrame:
+    """Per row of `docs`: doc_id, size, source_size, target, taken and copies, and `row` if it names a row number."""
+    number = F.col(row) if row else F.monotonically_increasing_id()
     sized = store(
         docs.select(
-            "doc_id", "source", words(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("row")
+            "doc_id", "source", words(F.col("text")).alias("size"), number.alias("row")
         ),
         "sizes",
     )
@@ -102,8 +105,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, range_rows: int = R
     order = [F.col("finish"), F.col("rank"), F.col("turn"), F.col("doc_id"), F.col("row"), F.col("again")]
     cut = running(merged, "stretch", order, {"used": F.col("size")})
     taken = (F.col("used") <= F.lit(total or 0)) & (F.col("finish") < float("inf")) & (F.col("size") > 0)
+    named = [F.col("row").alias(row)] if row else []
     return (
         cut.groupBy("row", "doc_id", "size", "source_size", "target")
         .agg(F.sum(taken.cast("bigint")).alias("copies"))
-        .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+        .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", *named)
     )

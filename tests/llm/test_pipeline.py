@@ -66,3 +66,11 @@ def test_without_usable_labels_nothing_is_rejected(spark, tmp_path, ids):
         held_out = {r["doc_id"] for r in labels.filter(id_remainder("doc_id", 5) == 0).collect()}
         assert not held_out
     assert pipeline.reject_toxic(spark, docs, str(tmp_path)).count() == 20
+
+
+def test_rows_without_ids_are_mixed_each_by_itself(spark):
+    rows = [(None, f"word{i}", "a") for i in range(300)] + [(None, f"word{i}", "b") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = pipeline.mix_sources(spark, docs, SF)
+    assert found.columns == docs.columns
+    assert {r["source"]: r["count"] for r in found.groupBy("source").count().collect()} == {"a": 280, "b": 30}
