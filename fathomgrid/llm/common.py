@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,17 @@ def texts(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
+def byte_slices(batch: pa.RecordBatch, column: str = "text", rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch of at most `rows` rows and about `GROUP_BYTES` of text, or of one longer text."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64())).to_numpy()
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        end = min(at + rows, max(at + 1, int(ends.searchsorted(before + GROUP_BYTES, "right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def per_text(
     df: DataFrame, schema: str, prepare: Callable[[], Callable[[bytes], tuple]], *columns: str
 ) -> DataFrame:

@@ -8,10 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fathomgrid.llm import (
+    collocations,
     licenses,
+    merkle,
     mixing,
     orderminhash,
     packing,
+    piecetokens,
     pseudonyms,
     quality,
     rules,
@@ -23,10 +26,10 @@ from fathomgrid.llm.common import id_remainder, table
 from fathomgrid.session import use_utc
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +84,18 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_documents(spark, sf_dir))
+
+
+def op13_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piecetokens.round_trips(_documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -94,6 +109,9 @@ QUERIES = {
         op8_near_dedup,
         op9_toxicity,
         op10_pii_pseudonyms,
+        op11_phrase_mining,
+        op12_merkle_manifest,
+        op13_piece_tokens,
     )
 }
 
@@ -182,4 +200,77 @@ SELECT s.doc_id, s.n AS n_shingles, r.component_id, s.doc_id = r.component_id AS
 FROM sizes s JOIN (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY doc_id) r ON s.doc_id = r.doc_id
 """
 
-ORACLES = {"op4_source_mixing": _MIXING, "op5_quality_rules": _RULES, "op8_near_dedup": _DEDUP}
+_PHRASES = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM split, (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, cut, x.f AS l, y.f AS r,
+    ((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+absorbed AS (
+  SELECT DISTINCT c.lang, c.phrase FROM candidates c
+  JOIN (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM candidates WHERE k = 3) t
+    ON t.lang = c.lang AND t.part = c.phrase AND 100 * t.a >= 50 * c.a WHERE c.k = 2)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM lowest ANTI JOIN absorbed USING (lang, phrase) JOIN sizes USING (lang) QUALIFY rank <= 2000
+"""
+
+_FIELD = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+_ROW = " || ".join(_FIELD.format(c) for c in merkle.FIELDS)
+_CHANGED = " || ".join(_FIELD.format("(n_chars + 1)" if c == "n_chars" else c) for c in merkle.FIELDS)
+# crc32 of the id's decimal text, bit by bit: eight steps per character.
+_CRC = """list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+      lambda crc, c: list_reduce(list_prepend(xor(crc, c), [0::UBIGINT for k in range(8)]),
+        lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::UBIGINT) ELSE v // 2 END))"""
+_MERKLE = rf"""
+WITH RECURSIVE rows AS (
+  SELECT coalesce('1' || lang, '0') AS tree, doc_id, sha256({_ROW}) AS leaf,
+    CASE WHEN xor({_CRC}, 4294967295::UBIGINT) % 7 = 0 THEN sha256({_CHANGED}) END AS changed
+  FROM documents),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+    count(*) OVER (PARTITION BY tree) AS n FROM rows),
+level AS (
+  SELECT tree, 0 AS height, rank, leaf AS node, n FROM ranked
+  UNION ALL
+  SELECT tree, height + 1, rank // 2, sha256(node || coalesce(mate, '')), (n + 1) // 2
+  FROM (SELECT *, lead(node) OVER (PARTITION BY tree ORDER BY rank) AS mate FROM level WHERE n > 1) WHERE rank % 2 = 0),
+subroots AS (
+  SELECT tree, node AS subroot, height AS below, row_number() OVER (ORDER BY encode(tree)) - 1 AS place, count(*) OVER () AS n
+  FROM level WHERE n = 1),
+upper AS (
+  SELECT 0 AS height, place AS rank, subroot AS node, n FROM subroots
+  UNION ALL
+  SELECT height + 1, rank // 2, sha256(node || coalesce(mate, '')), (n + 1) // 2
+  FROM (SELECT *, lead(node) OVER (ORDER BY rank) AS mate FROM upper WHERE n > 1) WHERE rank % 2 = 0),
+top AS (SELECT node AS root FROM upper WHERE n = 1),
+steps AS (
+  SELECT r.tree, r.rank, l.height AS step, (r.rank >> l.height) % 2 AS side, s.node AS sibling
+  FROM ranked r JOIN level l ON l.tree = r.tree AND l.rank = (r.rank >> l.height) AND l.n > 1
+  LEFT JOIN level s ON s.tree = l.tree AND s.height = l.height AND s.rank = xor(l.rank, 1)
+  UNION ALL
+  SELECT r.tree, r.rank, b.below + u.height, (b.place >> u.height) % 2, s.node
+  FROM ranked r JOIN subroots b ON b.tree = r.tree JOIN upper u ON u.rank = (b.place >> u.height) AND u.n > 1
+  LEFT JOIN upper s ON s.height = u.height AND s.rank = xor(u.rank, 1)),
+paths AS (
+  SELECT tree, rank, string_agg(coalesce(sibling, ''), '' ORDER BY step) AS proof,
+    list(coalesce(CASE WHEN side = 1 THEN '<' ELSE '>' END || sibling, '=') ORDER BY step) AS path
+  FROM steps GROUP BY tree, rank)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM (
+  SELECT r.*, subroot, root, proof, list_reduce(list_prepend(coalesce(changed, leaf), coalesce(path, [])),
+    lambda node, step: sha256(CASE WHEN step[1] = '<' THEN step[2:] || node ELSE node || step[2:] END)) AS folded
+  FROM ranked r JOIN subroots USING (tree) CROSS JOIN top LEFT JOIN paths USING (tree, rank))
+"""
+
+ORACLES = {"op11_phrase_mining": _PHRASES, "op12_merkle_manifest": _MERKLE, "op4_source_mixing": _MIXING, "op5_quality_rules": _RULES, "op8_near_dedup": _DEDUP}
