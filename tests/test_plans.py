@@ -2,10 +2,11 @@
 
 import pytest
 
-from __spark_entry__ import queries
+import __spark_entry__  # noqa: F401 - registers the queries
 from fathomgrid.operators import catalog, cube, gps, status
 from fathomgrid.operators.ordered import Layout
 from fathomgrid.sources import tables
+from workload.registry import QUERIES
 from workload.views import table, view
 
 SF = "/root/testdata/sf0.001"
@@ -20,9 +21,9 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in BUILT_BY_RUNNING])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in BUILT_BY_RUNNING])
 def test_no_all_pairs(spark, name):
-    plan = plan_of(queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
@@ -34,7 +35,7 @@ def test_scans_are_pruned(spark):
     plan = plan_of(gps.bounds_violations(view(spark, SF, "v_fix")))
     assert "In(event_type, [error,signup,view])" in plan
     assert "props" not in plan.split("ReadSchema")[-1]
-    plan = plan_of(queries()["zero_step_files"](spark, SF))
+    plan = plan_of(QUERIES["zero_step_files"](spark, SF))
     assert "embedding:" not in plan.split("ReadSchema")[-1]
 
 
@@ -50,14 +51,14 @@ def test_one_shuffle_per_grouping(spark):
 
 
 def test_aggregates_combine_before_the_shuffle(spark):
-    plan = plan_of(queries()["cruise_index"](spark, SF))
+    plan = plan_of(QUERIES["cruise_index"](spark, SF))
     assert "partial_count" in plan and "partial_sum" in plan
     plan = plan_of(status.latest_status(view(spark, SF, "v_status")))
     assert "partial_max_by" in plan
 
 
 def test_regrid_does_not_shuffle(spark):
-    df = queries()["regrid_nearest"](spark, SF)
+    df = QUERIES["regrid_nearest"](spark, SF)
     plan = plan_of(df)
     assert plan.split("Initial Plan")[-1].count("ArrowEvalPython") == 1
     # The one exchange gathers the grid per cruise; samples stay where they are.
@@ -71,7 +72,7 @@ def test_the_kernel_runs_once(spark, name):
 
         df = _cube(spark, SF)
     else:
-        df = queries()[name](spark, SF)
+        df = QUERIES[name](spark, SF)
     assert plan_of(df).split("Initial Plan")[-1].count("ArrowEvalPython") == 1
 
 

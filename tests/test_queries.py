@@ -2,8 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from workload.check import compare, connect
+from workload.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,9 +14,9 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    verdict, _, _, _ = compare(spark, con, SF, name, queries()[name], oracle_sql().get(name))
+    verdict, _, _, _ = compare(spark, con, SF, name, QUERIES[name], ORACLES.get(name))
     assert verdict in ("ok", "rows only"), verdict
 
 
@@ -33,7 +34,7 @@ ORDERED = [
 def test_query_with_cut_groups(spark, con, monkeypatch, name):
     """The same rows when every group is too large for one task."""
     monkeypatch.setattr("fathomgrid.operators.ordered.GROUP_ROWS", 25)
-    verdict, _, _, _ = compare(spark, con, SF, name, queries()[name], oracle_sql()[name])
+    verdict, _, _, _ = compare(spark, con, SF, name, QUERIES[name], ORACLES[name])
     assert verdict == "ok", verdict
 
 
@@ -42,7 +43,7 @@ def test_query_without_broadcast(spark, con, name):
     """The same rows when nothing is small enough to broadcast."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        verdict, _, _, _ = compare(spark, con, SF, name, queries()[name], oracle_sql()[name])
+        verdict, _, _, _ = compare(spark, con, SF, name, QUERIES[name], ORACLES[name])
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert verdict == "ok", verdict
