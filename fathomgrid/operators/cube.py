@@ -9,25 +9,25 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fathomgrid.functions.regridding import nearest_on_axis
+from fathomgrid.session import stored
 
 TILE = 1024
 """Cells per tile edge on the depth and time axes."""
 PING_BLOCK = 1024
 FILE = ("cruise", "file_name")
+AXIS = ("max_depth", "depth_bins")
 
 
 def regrid(soundings: DataFrame, grid: DataFrame) -> DataFrame:
     """Depth column `sv` of every sounding on its cruise's axis. Row-local after the grid lookup."""
-    axis = grid.select("cruise", "max_depth", "depth_bins")
-    column = nearest_on_axis("echo_range", "sv", "max_depth", "depth_bins")
-    return (
-        soundings.join(axis, "cruise")
-        .withColumn("sv", column)
-        .drop("echo_range", "max_depth", "depth_bins")
-    )
+    return _on_axis(soundings.join(grid.select("cruise", *AXIS), "cruise"))
+
+
+def _on_axis(soundings: DataFrame) -> DataFrame:
+    """Regridded columns of soundings that have their axis beside them."""
+    return soundings.withColumn("sv", nearest_on_axis("echo_range", "sv", *AXIS)).drop("echo_range", *AXIS)
 
 
 def ping_block(ping_idx: Column) -> Column:
@@ -56,6 +56,8 @@ def cube_rows(soundings: DataFrame, placed_pings: DataFrame, grid: DataFrame, ti
         placed_pings.select(*FILE, ping_block(F.col("ping_idx")).alias("ping_block"), "ping_idx", place.alias("place"))
         .groupBy(*FILE, "ping_block")
         .agg(F.map_from_entries(F.collect_list(F.struct("ping_idx", "place"))).alias("places"))
+        # The grid comes to the blocks, so that samples meet one table only and it has their own key.
+        .join(grid.select("cruise", *AXIS), "cruise")
     )
     if "ping_block" not in soundings.columns:
         soundings = soundings.withColumn("ping_block", ping_block(F.col("ping_idx")))
@@ -65,7 +67,7 @@ def cube_rows(soundings: DataFrame, placed_pings: DataFrame, grid: DataFrame, ti
         .filter(F.col("place").isNotNull())
         .drop("places")
     )
-    return regrid(kept, grid).select(
+    return _on_axis(kept).select(
         *FILE, "place.time_idx", F.col("frequency").cast("float").alias("frequency"),
         "place.ts", "place.latitude", "place.longitude", "sv",
         time_tile(F.col("place.time_idx"), tile).alias("time_tile"),
@@ -123,6 +125,8 @@ def densify(cube: DataFrame, grid: DataFrame, tile: int = TILE) -> DataFrame:
         )
     )
     columns = ["cruise", "frequency", "time_idx", "time_tile", "ts", "latitude", "longitude", "sv"]
+    # Its keys are compared and its rows are returned: stored, it is regridded once for both.
+    cube = stored(cube.select(*columns), "cube")
     missing = cells.join(
         cube.select("cruise", "frequency", "time_idx"), ["cruise", "frequency", "time_idx"], "left_anti"
     ).select(
@@ -132,7 +136,7 @@ def densify(cube: DataFrame, grid: DataFrame, tile: int = TILE) -> DataFrame:
         F.lit(None).cast("float").alias("longitude"),
         F.array_repeat(F.lit(None).cast("float"), F.col("depth_bins").cast("int")).alias("sv"),
     )
-    return cube.select(*columns).unionByName(missing)
+    return cube.unionByName(missing)
 
 
 def read_slice(cube: DataFrame, cruise: str, start: int, end: int, tile: int = TILE) -> DataFrame:
@@ -146,32 +150,47 @@ def read_slice(cube: DataFrame, cruise: str, start: int, end: int, tile: int = T
     )
 
 
-def _transposed(columns: pa.Array) -> pa.Array:
-    """Lists of equally long float lists, turned: per depth the values of all columns."""
-    out = []
-    for rows in columns.to_pylist():
-        deepest = max((len(r) for r in rows), default=0)
-        block = np.full((len(rows), deepest), np.nan, np.float32)
-        for i, r in enumerate(rows):
-            block[i, : len(r)] = np.array(r, np.float32)  # None becomes NaN
-        out.append([np.where(np.isnan(x), None, x) for x in block.T])
-    return pa.array(out, pa.list_(pa.list_(pa.float32())))
-
-
-_turned = F.arrow_udf(_transposed, T.ArrayType(T.ArrayType(T.FloatType()))).asNondeterministic()
+_SLAB = "cruise string, time_tile bigint, depth_tile int, frequency float, depth_idx int, time_idx array<bigint>, values array<float>"
+
+
+def _block(pieces: pa.ListArray) -> np.ndarray:
+    """Depth pieces, one per row, as a matrix with NaN where there is no value."""
+    sizes = pieces.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    values = pieces.flatten().to_numpy(zero_copy_only=False).astype(np.float32)
+    out = np.full((len(pieces), int(sizes.max(initial=0))), np.nan, np.float32)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = values
+    return out
+
+
+def _turned(key: tuple, rows: pa.Table) -> pa.Table:
+    """Depth x time of one chunk from its time x depth, buffer by buffer."""
+    rows = rows.sort_by("time_idx").combine_chunks()
+    sv = rows.column("sv").combine_chunks()
+    matrix = _block(sv.chunk(0) if isinstance(sv, pa.ChunkedArray) else sv).T
+    deep, wide = matrix.shape
+    flat = np.ascontiguousarray(matrix).ravel()
+    ends = pa.array(np.arange(deep + 1, dtype=np.int32) * wide)
+    first = key[2].as_py() * TILE
+    times = np.tile(rows.column("time_idx").to_numpy(), deep)
+    return pa.table(
+        [
+            pa.array([key[i].as_py()] * deep, kind)
+            for i, kind in enumerate((pa.string(), pa.int64(), pa.int32(), pa.float32()))
+        ]
+        + [
+            pa.array(np.arange(first, first + deep, dtype=np.int32)),
+            pa.ListArray.from_arrays(ends, pa.array(times)),
+            pa.ListArray.from_arrays(ends, pa.array(flat, mask=np.isnan(flat))),
+        ],
+        names=["cruise", "time_tile", "depth_tile", "frequency", "depth_idx", "time_idx", "values"],
+    )
 
 
 def depth_major(cube: DataFrame) -> DataFrame:
     """Reorder to (depth, time, frequency): per depth, time tile and frequency, values by time.
 
-    Whole columns of one time tile and frequency are gathered, at most a tile of them, and turned in one
-    step; samples are never rows of a shuffle.
+    Columns are cut into tiles first, so what a task turns at a time is one chunk of at most a tile each way, some
+    4 MB, whatever the cruise's depth and length are; samples are never rows of a shuffle.
     """
-    column = F.struct("time_idx", "sv")
-    gathered = cube.groupBy("cruise", "time_tile", "frequency").agg(F.array_sort(F.collect_list(column)).alias("c"))
-    turned = gathered.select(
-        "cruise", "time_tile", "frequency", F.col("c.time_idx").alias("time_idx"), _turned(F.col("c.sv")).alias("__t")
-    )
-    return turned.select(
-        "cruise", F.posexplode("__t").alias("depth_idx", "values"), "time_tile", "frequency", "time_idx"
-    )
+    pieces = tiled(cube.select("cruise", "frequency", "time_idx", "sv"))
+    return pieces.groupBy("cruise", "time_tile", "depth_tile", "frequency").applyInArrow(_turned, _SLAB).drop("depth_tile")

@@ -148,12 +148,31 @@ def features(aligned: DataFrame) -> DataFrame:
     return aligned.withColumn("feature", feature)
 
 
-def feature_collections(aligned: DataFrame, keys: Sequence[str] = FILE_KEY) -> DataFrame:
-    """One FeatureCollection per file, in ping order.
+COLLECTION_HEAD = '{"type":"FeatureCollection","features":['
+COLLECTION_TAIL = "]}"
+_AS_JSON = {"ignoreNullFields": "false"}
+
+
+def collection_lines(
+    aligned: DataFrame, keys: Sequence[str] = FILE_KEY, layout: Layout | None = None
+) -> DataFrame:
+    """The lines of one FeatureCollection per file: the keys, part (1 features, 2 the end), ping_idx and line.
 
-    That is the exchange format: a document is as long as its file has pings. Tables hold `features`,
-    one row per ping, and documents are made of the files that are asked for.
+    In the order of part and ping_idx the lines of a file are a document: the first opens it, every further feature
+    begins with a comma, the last line closes it. So a document of any length is rows, and none is an array.
     """
+    follows = scan(features(aligned), list(keys), ["ping_idx"], [previous("__before", F.col("ping_idx"))], layout)
+    feature = F.to_json("feature", _AS_JSON)
+    line = lambda part, text: F.struct(F.lit(part).alias("part"), text.alias("line"))
+    first = F.array(
+        line(1, F.concat(F.lit(COLLECTION_HEAD + "\n"), feature)), line(2, F.lit(COLLECTION_TAIL))
+    )
+    later = F.array(line(1, F.concat(F.lit(","), feature)))
+    return follows.select(*keys, "ping_idx", F.inline(F.when(F.col("__before").isNull(), first).otherwise(later)))
+
+
+def feature_collections(aligned: DataFrame, keys: Sequence[str] = FILE_KEY) -> DataFrame:
+    """One row per file with its collection, for files that fit in a row; `collection_lines` has no such bound."""
     ordered = F.array_sort(F.collect_list(F.struct("ping_idx", "feature")))
     return features(aligned).groupBy(*keys).agg(
         F.struct(

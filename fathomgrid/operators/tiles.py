@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomgrid.functions import geo
-from fathomgrid.operators.ordered import Layout, previous, running_sum, scan
+from fathomgrid.operators.ordered import Layout, measure, previous, running_sum, scan
 from fathomgrid.operators.tracks import LINE, MAX_ZOOM, at_levels, with_ends
+from fathomgrid.session import stored
 
 TILE_KEY = ("z", "x", "y")
 ORDER = ("from_idx", "start")
@@ -73,6 +74,9 @@ def tile_lines(
     Each edge is cut within its row: the shares of its way at which it passes a tile border are sorted,
     and each stretch between two of them lies in the tile of its middle. An edge passes at most twice
     as many borders as the map has tiles across.
+
+    Points of levels and stretches are stored once each, so that what measures them reads them back and neither
+    `points` nor its simplification is run again for a count. `layout` is that of the levels, where it is known.
     """
     keys = list(keys)
     ended = with_ends(points, keys).drop("first_point")
@@ -80,7 +84,9 @@ def tile_lines(
         levelled = ended.withColumn("z", F.explode(F.sequence(F.lit(0), F.lit(levels))))
     else:
         levelled = at_levels(ended, levels)
-    steps = edges(levelled, keys, layout)
+    group = [*keys, "z"]
+    levelled = stored(levelled.select(*group, "point_idx", "longitude", "latitude", "last_point"), "levels")
+    steps = edges(levelled, keys, layout or measure(levelled, group))
     side = F.pow(F.lit(2.0), F.col("z"))
     placed = steps.withColumns(
         {
@@ -101,7 +107,6 @@ def tile_lines(
         F.slice("__cuts", F.lit(1), F.size("__cuts") - 1),
         lambda t, i: F.struct(t.alias("start"), F.get(F.col("__cuts"), i + 1).alias("stop")),
     )
-    group = [*keys, "z"]
     each = cut.select(
         *group, "from_idx", "to_idx", "lon0", "lat0", "lon1", "lat1", "__u0", "__v0", "__u1", "__v1", F.inline(pieces)
     )
@@ -109,6 +114,9 @@ def tile_lines(
     tiled = each.withColumns(
         {"x": geo.tile_of(u0 + middle * (u1 - u0), side), "y": geo.tile_of(v0 + middle * (v1 - v0), side)}
     )
+    tiled = stored(tiled, "stretches")
+    # Both passes run over the same rows.
+    layout = measure(tiled, group)
     cell = F.struct("x", "y")
     entered = scan(tiled, group, list(ORDER), [previous("__cell", cell)], layout)
     moved = (F.col("__cell.x") != F.col("x")) | (F.col("__cell.y") != F.col("y"))

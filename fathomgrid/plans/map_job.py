@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 
 from fathomgrid.operators import tiles, tracks
 from fathomgrid.operators.ordered import measure
+from fathomgrid.session import stored
+from fathomgrid.sources import tables
 
 
 @dataclass(frozen=True)
@@ -32,7 +34,9 @@ def map_stage(
     # Segments are never larger than their track, so one measurement serves their steps.
     layout = measure(points, ["cruise"])
     split = tracks.split_tracks(points, gap_ms, layout=layout)
-    weighed = tracks.with_importance(tracks.track_points(split, precision, layout=layout))
+    # Simplification and tiles read their input several times, so each is stored before it.
+    lines = stored(tracks.track_points(split, precision, layout=layout), "line-points")
+    weighed = stored(tracks.with_importance(lines), "weighed")
     rows = tiles.tile_lines(weighed, tracks.tolerances(max_zoom, smallest, largest))
     return MapStage(weighed, rows, tiles.geohash_cells(points, geohash_precision))
 
@@ -45,3 +49,8 @@ def publish(
     if existing_tiles is not None:
         rows = tiles.replace_cruises(existing_tiles, rows, cruises)
     return tiles.merge_tiles(rows)
+
+
+def publish_into(path: str, stage: MapStage, cruises: DataFrame | None = None) -> int:
+    """The same into a store of tiles, of which only the folders of this stage's cruises are written again."""
+    return tables.publish_tiles(stage.tile_rows.sparkSession, path, stage.tile_rows, cruises)

@@ -48,6 +48,18 @@ CRUISE_CUBE = _fields(
     ("sv", T.ArrayType(T.FloatType())), ("time_tile", _LONG),
 )
 
+CUBE_CHUNK = _fields(
+    ("frequency", T.FloatType()), ("time_idx", _LONG), ("sv", T.ArrayType(T.FloatType())),
+    ("cruise", _STR), ("time_tile", _LONG), ("depth_tile", T.IntegerType()), ("file_name", _STR),
+)
+
+TIME_AXIS = _fields(
+    ("time_idx", _LONG), ("ts", _DOUBLE), ("latitude", T.FloatType()), ("longitude", T.FloatType()),
+    ("cruise", _STR), ("file_name", _STR),
+)
+
+DEPTH_AXIS = _fields(("depth_idx", T.IntegerType()), ("depth", _DOUBLE), ("cruise", _STR))
+
 FEATURE = _fields(
     ("id", _STR), ("type", _STR),
     ("properties", _fields(("latitude", _DOUBLE), ("longitude", _DOUBLE))),

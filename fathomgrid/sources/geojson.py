@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomgrid import schemas
 from fathomgrid.functions import times
 from fathomgrid.operators import gps
+from fathomgrid.operators.ordered import Layout
+from fathomgrid.session import stored
+from fathomgrid.sources import stores
 
 
 _AS_JSON = {"ignoreNullFields": "false"}
@@ -28,11 +35,20 @@ def write_features(aligned: DataFrame, path: str) -> None:
     )
 
 
-def write_collections(aligned: DataFrame, path: str) -> None:
-    """One FeatureCollection per file and line, below cruise=/file_name= folders."""
+def write_collections(aligned: DataFrame, path: str, layout: Layout | None = None) -> None:
+    """One FeatureCollection per file, line by line, below cruise=/file_name= folders.
+
+    Lines are dealt by range of file and ping, so a hot file is written by several tasks: its document is then the
+    part files of its folder in the order of their names. `export_documents` makes single files of them.
+    """
+    order = ["cruise", "file_name", "part", "ping_idx"]
+    # Folder names hold no null; where Spark knows that, it keeps the order of the lines as it is.
+    folder = {c: F.coalesce(c, F.lit("__HIVE_DEFAULT_PARTITION__")) for c in order[:2]}
+    lines = gps.collection_lines(aligned, layout=layout).withColumns(folder)
     (
-        gps.feature_collections(aligned)
-        .select("cruise", "file_name", F.to_json("collection", _AS_JSON).alias("value"))
+        lines.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select("cruise", "file_name", F.col("line").alias("value"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("cruise", "file_name")
@@ -40,6 +56,53 @@ def write_collections(aligned: DataFrame, path: str) -> None:
     )
 
 
+COPY_BYTES = 8_000_000
+
+
+def export_documents(spark: SparkSession, path: str, target: str, name: str = "geo.json") -> DataFrame:
+    """Each file's document as one object, `target`/cruise/file_name/`name`: cruise, file_name, parts and bytes.
+
+    A task appends the parts of a document block by block, so what it holds is one block however long the document
+    is. Nothing is parsed on the way. Part files are found by Spark's listing, their contents are not read by it.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    parts = (
+        listed.select("cruise", "file_name", "path")
+        .groupBy("cruise", "file_name")
+        .agg(F.sort_array(F.collect_list(F.substring_index("path", "/", -1))).alias("names"), F.min("path").alias("path"))
+    )
+    into = stores.address_in(spark, target)
+    settings = stores.settings_of(spark)
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = into.open()
+        for batch in batches:
+            made = []
+            for row in batch.to_pylist():
+                origin = stores.address(unquote(row["path"].rpartition("/")[0]), settings)
+                source, folder = origin.open(), f"{into.folder}/{row['cruise']}/{row['file_name']}"
+                if into.kind == "local":
+                    store.create_dir(folder)
+                size = 0
+                with store.open_output_stream(f"{folder}/{name}") as out:
+                    for part in row["names"]:
+                        with source.open_input_stream(f"{origin.folder}/{part}") as read:
+                            while block := read.read(COPY_BYTES):
+                                out.write(block)
+                                size += len(block)
+                made.append((row["cruise"], row["file_name"], len(row["names"]), size))
+            kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
+            columns = zip(*made, strict=True) if made else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, k) for v, k in zip(columns, kinds, strict=True)], names=["cruise", "file_name", "parts", "bytes"]
+            )
+
+    copied = parts.repartition("cruise", "file_name").mapInArrow(
+        copy, "cruise string, file_name string, parts int, bytes long"
+    )
+    return stored(copied, "exported")
+
+
 def _positions(features: DataFrame, folders: list[str]) -> DataFrame:
     return features.select(
         *folders,
@@ -61,15 +124,24 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 def read_collections(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Features of all collections below `path`: id, position, geometry, and the folder columns.
 
-    `multi_line` reads one pretty-printed document per file instead of one per line.
+    Documents are read line by line, in as many tasks as they are long: either a document is one line, or it has a
+    feature per line, as `write_collections` and `export_documents` leave it. `multi_line` reads one pretty-printed
+    document per file instead, whole.
     """
-    documents = (
-        spark.read.schema(schemas.FEATURE_COLLECTION)
-        .option("multiLine", str(multi_line).lower())
-        .json(path)
+    if multi_line:
+        documents = spark.read.schema(schemas.FEATURE_COLLECTION).option("multiLine", "true").json(path)
+        folders = [c for c in documents.columns if c not in ("type", "features")]
+        return _positions(documents.select(*folders, F.explode("features").alias("f")), folders)
+    lines = spark.read.option("recursiveFileLookup", "false").text(path)
+    folders = [c for c in lines.columns if c != "value"]
+    value = F.regexp_replace(F.trim("value"), "^,", "")
+    feature = F.from_json(value, schemas.FEATURE)
+    whole = F.from_json(value, schemas.FEATURE_COLLECTION)["features"]
+    is_document = value.startswith('{"type":"FeatureCollection"') & value.endswith(gps.COLLECTION_TAIL)
+    found = lines.filter(~value.isin(gps.COLLECTION_HEAD, gps.COLLECTION_TAIL, "")).select(
+        *folders, F.explode(F.when(is_document, whole).otherwise(F.array(feature))).alias("f")
     )
-    folders = [c for c in documents.columns if c not in ("type", "features")]
-    return _positions(documents.select(*folders, F.explode("features").alias("f")), folders)
+    return _positions(found, folders)
 
 
 def spatiotemporal_index(features: DataFrame) -> DataFrame:

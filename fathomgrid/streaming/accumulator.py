@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fathomgrid.functions import times
 from fathomgrid.operators.status import SUCCESS
-from fathomgrid.session import reliable
 from fathomgrid.sources import tables
 from fathomgrid.streaming.sinks import batch_writer
 
+KEYS = ["cruise_name", "file_name"]
+SALTS = 64
+"""Parts the files of a cruise are followed in, so that a hot cruise is many keys of the state."""
+
+NOTICES = "cruise_name string, stage string, files long, notice_time timestamp, batch_id long"
+LISTED = "cruise_name string, file_name string, expected long"
+
 
 def expected_files(files: DataFrame) -> DataFrame:
     """Number of distinct files per cruise."""
@@ -33,20 +41,14 @@ def completed_cruises(finished: DataFrame, files: DataFrame) -> DataFrame:
     Finishes count only for files of the list. Repeats fall out in a distinct over (cruise, file),
     which spreads a large cruise.
     """
-    seen = finished.select("cruise_name", "file_name").distinct().withColumn("__seen", F.lit(1))
-    met = listed_files(files).join(seen, ["cruise_name", "file_name"], "left")
+    seen = finished.select(*KEYS).distinct().withColumn("__seen", F.lit(1))
+    met = listed_files(files).join(seen, KEYS, "left")
     totals = met.groupBy("cruise_name").agg(
         F.count("__seen").alias("finished"), F.count(F.lit(1)).alias("expected")
     )
     return totals.filter("finished = expected")
 
 
-def first_finishes(finished: DataFrame) -> DataFrame:
-    """Stream of first finishes; keys are remembered per (cruise, file), so a large cruise is spread."""
-    keys = ["cruise_name", "file_name"]
-    return finished.select(*keys).dropDuplicates(keys)
-
-
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
@@ -56,61 +58,95 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-TOTALS = "cruise_name string, finished long, expected long, reported boolean, reported_before boolean, batch_id long"
-HELD = "cruise_name string, file_name string, batch_id long"
+def publish_listing(files: DataFrame, path: str) -> None:
+    """Append to the log of listed files those it does not have, with the files their cruise has by now.
 
+    A cruise that is listed in several steps is complete when the last number published is reached.
+    """
+    known = _read(files.sparkSession, path, LISTED).select(*KEYS)
+    fresh = listed_files(files).join(known, KEYS, "left_anti")
+    counts = known.unionByName(fresh).distinct().groupBy("cruise_name").agg(F.count(F.lit(1)).alias("expected"))
+    rows = fresh.join(counts, "cruise_name").select(*KEYS, "expected")
+    if not rows.isEmpty():
+        rows.write.mode("append").parquet(path)
+
+
+class _Files(StatefulProcessor):
+    """Per (cruise, salt): which files are listed and which are finished. A file is met once, when it is both."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.files = handle.getMapState("files", "file_name string", "listed boolean, finished boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        met = expected = 0
+        for part in rows:
+            listed = part["expected"].notna()
+            expected = max(expected, int(part["expected"].max()) if listed.any() else 0)
+            told = part.assign(listed=listed, finished=~listed).groupby("file_name")[["listed", "finished"]].any()
+            for name, now in zip(told.index, told.itertuples(index=False, name=None), strict=True):
+                before = self.files.getValue((name,)) or (False, False)
+                after = (before[0] or bool(now[0]), before[1] or bool(now[1]))
+                if after != tuple(before):
+                    self.files.updateValue((name,), after)
+                    met += all(after)
+        if met or expected:
+            yield pd.DataFrame({"cruise_name": [key[0]], "met": [met], "expected": [expected]})
+
+    def close(self) -> None:
+        pass
+
+
+class _Cruises(StatefulProcessor):
+    """Per cruise: how many files are met, how many there are, and whether that was reported."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total", "met long, expected long, reported boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        met, expected, reported = self.total.get() if self.total.exists() else (0, 0, False)
+        for part in rows:
+            met, expected = met + int(part["met"].sum()), max(expected, int(part["expected"].max()))
+        full = not reported and met >= expected > 0
+        self.total.update((met, expected, reported or full))
+        if full:
+            yield pd.DataFrame({"cruise_name": [key[0]], "finished": [met], "expected": [expected]})
+
+    def close(self) -> None:
+        pass
+
+
+def completions(finished: DataFrame, listed: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Stream of cruises (cruise_name, finished, expected), each once, when all their listed files are finished.
+
+    `finished` is a stream of (cruise_name, file_name), `listed` one of (cruise_name, file_name, expected) as
+    `publish_listing` writes it. Repeats change nothing; finishes of files that are not listed are held until
+    they are. A batch touches the state of the files it names and of their cruises, whatever came before.
+    """
+    none = F.lit(None).cast("long").alias("expected")
+    rows = listed.select(*KEYS, "expected").unionByName(finished.select(*KEYS, none)).dropna(subset=KEYS)
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("file_name"), F.lit(salts)))
+    files = salted.groupBy("cruise_name", "salt").transformWithStateInPandas(
+        _Files(), "cruise_name string, met long, expected long", "Append", "None"
+    )
+    return files.groupBy("cruise_name").transformWithStateInPandas(
+        _Cruises(), "cruise_name string, finished long, expected long", "Append", "None"
+    )
 
-def completion_writer(
-    listing: Callable[[], DataFrame],
-    base: str,
-    stage: str,
-    then: Callable[[DataFrame, int], None] | None = None,
-):
-    """`foreachBatch` function that follows first finishes and writes a notice when a cruise is full.
 
-    `listing` returns the file list (cruise, filename) as it is now; it is asked once per batch. A finish
-    counts when its file is listed. One that is not is held, not lost: it counts in the first batch
-    after its file was listed.
+def completion_writer(base: str, stage: str, then: Callable[[DataFrame, int], None] | None = None):
+    """`foreachBatch` function that writes a notice per completed cruise; a replayed batch writes the same ones.
 
-    What a batch leaves for the next are two small tables of its own folder: a running total per cruise,
-    and the finishes still held. A batch reads those of the batch before it only, so work does not grow
-    with history, and a replayed batch writes the same rows again. A cruise is reported once, when all
-    its listed files are finished. `then` receives the completed cruises and must be as repeatable.
+    `then` receives the completed cruises and must be as repeatable.
     """
-    totals_path, held_path = f"{base}/totals", f"{base}/held"
-    write_totals, write_held = batch_writer(totals_path), batch_writer(held_path)
     write_notices = batch_writer(f"{base}/notices")
-    keys = ["cruise_name", "file_name"]
-
-    def of(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
-        return _read(spark, path, schema).filter(F.col("batch_id") == batch_id)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        files = listed_files(listing())
-        waiting = of(spark, held_path, HELD, batch_id - 1).select(*keys)
-        arrived = reliable(batch.select(*keys).unionByName(waiting).distinct())
-        write_held(arrived.join(files, keys, "left_anti"), batch_id)
-        added = arrived.join(files, keys, "left_semi").groupBy("cruise_name").agg(F.count(F.lit(1)).alias("added"))
-        before = of(spark, totals_path, TOTALS, batch_id - 1).select("cruise_name", "finished", "reported")
-        sizes = files.groupBy("cruise_name").agg(F.count(F.lit(1)).alias("expected"))
-        none = F.lit(0).cast("long")
-        totals = (
-            before.join(added, "cruise_name", "full_outer")
-            .join(sizes, "cruise_name", "left")
-            .select(
-                "cruise_name",
-                (F.coalesce("finished", none) + F.coalesce("added", none)).alias("finished"),
-                "expected",
-                F.coalesce("reported", F.lit(False)).alias("reported_before"),
-            )
-        )
-        full = F.coalesce(F.col("finished") >= F.col("expected"), F.lit(False))
-        write_totals(totals.withColumn("reported", F.col("reported_before") | full), batch_id)
-        now = of(spark, totals_path, TOTALS, batch_id).filter("reported and not reported_before")
-        write_notices(completion_notices(now, stage), batch_id)
+
+    def write(completed: DataFrame, batch_id: int) -> None:
         if then is not None:
-            then(now, batch_id)
+            # Both sinks take the same rows, so the state is asked once.
+            completed.persist()
+            then(completed, batch_id)
+        write_notices(completion_notices(completed, stage), batch_id)
+        completed.unpersist()
 
     return write
 
@@ -121,22 +157,29 @@ def run_accumulator(
     base: str,
     stage: str = "raw-to-zarr",
     then: Callable[[DataFrame, int], None] | None = None,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Process all available finishes and return the completion notices written so far."""
+    """Process all available finishes and return the completion notices written so far.
+
+    `listing` returns the file list (cruise, filename) as it is now; what is new in it is published to
+    `base`/listed once per run, and read from there as a stream. A query that never ends follows the same log, to
+    which whoever lists files publishes.
+    """
     spark = finished.sparkSession
+    publish_listing(listing(), f"{base}/listed")
+    reader = spark.readStream.schema(LISTED)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     query = (
-        first_finishes(finished)
+        completions(finished, reader.parquet(f"{base}/listed"))
         .writeStream.outputMode("append")
         .option("checkpointLocation", f"{base}/checkpoint")
         .trigger(availableNow=True)
-        .foreachBatch(completion_writer(listing, base, stage, then))
+        .foreachBatch(completion_writer(base, stage, then))
         .start()
     )
     query.awaitTermination()
-    return _read(
-        spark, f"{base}/notices",
-        "cruise_name string, stage string, files long, notice_time timestamp, batch_id long",
-    )
+    return _read(spark, f"{base}/notices", NOTICES)
 
 
 def completion_notices(completed: DataFrame, stage: str) -> DataFrame:

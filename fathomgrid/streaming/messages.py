@@ -39,18 +39,34 @@ def notification(**fields: Column) -> Column:
     )
 
 
-def fan_out(requests: DataFrame, files: DataFrame) -> DataFrame:
-    """One event per raw file of the requested cruise: stream of requests, static list of files.
+REQUEST = ("ship_name", "cruise_name", "sensor_name")
+SALTS = 16
+"""Parts the file list of a cruise is joined in, so that a hot cruise is no single join key."""
 
-    Requests are few and files many per cruise; the side to ship is Spark's choice at run time.
+
+def first_requests(requests: DataFrame, delay: str | None = None) -> DataFrame:
+    """Valid requests of a stream, each cruise once however often and in however many batches it is asked for.
+
+    A `delay` forgets requests by a watermark on event_time, so that a cruise can be asked for again later.
+    """
+    return without_repeats(requests.filter("valid"), REQUEST, delay)
+
+
+def fan_out(requests: DataFrame, files: DataFrame, salts: int = SALTS) -> DataFrame:
+    """One event per raw file of the requested cruise: stream or table of requests, static list of files.
+
+    Each request gives its events, so repeats are removed first (`first_requests`, or `distinct` on a table).
+    Requests are few and files many per cruise: requests are copied to every salt of their cruise's files.
+    The side to ship is Spark's choice.
     """
     listed = files.select(
         *[c for c in ("key",) if c in files.columns],
         F.col("ship").alias("ship_name"), F.col("cruise").alias("cruise_name"),
         F.col("sensor").alias("sensor_name"), F.col("filename").alias("file_name"),
-    )
+    ).withColumn("__salt", F.pmod(F.xxhash64("file_name"), F.lit(salts)))
     wanted = requests.filter("valid") if "valid" in requests.columns else requests
-    return wanted.join(listed, ["ship_name", "cruise_name", "sensor_name"])
+    copied = wanted.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return copied.join(listed, [*REQUEST, "__salt"]).drop("__salt")
 
 
 def requested_file(events: DataFrame) -> DataFrame:

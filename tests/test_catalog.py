@@ -118,3 +118,48 @@ def test_index_ignores_unparsed_dates(spark):
     calibration = spark.createDataFrame([("D", "", True)], "dataset_name string, instrument_name string, calibrated boolean")
     row = catalog.cruise_index(files, headers, calibration).first()
     assert (row["start_date"], row["end_date"], row["file_count"]) == ("2020-01-01T00:00:00Z",) * 2 + (2,)
+
+
+def test_addresses_of_stores():
+    """Addresses as Spark writes them, for the stores that tasks open."""
+    from fathomgrid.sources import stores
+
+    s3 = {"endpoint": "https://s3.example.org", "region": "eu-west-1", "tls": None, "provider": None}
+    assert stores.address("/a/b/") == stores.address("file:///a/b") == stores.address("file:/a/b")
+    assert stores.address("dbfs:/mnt/x").folder == "/dbfs/mnt/x"
+    for scheme in ("s3", "s3a", "s3n"):
+        place = stores.address(f"{scheme}://bucket/data/raw/", s3)
+        assert (place.kind, place.folder) == ("s3", "bucket/data/raw")
+        assert place.options == {"scheme": "https", "endpoint_override": "s3.example.org", "region": "eu-west-1"}
+        assert type(place.open()).__name__ == "S3FileSystem"
+    plain = stores.address("s3a://b/k", {**s3, "endpoint": "http://127.0.0.1:1", "provider": "x.AnonymousAWSCredentialsProvider"})
+    assert plain.options["scheme"] == "http" and plain.options["anonymous"]
+    assert stores.address("hdfs://host:8020/a/b").folder == "/a/b"
+
+
+def test_session_settings_reach_the_store(spark):
+    from fathomgrid.sources import stores
+
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.s3a.endpoint.region", "us-west-2")
+    try:
+        assert stores.address_in(spark, "s3a://archive/x").options["region"] == "us-west-2"
+    finally:
+        conf.unset("fs.s3a.endpoint.region")
+
+
+def test_listing_by_tasks_is_the_listing(spark, tmp_path):
+    """Keys, sizes and times as Spark's own listing gives them, at whatever level the folders are walked."""
+    from fathomgrid.sources import archive
+
+    names = ["a.raw", "S1/b.raw", "S1/C1/c.raw", "S1/C1/EK60/d.raw", "S1/C1/EK60/deep/er/e.raw", "S2/C 2/f g.raw", "S2/x.txt",
+             "_skip/h.raw", "S1/.hidden/i.raw", "S1/C1/_temporary/j.raw", "S3/empty/k.txt"]
+    for n, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x" * (n + 1))
+    whole = lambda df: sorted(map(tuple, df.select("key", "size", "modified").collect()))
+    want = whole(archive.list_objects(spark, str(tmp_path), "*.raw"))
+    assert len(want) == 6
+    for levels in (0, 1, 2, 6):
+        assert whole(archive.list_by_folder(spark, str(tmp_path), "*.raw", levels)) == want
+    assert archive.list_by_folder(spark, f"file:{tmp_path}/none").count() == 0

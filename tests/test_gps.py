@@ -2,7 +2,9 @@
 
 import bisect
 import datetime as dt
+import glob
 import json
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -99,7 +101,7 @@ def test_geojson_documents(spark, tmp_path):
     )
     path = str(tmp_path / "geo")
     geojson.write_collections(aligned, path)
-    documents = [json.loads(r["value"]) for r in spark.read.text(path).collect()]
+    documents = [json.loads(r["value"]) for r in spark.read.text(path, wholetext=True).collect()]
     assert [len(d["features"]) for d in documents] == [5]
     assert [f["id"] for f in documents[0]["features"]] == sorted(f["id"] for f in documents[0]["features"])
     feature = next(f for d in documents for f in d["features"] if f["id"] == "2007-07-11T18:00:00.000000000")
@@ -119,6 +121,39 @@ def test_geojson_documents(spark, tmp_path):
     assert sorted(map(str, same.collect())) == sorted(map(str, back.collect()))
 
 
+def test_document_of_a_hot_file(spark, tmp_path):
+    """A third of all pings in one file: its lines are many tasks' work, and one readable document."""
+    n = 6000
+    rows = spark.range(n).selectExpr(
+        "if(id % 3 = 0, 'C1', concat('C', cast(id % 5 as string))) AS cruise",
+        "if(id % 3 = 0, 'hot', concat('F', cast(id % 40 as string))) AS file_name", "id AS ping_idx",
+        "timestamp_seconds(1184176800 + id) AS ping_time", "if(id % 7 = 0, null, 1.5D) AS latitude", "2.5D AS longitude",
+    )
+    path, target = str(tmp_path / "lines"), str(tmp_path / "documents")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        geojson.write_collections(rows.repartition(5), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    made = {r["file_name"]: r for r in geojson.export_documents(spark, path, target).collect() if r["file_name"] == "hot"}
+    assert made["hot"]["parts"] > 1
+    found = 0
+    for name in glob.glob(f"{target}/*/*/geo.json"):
+        with open(name) as f:
+            document = json.load(f)
+        ids = [x["id"] for x in document["features"]]
+        assert document["type"] == "FeatureCollection" and ids == sorted(ids)
+        found += len(ids)
+        if "/hot/" in name:
+            assert len(ids) == n // 3 and os.path.getsize(name) == made["hot"]["bytes"]
+    assert found == n
+    assert geojson.read_collections(spark, f"{target}/*/*/geo.json").count() == n
+    assert geojson.read_collections(spark, path).select("cruise", "file_name").distinct().count() == len(glob.glob(f"{target}/*/*/geo.json"))
+    # A file written again replaces its own document and no other.
+    geojson.write_collections(rows.filter("file_name = 'hot' and ping_idx < 30"), path)
+    assert geojson.read_collections(spark, path).count() == n - n // 3 + 10
+
+
 def test_geojson_pretty_printed(spark, tmp_path):
     document = {
         "type": "FeatureCollection",

@@ -226,3 +226,35 @@ def test_map_stage(spark):
     assert merged.filter("z = 0").select(*tracks.LINE).distinct().count() == 6
     ends = merged.groupBy("z").agg(F.count_distinct(*tracks.LINE, "to_idx").alias("n")).orderBy("z").collect()
     assert ends[0]["n"] < ends[-1]["n"] <= 240
+
+
+def test_publishing_touches_its_own_folders_only(spark, tmp_path):
+    """Other cruises' folders keep their files; a cruise that leaves a folder leaves no row and no empty folder."""
+    import glob
+    import os
+
+    from fathomgrid.sources import tables
+
+    path = str(tmp_path / "tiles")
+    rows = spark.range(3000).selectExpr(
+        "concat('C', cast(id % 30 as string)) AS cruise", "0L AS segment", "0L AS side", "cast(id % 5 as int) AS z",
+        "cast(id % 7 as bigint) % shiftleft(1L, cast(id % 5 as int)) AS x", "0L AS y", "0L AS part", "id AS from_idx",
+    )
+    assert tables.publish_tiles(spark, path, rows) > 20
+    stamp = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/rows/**/part-*", recursive=True)}
+    before = stamp()
+    noted = spark.read.parquet(f"{path}/where").filter("cruise in ('C3', 'C4')").select(*tables.TILE_FOLDERS).distinct()
+    own = {f"/z={r[0]}/x_range={r[1]}/cruise_part={r[2]}/" for r in noted.collect()}
+    fresh = rows.filter("cruise = 'C3' and z = 4").withColumn("part", F.lit(9).cast("long"))
+    published = spark.createDataFrame([("C3",), ("C4",)], "cruise string")
+    assert tables.publish_tiles(spark, path, fresh, published) == len(own)
+    after = stamp()
+    inside = lambda f: any(o in f for o in own)
+    assert {f: t for f, t in before.items() if not inside(f)} == {f: t for f, t in after.items() if not inside(f)}
+    got = sorted(map(tuple, tables.read_tiles(spark, path).select(*rows.columns).collect()))
+    want = rows.filter("cruise not in ('C3', 'C4')").unionByName(fresh)
+    assert got == sorted(map(tuple, want.collect()))
+    # A second publication of the same changes nothing but its own files.
+    tables.publish_tiles(spark, path, fresh, published)
+    assert sorted(map(tuple, tables.read_tiles(spark, path).select(*rows.columns).collect())) == got
+    assert tables.publish_tiles(spark, path, fresh.filter("false"), spark.createDataFrame([("none",)], "cruise string")) == 0

@@ -1,6 +1,7 @@
 """What Spark makes of the queries: no all-pairs joins, pruned scans, pushed filters, bounded shuffles."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401 - registers the queries
 from fathomgrid.operators import catalog, cube, gps, status
@@ -13,7 +14,8 @@ SF = "/root/testdata/sf0.001"
 # Real streams and sinks run when they are built; their results are compared elsewhere.
 BUILT_BY_RUNNING = {
     "completion_stream", "aggregator_stream", "failure_stream", "repeat_removal", "status_stream", "geojson_roundtrip", "cube_sink",
-    "index_sink", "archive_listing", "collection_roundtrip", "cube_slice", "message_completion",
+    "index_sink", "archive_listing", "collection_roundtrip", "cube_slice", "message_completion", "fan_out_stream",
+    "log_failure_stream", "log_failure_completion", "cube_chunk", "cube_axes", "tile_publish", "status_snapshot", "folder_listing",
 }
 
 
@@ -99,3 +101,58 @@ def test_cube_reads_are_pruned(spark, tmp_path):
     assert "GreaterThanOrEqual(time_tile,2)" in plan
     assert "sv:" not in plan.split("ReadSchema")[-1]
     assert sorted(r["time_idx"] for r in part.collect()) == list(range(20, 40, 2))
+
+
+def above(plan, mark):
+    """Operators between the line with `mark` and the root of a printed plan."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if mark in line)
+    depth = lambda line: len(line) - len(line.lstrip(" +-:"))
+    found, limit = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < limit:
+            found.append(line.strip(" +-:"))
+            limit = depth(line)
+    return found
+
+
+@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
+def test_bucketed_soundings_do_not_move(spark, broadcast):
+    """Between the stored samples and the cube there is no exchange, however the positions arrive."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        plan = plan_of(QUERIES["bucketed_cube"](spark, SF)).split("Initial Plan")[-1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    operators = above(plan, "FileScan parquet spark_catalog.default.soundings_")
+    assert operators and not [o for o in operators if o.startswith("Exchange")]
+
+
+def test_a_chunk_is_read_alone_and_written_alone(spark, tmp_path):
+    import glob
+    import os
+
+    path = str(tmp_path / "sv")
+    rows = spark.range(240).selectExpr(
+        "'A' AS cruise", "concat('F', cast(id div 100 as string)) AS file_name", "id AS time_idx", "cast(38000 as float) AS frequency",
+        "transform(sequence(0, 69), i -> cast(id * 100 + i as float)) AS sv",
+    )
+    write = lambda df: tables.write_chunks(df, path, 32, 32)
+    write(rows)
+    assert len(glob.glob(f"{path}/cruise=A/time_tile=*/depth_tile=*")) == 8 * 3
+    chunk = tables.read_chunk(spark, path, "A", 3, 2, 38000.0)
+    plan = plan_of(chunk)
+    assert all(f"{c}#" in plan.split("PartitionFilters")[1].split("PushedFilters")[0] for c in ("cruise", "time_tile", "depth_tile"))
+    assert "EqualTo(frequency" in plan
+    assert all("time_tile=3/depth_tile=2" in f for f in chunk.inputFiles()) or len(chunk.collect()) == 32
+    got = {r["time_idx"]: list(r["sv"]) for r in chunk.collect()}
+    # The last depth tile is as deep as the column; the time tile has the ends of two files.
+    assert got == {t: [float(t * 100 + i) for i in range(64, 70)] for t in range(96, 128)}
+    stamp = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/**/part-*", recursive=True) if "file_name=F1" not in f}
+    before = stamp()
+    # The slice shrinks and becomes shallower: its own folders change, and those it left are gone.
+    write(rows.filter("file_name = 'F1' and time_idx < 150").withColumn("sv", F.slice("sv", 1, 40)))
+    assert stamp() == before
+    own = tables.read_chunks(spark, path).filter("file_name = 'F1'")
+    assert {(r["time_tile"], r["depth_tile"]) for r in own.select("time_tile", "depth_tile").distinct().collect()} == {(3, 0), (3, 1), (4, 0), (4, 1)}
+    assert own.count() == 100

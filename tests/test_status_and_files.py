@@ -200,3 +200,30 @@ def test_missing_pings(spark):
     shape = filestats.cube_shape(sound).first()
     assert (shape["channels"], shape["pings"], shape["samples"]) == (2, 2, 2)
     assert filestats.mean_sv(sound).first()["mean_sv"] == -2.5
+
+
+def test_snapshot_and_tail_are_the_whole_log(spark, tmp_path):
+    from fathomgrid.sources import tables
+
+    log, snapshot = str(tmp_path / "log"), str(tmp_path / "snapshot")
+    put = lambda *rows: tables.append_status(
+        spark.createDataFrame(rows, "file_name string, cruise_name string, pipeline_status string, event_seq long")
+        .withColumn("pipeline_time", F.timestamp_seconds(F.col("event_seq"))),
+        log,
+    )
+    plain = lambda: sorted(map(tuple, status.latest_status(tables.read_status(spark, log)).select("file_name", "event_seq").collect()))
+    short = lambda: sorted(map(tuple, tables.read_latest_status(spark, log, snapshot).select("file_name", "event_seq").collect()))
+    put(("a", "A", "PROCESSING", 1), ("b", "A", "PROCESSING", 5))
+    assert short() == plain() == [("a", 1), ("b", 5)]
+    assert tables.compact_status(spark, log, snapshot) == 1
+    assert short() == plain()
+    # A late row that is older than the snapshot's does not win.
+    put(("a", "A", "SUCCESS", 7), ("b", "A", "FAILURE", 4), ("c", "B", "PROCESSING", 2))
+    assert short() == plain() == [("a", 7), ("b", 5), ("c", 2)]
+    assert len(tables._status_parts(spark, log, snapshot)[1]) < len(tables.read_status(spark, log).inputFiles())
+    assert tables.compact_status(spark, log, snapshot) == 2
+    assert tables.compact_status(spark, log, snapshot) == 2
+    # A snapshot that was not finished does not count.
+    (tmp_path / "snapshot" / "000000003" / "rows").mkdir(parents=True)
+    put(("c", "B", "SUCCESS", 9))
+    assert short() == plain() == [("a", 7), ("b", 5), ("c", 9)]

@@ -2,7 +2,10 @@
 
 import datetime as dt
 import json
+import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from fathomgrid.operators import status
@@ -58,6 +61,22 @@ def test_fan_out_of_a_stream(spark, tmp_path):
     assert messages.requested_file(events).count() == 0
 
 
+def test_repeated_requests_fan_out_once(spark, tmp_path):
+    source, base = str(tmp_path / "in"), str(tmp_path / "out")
+    files = spark.range(500).selectExpr(
+        "'Bigelow' AS ship", "'HB0707' AS cruise", "'EK60' AS sensor", "concat('D', cast(id as string)) AS filename"
+    )
+    for _ in range(3):
+        spark.createDataFrame([(wrapped(json.dumps(FIELDS)),)] * 4, "value string").coalesce(1).write.mode("append").text(source)
+        parsed = messages.parse_messages(spark.readStream.text(source))
+        sinks.run_available(messages.fan_out(messages.first_requests(parsed), files), base, str(tmp_path / "cp"))
+    events = spark.read.parquet(base)
+    assert events.count() == events.select("file_name").distinct().count() == 500
+    # A hot cruise is as many join keys as there are salts.
+    salted = messages.fan_out(messages.parse_messages(spark.read.text(source)).limit(1), files, salts=8)
+    assert salted.count() == 500
+
+
 def put(spark, path, rows):
     """One file of finishes; each call is a later batch."""
     spark.createDataFrame(
@@ -115,18 +134,79 @@ def test_finishes_of_a_cruise_listed_later_are_held(spark, tmp_path):
 
 
 def test_replayed_batch_gives_the_same_notices(spark, tmp_path):
-    base = str(tmp_path / "acc")
-    write = accumulator.completion_writer(lambda: file_list(spark), base, "stage")
-    batch = lambda rows: spark.createDataFrame(rows, "cruise_name string, file_name string")
-    write(batch([("A", "f0"), ("A", "f1"), ("C", "held")]), 0)
-    write(batch([("A", "f2"), ("B", "g0")]), 1)
-    write(batch([("A", "f2"), ("B", "g0")]), 1)
-    write(batch([("B", "g1")]), 2)
-    rows = spark.read.parquet(f"{base}/notices")
-    assert sorted((r["cruise_name"], r["files"], r["batch_id"]) for r in rows.collect()) == [("A", 3, 1), ("B", 2, 2)]
-    totals = spark.read.parquet(f"{base}/totals").filter("batch_id = 2")
-    assert {r["cruise_name"]: r["finished"] for r in totals.collect()} == {"A": 3, "B": 2}
-    assert spark.read.parquet(f"{base}/held").filter("batch_id = 2").count() == 1
+    """A batch that fails after its status was written is run again, with the same rows."""
+    source, base, broken = str(tmp_path / "in"), str(tmp_path / "acc"), [True]
+    put(spark, source, [("A", "f0"), ("A", "f1"), ("A", "f2"), ("C", "held")])
+    seen = []
+
+    def then(completed, batch_id):
+        seen.append((batch_id, sorted(tuple(r) for r in completed.collect())))
+        if broken.pop() if broken else False:
+            raise RuntimeError("lost")
+
+    schema = "cruise_name string, file_name string, event_time timestamp"
+    run = lambda: accumulator.run_accumulator(
+        spark.readStream.schema(schema).parquet(source), lambda: file_list(spark), base, then=then
+    )
+    with pytest.raises(StreamingQueryException):
+        run()
+    put(spark, source, [("B", "g0"), ("B", "g1")])
+    rows = sorted((r["cruise_name"], r["files"], r["batch_id"]) for r in run().collect())
+    assert seen[0] == seen[1] == (0, [("A", 3, 3)]) and rows == [("A", 3, 0), ("B", 2, 1)]
+
+
+def test_a_list_that_comes_in_pieces_completes_nothing_early(spark, tmp_path):
+    source, base = str(tmp_path / "in"), str(tmp_path / "acc")
+    files = [("A", f"f{i}") for i in range(40)]
+    put(spark, source, files[:39])
+    stream = lambda: spark.readStream.schema("cruise_name string, file_name string, event_time timestamp").parquet(source)
+    listing = lambda: file_list(spark, files).repartition(8)
+    assert accumulator.run_accumulator(stream(), listing, base, files_per_batch=1).count() == 0
+    put(spark, source, files[39:])
+    rows = accumulator.run_accumulator(stream(), listing, base, files_per_batch=1).collect()
+    assert [(r["cruise_name"], r["files"]) for r in rows] == [("A", 40)]
+
+
+def test_a_list_that_grows_before_completion_raises_the_number(spark, tmp_path):
+    source, base = str(tmp_path / "in"), str(tmp_path / "acc")
+    put(spark, source, [("A", "f0")])
+    assert accumulate(spark, source, base, lambda: file_list(spark, [("A", "f0"), ("A", "f1")])) == []
+    put(spark, source, [("A", "f1")])
+    more = lambda: file_list(spark, [("A", "f0"), ("A", "f1"), ("A", "f9")])
+    assert accumulate(spark, source, base, more) == []
+    put(spark, source, [("A", "f9")])
+    assert accumulate(spark, source, base, more) == [("A", 3)]
+
+
+def test_cost_of_a_batch_does_not_grow_with_history(spark, tmp_path):
+    """Later batches touch as much state and take as long as earlier ones, and no table is rewritten."""
+    source, base, n = str(tmp_path / "in"), str(tmp_path / "acc"), int(os.environ.get("STREAM_BATCHES", "45"))
+    rows = spark.range(n * 5).selectExpr(
+        "concat('C', cast(id div 10 as string)) AS cruise_name", "concat('f', cast(id as string)) AS file_name",
+        "timestamp '2023-05-23 13:00:00' AS event_time",
+    )
+    rows.repartitionByRange(n, F.expr("cast(substr(file_name, 2) as long)")).write.parquet(source)
+    accumulator.publish_listing(rows.selectExpr("cruise_name AS cruise", "file_name AS filename"), f"{base}/listed")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    listed = spark.readStream.schema(accumulator.LISTED).parquet(f"{base}/listed")
+    try:
+        query = (
+            accumulator.completions(stream, listed, salts=2).writeStream.option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True).foreachBatch(accumulator.completion_writer(base, "stage")).start()
+        )
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    took = [p["batchDuration"] for p in progress]
+    touched = [sum(s["numRowsUpdated"] for s in p["stateOperators"]) for p in progress]
+    assert spark.read.parquet(f"{base}/notices").count() == n * 5 // 10
+    third = n // 3
+    early, late = (sorted(x)[third // 2] for x in (took[-3 * third : -2 * third], took[-third:]))
+    assert len(took) >= 2 * third and late < 1.5 * early + 100, (early, late)
+    assert max(touched[-2 * third :]) <= 40 and sum(touched[-third:]) <= 1.2 * sum(touched[-2 * third : -third])
 
 
 def test_failures_complete_a_cruise(spark):

@@ -216,6 +216,16 @@ def archive_listing(spark, d):
     return objects.select(folder("ship"), folder("cruise")).distinct()
 
 
+@query("folder_listing", "SELECT ship, cruise FROM v_file GROUP BY ship, cruise")
+def folder_listing(spark, d):
+    """The same archive listed by tasks, ship by ship and cruise by cruise."""
+    path = scratch_path(spark, "archive")
+    _files(spark, d).select("ship", "cruise", "key").write.partitionBy("ship", "cruise").text(path)
+    objects = archive.list_by_folder(spark, path, "*.txt").filter("size > 0")
+    folder = lambda name: F.regexp_extract("key", f"{name}=([^/]+)", 1).alias(name)
+    return objects.select(folder("ship"), folder("cruise")).distinct()
+
+
 @query("header_tags", "SELECT cruise, datagram FROM v_header")
 def header_tags(spark, d):
     path = scratch_path(spark, "headers")

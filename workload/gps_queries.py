@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fathomgrid import schemas
 from fathomgrid.functions import times
 from fathomgrid.operators import gps
 from fathomgrid.session import scratch_path
@@ -151,13 +152,14 @@ SELECT cruise, file_name, count(*) AS features, count(latitude) AS located,
 FROM v_aligned GROUP BY ALL""",
 )
 def feature_collections(spark, d):
-    made = gps.feature_collections(_aligned(spark, d))
-    feats = F.col("collection.features")
-    return made.select(
-        "cruise", "file_name",
-        F.size(feats).cast("long").alias("features"),
-        F.size(F.filter(feats, lambda f: f["geometry"].isNotNull())).cast("long").alias("located"),
-        F.md5(F.array_join(F.transform(feats, lambda f: f["id"]), ",")).alias("ids"),
+    """Files' documents, from their lines: no document is an array."""
+    opened = F.regexp_replace(F.substring_index("line", "\n", -1), "^,", "")
+    feature = F.from_json(opened, schemas.FEATURE)
+    lines = gps.collection_lines(_aligned(spark, d)).filter("part = 1").withColumn("f", feature)
+    # The digest of ids in ping order is for comparison only.
+    ids = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ping_idx", "f.id"))), lambda x: x["id"]), ",")
+    return lines.groupBy("cruise", "file_name").agg(
+        F.count(F.lit(1)).alias("features"), F.count("f.geometry").alias("located"), F.md5(ids).alias("ids")
     )
 
 
@@ -180,9 +182,15 @@ def geojson_roundtrip(spark, d):
     "SELECT cruise, file_name, ping_time, latitude, longitude FROM v_valid",
 )
 def collection_roundtrip(spark, d):
-    """The same through one document per file."""
-    path = scratch_path(spark, "collections")
+    """The same through one document per file: written as lines, joined into single files, and read back."""
+    path, target = scratch_path(spark, "collections"), scratch_path(spark, "documents")
     geojson.write_collections(_aligned(spark, d), path)
-    return geojson.spatiotemporal_index(geojson.read_collections(spark, path)).select(
+    documents = geojson.export_documents(spark, path, target)
+    back = geojson.read_collections(spark, f"{target}/*/*/geo.json").withColumn("path", F.input_file_name())
+    named = back.select(
+        F.element_at(F.split("path", "/"), -3).alias("cruise"), F.element_at(F.split("path", "/"), -2).alias("file_name"),
+        "id", "latitude", "longitude", "geometry",
+    ).join(documents.select("cruise", "file_name"), ["cruise", "file_name"], "left_semi")
+    return geojson.spatiotemporal_index(named).select(
         "cruise", "file_name", F.col("ping_time").cast("timestamp_ntz").alias("ping_time"), "latitude", "longitude"
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from fathomgrid.functions import arrays
@@ -120,7 +122,8 @@ sql_view(
     """
 SELECT cruise, file_name, ping_idx, ping_time, latitude, longitude,
   row_number() OVER (PARTITION BY cruise, file_name ORDER BY ping_idx) - 1 AS position
-FROM (SELECT p.*, f.latitude, f.longitude FROM v_sounding_ping p ASOF LEFT JOIN v_sounding_fix f
+FROM (SELECT p.*, f.latitude, f.longitude FROM v_sounding_ping p ASOF LEFT JOIN (
+    SELECT * FROM v_sounding_fix QUALIFY row_number() OVER (PARTITION BY cruise, file_name, ts ORDER BY seq DESC) = 1) f
   ON p.cruise = f.cruise AND p.file_name = f.file_name AND p.ping_time >= f.ts)
 WHERE latitude IS NOT NULL AND longitude IS NOT NULL""",
 )
@@ -195,10 +198,13 @@ def _sound_info(spark, d):
     return spark.read.parquet(path)
 
 
+def _on_axis(spark, d, info):
+    return grid.on_time_axis(_placed(spark, d), grid.file_slices(info))
+
+
 def _cube(spark, d):
     info = _sound_info(spark, d)
-    on_axis = grid.on_time_axis(_placed(spark, d), grid.file_slices(info))
-    return cube.cube_rows(soundings(spark, d), on_axis, grid.cruise_dimensions(info))
+    return cube.cube_rows(soundings(spark, d), _on_axis(spark, d, info), grid.cruise_dimensions(info))
 
 
 def _cells(rows):
@@ -264,6 +270,71 @@ def cube_tiles(spark, d):
     ).agg(F.sum(F.size("sv")).alias("cells"), F.sum(present).alias("present"))
 
 
+@query("bucketed_cube", f"SELECT {_CELL} FROM v_cube_cell")
+def bucketed_cube(spark, d):
+    """The cube of soundings kept as a bucketed table: positions go to the samples, which stay where they are."""
+    name = f"soundings_{uuid.uuid4().hex}"
+    kept = tables.save_soundings_bucketed(soundings(spark, d), name, 8, scratch_path(spark, name))
+    info = _sound_info(spark, d)
+    return _cells(cube.cube_rows(kept, _on_axis(spark, d, info), grid.cruise_dimensions(info)))
+
+
+@query(
+    "cube_chunk",
+    """
+SELECT c.cruise, c.file_name, c.frequency, c.time_idx, c.depth_idx, t.ts, t.latitude, t.longitude, b.depth, c.sv
+FROM v_cube_cell c
+JOIN (SELECT DISTINCT cruise, time_idx, ts, latitude, longitude FROM v_cube_cell) t ON c.cruise = t.cruise AND c.time_idx = t.time_idx
+JOIN v_bin b ON c.cruise = b.cruise AND c.depth_idx = b.depth_idx
+WHERE c.cruise = 'C1' AND c.time_idx // 16 = 1 AND c.depth_idx // 32 = 2""",
+)
+def cube_chunk(spark, d):
+    """One depth tile of one time tile of the stored chunks, after one file's slice was written again, with its axes."""
+    path = scratch_path(spark, "chunks")
+    info = _sound_info(spark, d)
+    on_axis, dims = _on_axis(spark, d, info), grid.cruise_dimensions(info)
+    rows = cube.cube_rows(soundings(spark, d), on_axis, dims)
+    tables.write_chunks(rows, f"{path}/sv", 16, 32)
+    tables.write_chunks(rows.filter("file_name = 'F5'"), f"{path}/sv", 16, 32)
+    tables.write_axes(on_axis, grid.depth_axis(dims), path)
+    chunk = tables.read_chunk(spark, f"{path}/sv", "C1", 1, 2)
+    cells = chunk.select(
+        "cruise", "file_name", F.col("frequency").cast("double").alias("frequency"), "time_idx", F.posexplode("sv").alias("i", "v")
+    ).select("*", (F.col("i") + 2 * 32).cast("long").alias("depth_idx"), F.col("v").cast("double").alias("sv"))
+    times = tables.read_axis(spark, path, "time").filter("cruise = 'C1'").select(
+        "time_idx", "ts", *[F.col(c).cast("double").alias(c) for c in ("latitude", "longitude")]
+    )
+    depths = tables.read_axis(spark, path, "depth").filter("cruise = 'C1'").select(
+        F.col("depth_idx").cast("long").alias("depth_idx"), "depth"
+    )
+    return cells.drop("i", "v").join(times, "time_idx").join(depths, "depth_idx")
+
+
+@query(
+    "cube_axes",
+    """
+SELECT cruise, 'time' AS axis, time_idx AS place, ts AS value FROM (
+  SELECT p.cruise, p.position + s.start_idx AS time_idx, epoch_us(p.ping_time) / 1e6 AS ts FROM v_placed_ping p
+  JOIN (SELECT cruise, file_name, cast(coalesce(sum(n) OVER (PARTITION BY cruise ORDER BY start_time, file_name
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bigint) AS start_idx FROM v_sound_info) s
+    ON p.cruise = s.cruise AND p.file_name = s.file_name)
+UNION ALL SELECT cruise, 'depth', depth_idx, depth FROM v_bin""",
+)
+def cube_axes(spark, d):
+    """The stored axes: each time and each depth of a cruise once."""
+    path = scratch_path(spark, "axes")
+    info = _sound_info(spark, d)
+    tables.write_axes(_on_axis(spark, d, info), grid.depth_axis(grid.cruise_dimensions(info)), path)
+    times = tables.read_axis(spark, path, "time").select(
+        "cruise", F.lit("time").alias("axis"), F.col("time_idx").alias("place"), F.col("ts").alias("value")
+    )
+    return times.unionByName(
+        tables.read_axis(spark, path, "depth").select(
+            "cruise", F.lit("depth").alias("axis"), F.col("depth_idx").cast("long").alias("place"), F.col("depth").alias("value")
+        )
+    )
+
+
 sql_view(
     "v_sound_frequency",
     """

@@ -8,7 +8,8 @@ from fathomgrid.functions import geo
 from fathomgrid.operators import tiles, tracks
 from fathomgrid.operators.ordered import measure
 from fathomgrid.session import scratch_path
-from workload.registry import query, sql_view
+from fathomgrid.sources import tables
+from workload.registry import ORACLES, query, sql_view
 from workload.views import table, view
 
 GAP_MS = 43_200_000
@@ -257,7 +258,8 @@ JOIN (VALUES {_PRODUCTION}) l(z, tolerance) ON cap > tolerance"""
 def tile_merge(spark, d):
     """The published tiles: simplified per zoom level, half of the cruises taken from an earlier run."""
     points = _stored(spark, _points(spark, d), "points")
-    stage = tiles.tile_lines(tracks.with_importance(points), tracks.tolerances())
+    weighed = _stored(spark, tracks.with_importance(points), "weighed")
+    stage = tiles.tile_lines(weighed, tracks.tolerances())
     rows = _stored(spark, stage, "tiles")
     earlier = rows.withColumn("part", F.when(F.col("cruise").endswith("1"), -1).otherwise(F.col("part")))
     fresh = rows.filter(F.col("cruise").endswith("1"))
@@ -281,6 +283,24 @@ GROUP BY z, x, y""",
 )
 def tile_replacement(spark, d):
     """Cruises of one market segment are published again, with their first segment only; some have none."""
+    rows, fresh, again = _republished(spark, d)
+    return tiles.tile_summary(tiles.replace_cruises(rows, fresh, again))
+
+
+ORACLES["tile_publish"] = ORACLES["tile_replacement"]
+
+
+@query("tile_publish")
+def tile_publish(spark, d):
+    """The same in a store of tiles: what the republished cruises touch is written again, the rest stays as it is."""
+    rows, fresh, again = _republished(spark, d)
+    path = scratch_path(spark, "tile-store")
+    tables.publish_tiles(spark, path, rows)
+    tables.publish_tiles(spark, path, fresh, again)
+    return tiles.tile_summary(tables.read_tiles(spark, path))
+
+
+def _republished(spark, d):
     rows = _stored(spark, _tile_rows(spark, d), "tiles")
     again = (
         table(spark, d, "customer")
@@ -288,7 +308,7 @@ def tile_replacement(spark, d):
         .selectExpr("'C' || cast(c_custkey as string) AS cruise", "c_custkey % 3 > 0 AS has_tiles")
     )
     fresh = rows.filter("segment = 0").join(again.filter("has_tiles"), "cruise", "left_semi").select(*rows.columns)
-    return tiles.tile_summary(tiles.replace_cruises(rows, fresh, again))
+    return rows, fresh, again
 
 
 @query(

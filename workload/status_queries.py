@@ -35,6 +35,19 @@ def latest_status(spark, d):
     return status.latest_status(view(spark, d, "v_status"))
 
 
+@query("status_snapshot", "SELECT * FROM v_latest")
+def status_snapshot(spark, d):
+    """The latest rows from the second of two snapshots and what was appended after it."""
+    log, snapshot = scratch_path(spark, "status-log"), scratch_path(spark, "snapshot")
+    rows = view(spark, d, "v_status")
+    for part in range(4):
+        tables.append_status(rows.filter(F.col("event_seq") % 4 == part), log)
+        if part in (0, 2):
+            tables.compact_status(spark, log, snapshot)
+    latest = tables.read_latest_status(spark, log, snapshot).select(*rows.columns)
+    return latest.withColumn("pipeline_time", F.col("pipeline_time").cast("timestamp_ntz"))
+
+
 @query(
     "processing_status",
     "SELECT a.file_name, a.cruise_name, coalesce(l.pipeline_status, 'NONE') AS pipeline_status "

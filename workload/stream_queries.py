@@ -92,6 +92,22 @@ def cruise_fan_out(spark, d):
     return messages.fan_out(requests, _files(spark, d)).select("key", "ship_name", "cruise_name")
 
 
+@query(
+    "fan_out_stream",
+    f"""
+SELECT f.key, r.ship_name, r.cruise_name FROM v_file f
+JOIN (SELECT DISTINCT ship_name, cruise_name, sensor_name FROM v_message WHERE {_GOOD}) r
+  ON f.ship = r.ship_name AND f.cruise = r.cruise_name AND f.sensor = r.sensor_name""",
+)
+def fan_out_stream(spark, d):
+    """The same events from a stream whose requests repeat across batches; each file has one event."""
+    base = scratch_path(spark, "fan-out")
+    requests = messages.parse_messages(_stream_of(spark, _notifications(spark, d), "notifications"))
+    events = messages.fan_out(messages.first_requests(requests), _files(spark, d))
+    sinks.run_available(events.select("key", "ship_name", "cruise_name"), f"{base}/rows", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/rows").select("key", "ship_name", "cruise_name")
+
+
 @query(
     "failure_rows",
     """
@@ -310,6 +326,42 @@ def log_failures(spark, d):
     return messages.classify_log_lines(lines).select("event_id", "reason", "pipeline_status")
 
 
+def _log_lines(spark, d):
+    """Log lines of runs, with the file each worked on."""
+    return table(spark, d, "events").selectExpr(
+        "event_id", f"{_CRUISE} AS cruise_name", f"{_NAMED} AS file_name", "cast(ts as timestamp) AS event_time", f"{_LINE} AS line"
+    )
+
+
+@query(
+    "log_failure_stream",
+    f"""
+SELECT event_id, {_NAMED} AS file_name, {_CRUISE} AS cruise_name, CASE WHEN value > 80 THEN 'memory' ELSE 'time' END AS reason,
+  'FAILURE' AS pipeline_status FROM events WHERE event_type = 'error'""",
+)
+def log_failure_stream(spark, d):
+    """Failures found in a stream of log lines, read back from their sink."""
+    base = scratch_path(spark, "log-failures")
+    failed = messages.classify_log_lines(_stream_of(spark, _log_lines(spark, d), "log"))
+    sinks.run_available(failed, f"{base}/rows", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/rows").select("event_id", "file_name", "cruise_name", "reason", "pipeline_status")
+
+
+@query(
+    "log_failure_completion",
+    "SELECT cruise_name, finished AS files, cast(1 AS bigint) AS notices FROM v_complete",
+)
+def log_failure_completion(spark, d):
+    """Completion of cruises where failures are known from log lines only: two streams into one count."""
+    lines = _log_lines(spark, d)
+    log = messages.classify_log_lines(_stream_of(spark, lines, "log"))
+    done = _stream_of(spark, lines.filter("line like 'REPORT %'").drop("line"), "done")
+    notices = accumulator.run_accumulator(
+        messages.finished_events(done, log), lambda: _members(spark, d), scratch_path(spark, "accumulator")
+    )
+    return notices.groupBy("cruise_name", "files").agg(F.count(F.lit(1)).alias("notices"))
+
+
 @query(
     "request_files",
     f"""

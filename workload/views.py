@@ -232,5 +232,4 @@ shared(
         "latitude": "case when event_id % 4 = 0 then null else cast(user_id % 90 as double) + 1.25e-1 end",
         "longitude": "case when event_id % 4 = 0 then null else cast(event_id % 180 as double) - 5e-1 end",
     },
-    "event_type = 'view'",
 )
