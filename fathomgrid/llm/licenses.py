@@ -4,9 +4,10 @@ Words are maximal runs of bytes outside ASCII punctuation, spaces and controls a
 lower-cased. A notice is a phrase whose words stand consecutively. After an identifier tag the rest of
 the line is parsed as a licence expression: `with` binds closest, then `and`, then `or`.
 
-score: how freely a text may be used, 0 (reserved) to 1 (public domain). All notices bind, so the
-least free one counts; `or` leaves the choice, so the freer side counts; `and` binds both; an exception
-named by `with` frees a little. Without any notice nothing is known: 0.5.
+score: how freely a text may be used, 0 (reserved) to 1 (public domain). All notices and expressions bind, so the
+least free one counts. In an expression `or` leaves the choice, so the freer side counts; `and` binds both; an
+exception named by `with` frees a little. An expression counts as a whole: neither the identifiers in it nor
+phrases on its line count besides. Without any notice nothing is known: 0.5.
 
 Null and empty texts give no words, empty labels and 0.5. Repeated rows each give a row. A malformed
 expression yields the label `invalid-expression` and no value.
@@ -124,20 +125,25 @@ def to_postfix(tokens: list[str]) -> list[str]:
 
 def evaluate(expression: str) -> tuple[float, set[str]]:
     """Freedom of a licence expression and the identifiers it names."""
-    stack: list[tuple[float, str]] = []
-    names: set[str] = set()
+    stack: list[tuple[float, frozenset[str]]] = []
     for token in to_postfix(_TOKEN.findall(expression)):
         if token not in _BINDS:
-            stack.append((identifier_freedom(token), token))
-            names.add(token)
+            stack.append((identifier_freedom(token), frozenset([token])))
             continue
-        (right, exception), (left, name) = stack.pop(), stack.pop()
+        (right, others), (left, names) = stack.pop(), stack.pop()
         if token == "with":
-            names.discard(exception)
-            stack.append((min(1.0, left + EXCEPTION), name))
+            # What follows `with` names an exception, no licence.
+            stack.append((min(1.0, left + EXCEPTION), names))
         else:
-            stack.append((max(left, right) if token == "or" else min(left, right), ""))
-    return stack[0][0], names
+            stack.append((max(left, right) if token == "or" else min(left, right), names | others))
+    value, names = stack[0]
+    return value, set(names)
+
+
+def _without_finer(labels: set[str]) -> set[str]:
+    """A finer notice stands for the phrase it contains."""
+    finer = {b for b in labels for other in labels if other.startswith(b + "-") or other in ("l" + b, "a" + b)}
+    return labels - finer
 
 
 def scanner(notices: dict[str, str] | None = None) -> Callable[[bytes], tuple]:
@@ -152,10 +158,12 @@ def scanner(notices: dict[str, str] | None = None) -> Callable[[bytes], tuple]:
     tags.add_word(TAG.decode(), len(TAG))
     tags.make_automaton()
 
-    def scan(text: bytes) -> tuple:
-        words = text.translate(_NOT_A_WORD).split()
+    def as_line(text: bytes) -> str:
         # Bytes become characters one to one, so places need no decoding.
-        line = f" {b' '.join(words).decode('latin-1')} "
+        return f" {b' '.join(text.translate(_NOT_A_WORD).split()).decode('latin-1')} "
+
+    def scan(text: bytes) -> tuple:
+        line = as_line(text)
         base: list[int] = []
         base_labels: set[str] = set()
         labels: set[str] = set()
@@ -169,23 +177,30 @@ def scanner(notices: dict[str, str] | None = None) -> Callable[[bytes], tuple]:
             if is_base:
                 base.append(end - length)
                 base_labels.add(label)
+        notices = labels
         if tagged:
-            low = text.translate(UPPER_TO_LOWER)
-            for end, _ in tags.iter(low.decode("latin-1")):
-                stop = _END.search(low, end + 1)
+            low, rest, last_stop = text.translate(UPPER_TO_LOWER), [], 0
+            named: set[str] = set()
+            for end, length in tags.iter(low.decode("latin-1")):
+                found = _END.search(low, end + 1)
+                stop = found.start() if found else len(low)
+                rest.append(low[last_stop : end + 1 - length])
+                last_stop = max(last_stop, stop)
                 try:
-                    value, names = evaluate(low[end + 1 : stop.start() if stop else None].decode("utf-8", "replace"))
+                    value, names = evaluate(low[end + 1 : stop].decode("utf-8", "replace"))
                     values.append(value)
-                    labels |= {n.replace(",", " ") for n in names}
+                    named |= {n.replace(",", " ") for n in names}
                 except ValueError:
-                    labels.add("invalid-expression")
-        # A finer notice stands for the phrase it contains.
-        finer = {b for b in labels for other in labels if other.startswith(b + "-") or other in ("l" + b, "a" + b)}
-        values += [FREEDOM[x] for x in labels - finer if x in FREEDOM]
+                    named.add("invalid-expression")
+            # Phrases on a tag's line are read as part of its expression; a break keeps their sides apart.
+            outside = b"\n\x00\n".join([*rest, low[last_stop:]])
+            notices = {label for part in outside.split(b"\x00") for _, (_, label, _) in automaton.iter(as_line(part)) if label}
+            labels = labels | named
+        values += [FREEDOM[x] for x in _without_finer(notices) if x in FREEDOM]
         first = line.count(" ", 0, min(base)) if base else None
         last = line.count(" ", 0, max(base)) if base else None
         return (
-            len(words),
+            line.count(" ") - 1 if len(line) > 2 else 0,
             len(base),
             first,
             last,

@@ -70,3 +70,33 @@ def test_tags_end_with_their_line():
     assert found[5] == "apache-2.0,mit" and found[6] == 0.9
     assert scanner()(b"SPDX-License-Identifier: MIT OR")[5] == "invalid-expression"
     assert scanner()(b"SPDX-License-Identifier: BSD-3-Clause */ x")[5] == "bsd-3-clause"
+
+
+@pytest.mark.parametrize(
+    ("expression", "value"),
+    [
+        ("CC0-1.0 OR MIT", 1.0),
+        ("MIT OR GPL-2.0-only", 0.9),
+        ("(MIT AND GPL-2.0-only) OR CC0-1.0", 1.0),
+        ("MIT AND GPL-2.0-only", 0.3),
+        ("GPL-2.0-only WITH GPL-2.0-only OR GPL-2.0-only", 0.4),
+    ],
+)
+def test_an_expression_counts_as_a_whole(expression, value):
+    """Neither the identifiers in it nor phrases on its line pull it down; a notice elsewhere does."""
+    assert evaluate(expression)[0] == pytest.approx(value)
+    tag = b"SPDX-License-Identifier: " + expression.encode()
+    assert scanner()(tag)[6] == pytest.approx(value)
+    assert scanner()(b"code\n" + tag + b"\nmore code\n" + tag)[6] == pytest.approx(value)
+    assert scanner()(tag + b"\nAll rights reserved.")[6] == 0.0
+
+
+def test_an_exception_that_is_a_licence_elsewhere_is_named():
+    assert evaluate("MIT WITH x AND x")[1] == {"mit", "x"}
+    assert evaluate("MIT WITH x")[1] == {"mit"}
+
+
+def test_phrases_around_a_tag_do_not_join():
+    found = scanner()(b"all rights\nSPDX-License-Identifier: MIT\nreserved")
+    assert found[1] == 0 and found[6] == 0.9
+    assert scanner()(b"")[0] == 0 and scanner()(b" . ")[0] == 0 and scanner()(b"one")[0] == 1
