@@ -29,21 +29,30 @@ class Encoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        # Two generations each: at a limit the older one is dropped, so what is in steady use stays known.
         self.chunks: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
     def learn(self, chunks: set[bytes]) -> None:
-        """Remember chunks that are not known yet."""
-        new = [c for c in chunks if c not in self.chunks]
-        if len(self.chunks) + len(new) > _HELD_CHUNKS:
-            self.chunks.clear()
-            new = list(chunks)
+        """Make `chunks` known: those of the older generation are taken over, the rest encoded."""
+        if len(self.chunks) > _HELD_CHUNKS:
+            self.older, self.chunks = self.chunks, {}
+        new = []
+        for chunk in chunks:
+            if chunk not in self.chunks:
+                ids = self.older.get(chunk)
+                if ids is None:
+                    new.append(chunk)
+                else:
+                    self.chunks[chunk] = ids
         if len(self.parts) > _HELD_WORDS:
-            self.parts.clear()
+            self.older_parts, self.parts = self.parts, {}
         plain: list[tuple[bytes, str, str]] = []
         other: list[tuple[bytes, str]] = []
         for chunk in new:
@@ -53,7 +62,14 @@ class Encoder:
                 plain.append((chunk, match[1], match[2]))
             else:
                 other.append((chunk, text))
-        unknown = list({p for _, *parts in plain for p in parts if p and p not in self.parts})
+        unknown = []
+        for part in {p for _, *parts in plain for p in parts if p}:
+            if part not in self.parts:
+                ids = self.older_parts.get(part)
+                if ids is None:
+                    unknown.append(part)
+                else:
+                    self.parts[part] = ids
         self.parts.update(zip(unknown, self._encode(unknown), strict=True))
         self.parts[""] = b""
         for chunk, word, tail in plain:
@@ -74,9 +90,10 @@ class Encoder:
         return out + self._joined(group)
 
     def _joined(self, group: list[list[bytes]]) -> list[bytes]:
-        chunks = set().union(*group)
-        if not chunks <= self.chunks.keys():
-            self.learn(chunks)
+        try:
+            return [b"".join(map(self.chunks.__getitem__, g)) for g in group]
+        except KeyError:
+            self.learn(set().union(*group))
         return [b"".join(map(self.chunks.__getitem__, g)) for g in group]
 
 
