@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fathomgrid.llm.common import byte_slices
+
 DEFAULT_KEY = b"fathomgrid pseudonyms"
 ROUNDS = 8
 
@@ -320,18 +322,28 @@ _FOUND = T.StructType([T.StructField("text", T.StringType()), T.StructField("kin
 
 
 def with_pseudonyms(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
-    """`docs` with its text replaced, and last a column `pseudonym_kinds`: the kind of each replaced value."""
+    """`docs` with its text replaced, and last a column `pseudonym_kinds`: the kind of each replaced value.
+
+    A column of that name in `docs` gives way to it. Rows are worked on in parts of a few megabytes of text.
+    """
+
+    def part(made: Pseudonyms, texts: pa.RecordBatch) -> pa.StructArray:
+        rows = [(None, []) if t is None else made.text(t) for t in texts.column("text").to_pylist()]
+        return pa.StructArray.from_arrays(
+            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.string()))],
+            names=["text", "kinds"],
+        )
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = Pseudonyms(key)
         for batch in batches:
-            rows = [(None, []) if t is None else made.text(t) for t in batch.to_pylist()]
-            yield pa.StructArray.from_arrays(
-                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.string()))],
-                names=["text", "kinds"],
-            )
+            whole = pa.RecordBatch.from_arrays([batch], names=["text"])
+            parts = [part(made, texts) for texts in byte_slices(whole)]
+            yield pa.concat_arrays(parts) if parts else part(made, whole)
 
     replaced = F.arrow_udf(run, _FOUND, F.ArrowUDFType.SCALAR_ITER)
-    found = docs.select("*", replaced(F.col("text")).alias("__pii"))
-    columns = [F.col("__pii.text").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return found.select(*columns, F.col("__pii.kinds").alias("pseudonym_kinds"))
+    # The row as one value, so that no column of it can be taken for another.
+    found = docs.select(F.struct("*").alias("row"), replaced(F.col("text")).alias("found"))
+    kept = [c for c in docs.columns if c != "pseudonym_kinds"]
+    columns = [F.col("found.text").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in kept]
+    return found.select(*columns, F.col("found.kinds").alias("pseudonym_kinds"))

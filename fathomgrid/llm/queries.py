@@ -66,7 +66,7 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return setsketch.near_duplicates(_documents(spark, sf_dir))
+    return setsketch.near_duplicates(_documents(spark, sf_dir)).drop("digest")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

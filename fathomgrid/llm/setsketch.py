@@ -16,7 +16,10 @@ Sketches merge by the larger register.
    of the threshold), and what is left on the full sets, in whole numbers.
 
 Null and empty texts have an empty set and link with nothing. A row without an id links with nothing and its
-component is null. Texts that share an id count as one document. Repeated rows give a row each.
+component is null. Texts that share an id are one document: classes are named by their sets, and the classes of an id
+are linked, so results do not depend on the order of rows. Repeated rows give a row each, very long texts go
+through whole, equal sets (ties) are one class, an empty table gives no rows, and of other columns only those named
+in `also` are looked at.
 """
 
 from __future__ import annotations
@@ -110,9 +113,11 @@ def _sketcher() -> Callable[[bytes], tuple]:
     return sketch
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, registers."""
-    return per_text(docs, "doc_id bigint, n_shingles bigint, digest binary, registers binary", _sketcher, "doc_id")
+def sketches(docs: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, digest of the set, registers; before them the string columns `also`."""
+    named = "".join(f"{c} string, " for c in also)
+    shape = f"{named}doc_id bigint, n_shingles bigint, digest binary, registers binary"
+    return per_text(docs, shape, _sketcher, *also, "doc_id")
 
 
 def _bands(sketch: pa.Array) -> pa.Array:
@@ -169,8 +174,15 @@ def _least_estimate(percent: int) -> float:
 
 
 def _sets() -> Callable[[bytes], tuple]:
+    import xxhash
+
     hashes = _WordHashes()
-    return lambda text: (shingles(text, hashes).view(np.int64),)
+
+    def made(text: bytes) -> tuple:
+        items = shingles(text, hashes)
+        return xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None, items.view(np.int64)
+
+    return made
 
 
 def _sizes_allow(n: Column, m: Column, percent: int) -> Column:
@@ -231,13 +243,14 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def class_components(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(node, component) of linked classes; `classes` is a stored (node, n, registers) table."""
+    """(node, component) of linked classes; `classes` is a stored (node, digest, doc_id, n, registers) table.
+
+    A class is a number that its set has got; `doc_id` is that of a row whose text has the set.
+    """
     banded = classes.select("node", "n", F.explode(_band_keys("registers")).alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     members = store(banded.join(shared.filter("low < high").select("bucket"), "bucket"), "members")
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    sets = _stored_sets(texts)
+    sets = _stored_sets(docs, classes, members.select("node").distinct())
     verifier = _Verifier(classes, sets, percent)
 
     labels = store(components(verifier.links(_around(members, F.min, percent))), "components")
@@ -245,7 +258,7 @@ def class_components(docs: DataFrame, classes: DataFrame, percent: int = PERCENT
     more = verifier.links(_around(open_members, F.max, percent))
     labels = store(extended(labels, more), "components")
     open_members = _unsettled(open_members.drop("component"), labels)
-    return extended(labels, verifier.links(_by_prefix(open_members, sets, percent)))
+    return store(extended(labels, verifier.links(_by_prefix(open_members, sets, percent))), "components")
 
 
 def _by_prefix(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -270,26 +283,47 @@ def _by_prefix(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFr
     return _pairs(x.join(y, "item").filter("cx < cy"), percent)
 
 
-def _stored_sets(texts: DataFrame) -> DataFrame:
-    made = per_text(texts, "doc_id bigint, items array<bigint>", _sets, "doc_id")
-    return store(made.withColumnRenamed("doc_id", "node"), "sets").dropDuplicates(["node"])
+def _stored_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, items) of the wanted classes, each once, from texts of the ids that stand for them."""
+    asked = wanted.join(classes.select("node", "digest", "doc_id"), "node")
+    texts = docs.select("doc_id", "text").join(asked.select("doc_id").distinct(), "doc_id", "left_semi")
+    made = per_text(texts, "doc_id bigint, digest binary, items array<bigint>", _sets, "doc_id").drop("doc_id")
+    # Rows of such an id with the same set, or with another one, are read as well; a class counts once.
+    once = made.join(asked.select("digest", "node"), "digest").groupBy("node").agg(F.first("items").alias("items"))
+    return store(once, "sets")
+
+
+def _of_one_id(named: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of an id that has several."""
+    pairs = named.select("doc_id", "digest").distinct()
+    several = pairs.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    many = pairs.join(several, "doc_id").join(classes.select("digest", "node"), "digest").select("doc_id", "node")
+    first = many.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return many.join(first, "doc_id").select("a", F.col("node").alias("b")).filter("a <> b").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept per row of `docs`."""
-    rows = store(sketches(docs), "sketches")
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, and the set's digest, per row of `docs`; before them the columns `also`."""
+    rows = store(sketches(docs, also), "sketches")
     named = rows.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     by_set = named.groupBy("digest").agg(
-        F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")
     )
-    by_set = store(by_set, "classes")
-    classes = store(by_set.select("node", "n", "registers").dropDuplicates(["node"]), "nodes")
-    labels = class_components(docs, classes, percent)
-    of_set = by_set.select("digest", "node").join(labels, "node", "left").select(
-        "digest", F.coalesce("component", "node").alias("component")
+    classes = store(by_set.withColumn("node", F.monotonically_increasing_id()), "classes")
+    labels = extended(class_components(docs, classes, percent), _of_one_id(named, classes))
+    known = classes.select("node", "digest", "doc_id").join(labels, "node", "left").select(
+        "digest", "doc_id", F.coalesce("component", "node").alias("component")
     )
-    out = rows.select("doc_id", "n_shingles", "digest").join(of_set, "digest", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    known = store(known, "labels")
+    least = known.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_set = known.join(least, "component").select("digest", "component_id")
+    out = rows.drop("registers").join(of_set, "digest", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
+        *also,
+        "doc_id",
+        "n_shingles",
+        component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        "digest",
     )

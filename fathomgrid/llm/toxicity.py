@@ -168,18 +168,6 @@ def window_ratios(counts: DataFrame) -> DataFrame:
     return joined.select("gram", "hash", "everywhere", F.log(own("toxic") / own("ordinary")).alias("ratio"))
 
 
-def strongest(ratios: DataFrame, most: int) -> DataFrame:
-    """At most about `most` windows, those of most evidence: for a model to be shipped; scoring here uses all."""
-    evidence = F.abs("ratio") * F.col("everywhere")
-    rows, telling = ratios.select(
-        F.count(F.lit(1)), F.count(F.when(F.abs("ratio") > 1e-3, 1))
-    ).first()
-    if telling > most:
-        least = ratios.select(F.percentile_approx(evidence, 1 - most / rows, 10_000)).first()[0]
-        ratios = ratios.filter(evidence > least)
-    return ratios.filter(F.abs("ratio") > 1e-3).select("hash", F.col("ratio").cast("float"))
-
-
 def ratio_bounds(ratios: DataFrame, buckets: int) -> np.ndarray:
     """The largest ratio of a window per bucket of hashes; `ratios` has hash and units of every window."""
     bucket = F.pmod("hash", F.lit(buckets)).cast("int")

@@ -116,13 +116,6 @@ def test_counts_do_not_depend_on_flushing(spark, monkeypatch):
     assert {tuple(r) for r in toxicity.window_counts(docs, labels).collect()} == whole
 
 
-def test_a_smaller_model_keeps_the_strongest_windows(spark):
-    rows = [("a", i, 10, 0.01 * i) for i in range(1, 1001)]
-    ratios = spark.createDataFrame(rows, "gram string, hash long, everywhere long, ratio double")
-    kept = [r["hash"] for r in toxicity.strongest(ratios, 100).collect()]
-    assert 90 <= len(kept) <= 110 and min(kept) >= 890
-
-
 @pytest.mark.parametrize("buckets", [1, 1 << 16])
 def test_every_window_counts_toward_the_evidence(spark, buckets):
     bad = ["idiot", "moron", "zyqqward", "dämlich"]

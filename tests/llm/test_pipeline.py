@@ -74,3 +74,25 @@ def test_rows_without_ids_are_mixed_each_by_itself(spark):
     found = pipeline.mix_sources(spark, docs, SF)
     assert found.columns == docs.columns
     assert {r["source"]: r["count"] for r in found.groupBy("source").count().collect()} == {"a": 280, "b": 30}
+
+
+def test_each_text_of_an_id_stays_once_and_the_same_one(spark):
+    rows = [(5, "one two three four five six", "s2"), (5, "one two three four five six", "s1"), (5, "another text of that id here", "s1")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, source string").coalesce(1)
+        found = sorted(map(tuple, pipeline.drop_near_duplicates(spark, docs, SF).collect()))
+        assert found == sorted([rows[1], rows[2]])
+
+
+@pytest.mark.parametrize("stage", [s for n, s in pipeline.STAGES if n != "near_dedup"], ids=[n for n, _ in pipeline.STAGES if n != "near_dedup"])
+def test_columns_named_like_the_stages_own(spark, stage):
+    names = ("pseudonym_kinds", "row", "key", "id", "number", "copies", "turn", "found", "__key", "__row", "__id", "__pii")
+    docs = spark.createDataFrame(
+        [(i, f"Call 555-123-4567 or 4111 1111 1111 1111, text {i}", "s", *("x" for _ in names)) for i in range(6)],
+        "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names),
+    )
+    made = stage(spark, docs, SF)
+    rows = made.collect()
+    assert rows and (made.columns == docs.columns or "sequence_id" in made.columns)
+    if made.columns == docs.columns:
+        assert all(r[n] == "x" for r in rows for n in names)

@@ -102,3 +102,13 @@ def test_awkward_rows(awkward, nothing):
 
 def by_empty(doc_id):
     return [(0, doc_id, True)]
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2, 3), (1, 0, 3, 2), (3, 2, 1, 0)])
+def test_an_id_with_several_texts_links_them(spark, order):
+    """Rows of one id are one document: what links with any of its texts joins it, in any order of rows."""
+    dice = random.Random(4)
+    a, b = (" ".join(f"w{dice.randrange(10**9)}" for _ in range(300)) for _ in range(2))
+    rows = [(5, a), (5, b), (7, a + " x"), (8, b + " x")]
+    docs = spark.createDataFrame([rows[i] for i in order], "doc_id long, text string").coalesce(1)
+    assert {(r["doc_id"], r["component_id"]) for r in ss.near_duplicates(docs).collect()} == {(5, 5), (7, 5), (8, 5)}
