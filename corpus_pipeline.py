@@ -55,7 +55,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with pseudonyms in its text."""
-    found = pseudonyms.with_pseudonyms(nested(docs).select("row", F.col("row.text").alias("text")))
+    texts = nested(docs).select("row", F.col("row.text").alias("text"))
+    found = pseudonyms.with_pseudonyms(texts, pseudonyms.key_of(spark))
     return found.select(
         *(F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns)
     )

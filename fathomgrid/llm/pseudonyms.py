@@ -1,16 +1,22 @@
 """PII: format-preserving pseudonyms by a keyed Feistel permutation.
 
-Card and account numbers, phone numbers, social security numbers, IBANs, IPv4 addresses, dates, e-mail
-local parts and quoted secrets are replaced by values of the same form. The same value becomes the same
-pseudonym in every document, so records stay linked, and no value maps to itself.
+Card numbers, phone numbers, social security numbers, IBANs, IPv4 and IPv6 addresses, dates, e-mail local
+parts, secrets behind their name and cloud access keys are replaced by values of the same form. The same value
+becomes the same pseudonym in every document, so records stay linked, and no value maps to itself. Letters of an
+e-mail address keep their case, and addresses that differ in case only stay linked.
 
 A value is numbered within its format (0 to size-1). The permutation is P^-1(P(x) + 1 mod size) with P an
 alternating Feistel network over a keyed hash: a bijection without fixed points. Numbers with a check
-digit keep a right one: the payload is permuted and the check recomputed. Dates stay dates of their century
-range and layout; invalid dates are no dates and stay.
+digit keep a right one: the payload is permuted and the check recomputed; 13 to 19 digits whose check fails are
+no card number and stay. Dates stay dates of their century range and layout; invalid dates are no dates and
+stay. Four numbers after `v`, `version` or `release` are no address. Bare ten digits are left, as they are times as
+often as phones. The form of one value never depends on another, so ties cannot arise.
+
+The key comes from the caller; the queries take it from the session setting `spark.fathomgrid.pseudonyms.key`.
 
 Null texts stay null, empty texts and texts without such values stay as they are; repeated rows each give
-a row; whole texts are read and nothing is shuffled. Other columns are untouched.
+a row; an empty table gives an empty one; very long texts are read whole in linear time and nothing is shuffled.
+Other columns are untouched.
 """
 
 from __future__ import annotations
@@ -18,37 +24,48 @@ from __future__ import annotations
 import datetime
 import functools
 import hashlib
+import ipaddress
 import math
 import re
 import string
 import sys
 import unicodedata
+import warnings
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fathomgrid.llm.common import byte_slices
 
-DEFAULT_KEY = b"fathomgrid pseudonyms"
+KEY_SETTING = "spark.fathomgrid.pseudonyms.key"
+TRIAL_KEY = "fathomgrid pseudonyms"
+"""For trials on made-up data only: whoever reads this can invert what it made."""
 ROUNDS = 8
 
 _DAY0 = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2099, 12, 31).toordinal() - _DAY0 + 1
 
+_MONTHS = "January February March April May June July August September October November December".split()
+_MONTH = "|".join(f"{m}|{m[:3]}" for m in _MONTHS)
+
 _FORMS = re.compile(
-    r"""
+    rf"""
     (?P<email>(?<![\w.%+\-])[\w.%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+)
-  | (?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d))
-  | (?P<date>(?<!\d)(?:(?:19|20)\d\d-\d\d-\d\d|\d\d[./]\d\d[./](?:19|20)\d\d)(?!\d))
-  | (?P<phone>(?:\+\d{1,3}[ .\-]?)?\(\d{3}\)[ ]?\d{3}[ .\-]\d{4}(?!\d)
-      |(?<![\d+])\d{3}[.\-]\d{3}[.\-]\d{4}(?!\d)
-      |\+\d{1,3}[ .\-]?\d{3}[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)
-      |\+\d{1,3}(?:[ \-]\d{2,4}){2,4}(?![\d.]))
-  | (?P<ssn>(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-]))
-  | (?P<number>(?<!\d)(?:\d{13,19}|\d{4}(?P<sep>[ \-])\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?!\d))
+  | (?P<ip6>(?<![\w:.])(?:[0-9A-Fa-f]{{1,4}}:){{2,7}}(?::?[0-9A-Fa-f]{{1,4}})(?::[0-9A-Fa-f]{{1,4}}){{0,6}}(?![\w:]))
+  | (?P<ip>(?<![\d.vV])(?<![Vv]ersion[ ])(?<![Rr]elease[ ])(?:\d{{1,3}}\.){{3}}\d{{1,3}}(?!\.?\d))
+  | (?P<date>(?<!\d)(?:(?:19|20)\d\d-\d\d-\d\d|\d{{1,2}}(?P<mark>[./])\d{{1,2}}(?P=mark)(?:19|20)\d\d)(?!\d))
+  | (?P<named_date>(?<!\d)\d{{1,2}}[ ](?:{_MONTH})[ ](?:19|20)\d\d(?!\d)
+      |\b(?:{_MONTH})[ ]\d{{1,2}},[ ](?:19|20)\d\d(?!\d))
+  | (?P<phone>(?:\+\d{{1,3}}[ .\-]?)?\(\d{{3}}\)[ ]?\d{{3}}[ .\-]\d{{4}}(?!\d)
+      |(?<![\d+])\d{{3}}[.\-]\d{{3}}[.\-]\d{{4}}(?!\d)
+      |\+\d{{1,3}}[ .\-]?\d{{3}}[ .\-]?\d{{3}}[ .\-]?\d{{4}}(?!\d)
+      |\+\d{{1,3}}(?:[ \-]\d{{2,4}}){{2,4}}(?![\d.]))
+  | (?P<ssn>(?<![\d\-])\d{{3}}-\d{{2}}-\d{{4}}(?![\d\-]))
+  | (?P<access_key>\bA[KS]IA[0-9A-Z]{{16}}\b)
+  | (?P<number>(?<!\d)(?:\d{{13,19}}|\d{{4}}(?P<sep>[ \-])\d{{4}}(?P=sep)\d{{4}}(?P=sep)\d{{1,7}}|\d{{4}}[ \-]\d{{6}}[ \-]\d{{5}})(?!\d))
     """,
     re.VERBOSE,
 )
@@ -63,8 +80,12 @@ _IBAN_LENGTHS = dict(
         " TR=26 UA=29 VA=22 VG=24 XK=20"
     ).split()
 )
+# In quotes, or bare right behind the sign with a letter and a digit near its start, as a word of prose has not.
 _SECRET = re.compile(
-    r"""\b(?:token|secret|password|passwd|api[_\-]?key|access[_\-]?key)\s*[=:]\s*["']([^"'\s]{6,})["']""", re.IGNORECASE
+    r"""\b(?:token|secret|password|passwd|api[_\-]?key|access[_\-]?key)\s*[=:]\s*["']([^"'\s]{6,})["']
+      |\b(?:secret|password|passwd|api[_\-]?key|access[_\-]?key)(?:=|:[ ]?)
+        ((?=[\w\-]{0,63}\d)(?=[\w\-]{0,63}[A-Za-z])[\w\-]{8,}+)(?![^\s,;.&])""",
+    re.IGNORECASE | re.VERBOSE | re.ASCII,
 )
 _MAYBE = re.compile(r"[0-9@]")
 
@@ -122,7 +143,7 @@ def _refill(form: str, digits: str) -> str:
 class Pseudonyms:
     """Replaces the values in one text and counts them by kind."""
 
-    def __init__(self, key: bytes = DEFAULT_KEY):
+    def __init__(self, key: bytes):
         self.permuter = Permuter(key)
         self.known: dict[tuple[str, str], str] = {}
 
@@ -150,7 +171,10 @@ class Pseudonyms:
         local, _, domain = value.rpartition("@")
         if not any(map(str.isalnum, local)):
             return None
-        return f"{self.letters('email' + domain.lower(), local)}@{domain}"
+        # Case is put back letter by letter: only ASCII letters have it lowered before.
+        lower = "".join(c.lower() if c < "\x80" else c for c in local)
+        new = self.letters("email" + domain.lower(), lower)
+        return "".join(n.upper() if c != m else n for c, m, n in zip(local, lower, new)) + "@" + domain
 
     def ip(self, value: str) -> str | None:
         parts = [int(p) for p in value.split(".")]
@@ -159,21 +183,47 @@ class Pseudonyms:
         x = self.permuter.swap("ip", int.from_bytes(bytes(parts), "big"), 1 << 32)
         return ".".join(map(str, x.to_bytes(4, "big")))
 
-    def date(self, value: str) -> str | None:
-        year_first = value[4] == "-"
+    def ip6(self, value: str) -> str | None:
+        # `::` among few groups is more often a name of a program than an address.
+        groups = [g for g in value.split(":") if g]
+        if len(groups) < 3 or not any(c.isdigit() for c in value):
+            return None
         try:
-            day = datetime.date.fromisoformat(value if year_first else f"{value[6:]}-{value[3:5]}-{value[:2]}")
+            number = int(ipaddress.IPv6Address(value))
         except ValueError:
-            if year_first or value[2] != "/":
-                return None
-            try:
-                day = datetime.date(int(value[6:]), int(value[:2]), int(value[3:5]))
-            except ValueError:
-                return None
-            new = self._day(day)
-            return f"{new:%m/%d/}{new.year:04d}"
+            return None
+        return str(ipaddress.IPv6Address(self.permuter.swap("ip6", number, 1 << 128)))
+
+    def access_key(self, value: str) -> str:
+        return value[:4] + self.letters("access_key", value[4:])
+
+    def date(self, value: str) -> str | None:
+        if value[4] == "-":
+            day = _day_of(*map(int, value.split("-")))
+            return day and self._day(day).isoformat()
+        mark = "/" if "/" in value else "."
+        first, second, year = value.split(mark)
+        day, month_first = _day_of(int(year), int(second), int(first)), False
+        if day is None and mark == "/":
+            day, month_first = _day_of(int(year), int(first), int(second)), True
+        if day is None:
+            return None
+        new = self._day(day)
+        width = 2 if len(first) == len(second) == 2 else 1
+        pair = [f"{new.day:0{width}d}", f"{new.month:0{width}d}"]
+        return mark.join([*(reversed(pair) if month_first else pair), f"{new.year:04d}"])
+
+    def named_date(self, value: str) -> str | None:
+        words = value.replace(",", "").split(" ")
+        name, number = (words[0], words[1]) if value[0].isalpha() else (words[1], words[0])
+        month = next(i for i, m in enumerate(_MONTHS, 1) if m.startswith(name))
+        day = _day_of(int(words[2]), month, int(number))
+        if day is None:
+            return None
         new = self._day(day)
-        return new.isoformat() if year_first else f"{new:%d}{value[2]}{new:%m}{value[2]}{new.year:04d}"
+        whole = name in _MONTHS
+        name = _MONTHS[new.month - 1] if whole else _MONTHS[new.month - 1][:3]
+        return f"{name} {new.day}, {new.year:04d}" if value[0].isalpha() else f"{new.day} {name} {new.year:04d}"
 
     def _day(self, day: datetime.date) -> datetime.date:
         return datetime.date.fromordinal(_DAY0 + self.permuter.swap("date", day.toordinal() - _DAY0, _DAYS))
@@ -191,17 +241,10 @@ class Pseudonyms:
 
     def number(self, value: str) -> str | None:
         digits = "".join(c for c in value if c.isdigit())
-        if luhn_digit(digits[:-1]) == int(digits[-1]):
-            payload = self.digits("luhn", digits[:-1])
-            return _refill(value, payload + str(luhn_digit(payload)))
-        return _refill(value, self._no_luhn(digits))
-
-    def _no_luhn(self, digits: str) -> str:
-        # Stays among numbers with a wrong check digit: payload and the distance from the right one.
-        payload, off = digits[:-1], (int(digits[-1]) - luhn_digit(digits[:-1])) % 10 - 1
-        x = self.permuter.swap(f"plain{len(digits)}", int(payload) * 9 + off, 9 * 10 ** len(payload))
-        new = str(x // 9).zfill(len(payload))
-        return new + str((luhn_digit(new) + x % 9 + 1) % 10)
+        if luhn_digit(digits[:-1]) != int(digits[-1]):
+            return None
+        payload = self.digits("luhn", digits[:-1])
+        return _refill(value, payload + str(luhn_digit(payload)))
 
     def iban(self, value: str) -> str | None:
         plain = value.replace(" ", "")
@@ -230,7 +273,7 @@ class Pseudonyms:
     def text(self, text: str) -> tuple[str, list[str]]:
         """The text with pseudonyms, and the kind of each replaced value."""
         kinds: list[str] = []
-        if not _MAYBE.search(text) and '"' not in text and "'" not in text:
+        if not _MAYBE.search(text) and '"' not in text and "'" not in text:  # A bare secret has a digit.
             return text, kinds
 
         def put(kind: str, value: str) -> str:
@@ -241,7 +284,8 @@ class Pseudonyms:
             return new
 
         def secret(m: re.Match) -> str:
-            return m[0][: m.start(1) - m.start()] + put("secret", m[1]) + m[0][m.end(1) - m.start() :]
+            at = m.lastindex
+            return m[0][: m.start(at) - m.start()] + put("secret", m[at]) + m[0][m.end(at) - m.start() :]
 
         # Secrets come first and are set aside, so that no other form is found inside one.
         done: list[str] = []
@@ -259,7 +303,7 @@ class Pseudonyms:
 
     def _line(self, line: str, put: Callable[[str, str], str]) -> str:
         def one(m: re.Match) -> str:
-            return put(m.lastgroup, m[0])
+            return put(next(k for k in _KINDS if m[k] is not None), m[0])
 
         out, last, at = [], 0, 0
         while m := _IBAN.search(line, at):
@@ -272,6 +316,13 @@ class Pseudonyms:
         return "".join([*out, _FORMS.sub(one, line[last:])])
 
 
+def _day_of(year: int, month: int, day: int) -> datetime.date | None:
+    try:
+        return datetime.date(year, month, day)
+    except ValueError:
+        return None
+
+
 def _iban_in(line: str, m: re.Match) -> str | None:
     """The IBAN at the start of a match: of its country's length, or the longest that ends a token and checks."""
     ends = [i for i in range(m.end(), m.start() + 14, -1) if line[i - 1] != " " and not _WORD.match(line, i)]
@@ -281,6 +332,7 @@ def _iban_in(line: str, m: re.Match) -> str | None:
     return next((v for v in values if len(v.replace(" ", "")) >= 15 and _mod97_of(v) == 1), None)
 
 
+_KINDS = [k for k in _FORMS.groupindex if k not in ("mark", "sep")]
 _WORD = re.compile(r"\w")
 _ASCII = {c: a for a in (string.digits, string.ascii_lowercase, string.ascii_uppercase) for c in a}
 
@@ -321,7 +373,15 @@ def _mod97_of(value: str) -> int:
 _FOUND = T.StructType([T.StructField("text", T.StringType()), T.StructField("kinds", T.ArrayType(T.StringType()))])
 
 
-def with_pseudonyms(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
+def key_of(spark: SparkSession) -> bytes:
+    """The key in the session's settings; without one the trial key, with a warning."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        warnings.warn(f"{KEY_SETTING} is not set: pseudonyms of the trial key can be inverted", stacklevel=2)
+    return (key or TRIAL_KEY).encode()
+
+
+def with_pseudonyms(docs: DataFrame, key: bytes) -> DataFrame:
     """`docs` with its text replaced, and last a column `pseudonym_kinds`: the kind of each replaced value.
 
     A column of that name in `docs` gives way to it. Rows are worked on in parts of a few megabytes of text.

@@ -75,7 +75,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pseudonyms.with_pseudonyms(_documents(spark, sf_dir).select("doc_id", "text"))
+    found = pseudonyms.with_pseudonyms(_documents(spark, sf_dir).select("doc_id", "text"), pseudonyms.key_of(spark))
     return found.selectExpr(
         "doc_id",
         "text",
