@@ -8,11 +8,13 @@ Sketches merge by the larger register.
 1. Texts with equal sets collapse into one class, named by the smallest id, with partial aggregation.
 2. Registers are banded, 32 bands of 4; classes that share a band are candidates. A link of similarity
    0.75 escapes every band with probability 5e-6.
-3. In each bucket members are tried against one centre, linear in the bucket. What is not connected then is
-   tried against another. Of what still shares a bucket with another component, pairs of different
-   components are listed by an exact prefix filter on shingles, so a large group whose members are alike
-   but mostly no links is not tried pair by pair.
-4. A pair is tried by size, then by the joint likelihood of its registers (kept within five standard errors
+3. Each class is tried against the centre of its largest bucket. In buckets that hold several components then,
+   whoever is not in the largest is tried against a centre of it. Large buckets are salted, with the centre
+   copied to each salt.
+4. Of what still shares a bucket with another component, an exact prefix filter on shingles, with bounds by size and
+   place, finds who can link. Where few hold a shingle they meet as pairs. Where many do, its holders lie in
+   blocks of about `BLOCK` classes, pairs of blocks meet in a task, and only links leave it. No pair is left out.
+5. A pair is tried by size, then by the joint likelihood of its registers (kept within five standard errors
    of the threshold), and what is left on the full sets, in whole numbers.
 
 Null and empty texts have an empty set and link with nothing. A row without an id links with nothing and its
@@ -44,6 +46,13 @@ BASE = 1.001
 RATE = 20.0
 TOP = 65_535
 STANDARD_ERRORS = 5.0
+BLOCK = 256
+BLOCK_ITEMS = 1 << 17
+"""Classes and shingles of a block, about; a larger set is a block of its own or nearly so."""
+FEW = 12
+"""Holders of a shingle who meet as pairs; more meet in blocks."""
+SALTED = 1024
+"""Members of a bucket that one key of a join holds."""
 _COLUMNS = 4096
 _HELD = 200_000
 
@@ -223,19 +232,42 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
     return allowed.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _around(members: DataFrame, centre: Callable[[Column], Column], percent: int) -> DataFrame:
-    """Pairs of each member of a bucket with the bucket's centre."""
-    centres = members.groupBy("bucket").agg(centre(F.struct("node", "n")).alias("c"))
-    joined = members.join(centres, "bucket")
+def _salted(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members (bucket, size, node, n, component) with the centre (bucket, size, c) of their bucket.
+
+    Each salt of a large bucket has the centre; members of its component are left alone.
+    """
+    salts = F.ceil(F.col("size") / SALTED).cast("int")
+    copies = centres.select("bucket", "c", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    dealt = members.withColumn("salt", F.pmod(F.xxhash64("node"), salts).cast("int"))
+    joined = dealt.join(copies, ["bucket", "salt"]).filter(F.col("component") != F.col("c.component"))
     return _pairs(
         joined.select(F.col("c.node").alias("x"), F.col("c.n").alias("nx"), F.col("node").alias("y"), F.col("n").alias("ny")), percent
     )
 
 
+def _around_largest(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each class with the centre of its largest bucket."""
+    largest = members.groupBy("node").agg(F.max(F.struct("size", "bucket", "n")).alias("at"))
+    chosen = largest.select("node", F.col("node").alias("component"), "at.bucket", "at.size", "at.n")
+    centres = members.groupBy("bucket", "size").agg(F.min(F.struct("node", "n", F.col("node").alias("component"))).alias("c"))
+    return _salted(chosen, centres, percent)
+
+
+def _around_component(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a centre of the bucket's largest component with the members of other components."""
+    parts = members.groupBy("bucket", "size", "component").agg(
+        F.count(F.lit(1)).alias("held"), F.min(F.struct("node", "n")).alias("c")
+    )
+    most = parts.groupBy("bucket", "size").agg(F.max(F.struct("held", "component", "c")).alias("most"))
+    centres = most.select("bucket", "size", F.struct("most.c.node", "most.c.n", "most.component").alias("c"))
+    return _salted(members, centres, percent)
+
+
 def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets that hold more than one component."""
     at = members.join(labels, "node", "left").select(
-        "bucket", "node", "n", F.coalesce("component", "node").alias("component")
+        "bucket", "size", "node", "n", F.coalesce("component", "node").alias("component")
     )
     at = store(at, "labelled")
     mixed = at.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -248,25 +280,30 @@ def class_components(docs: DataFrame, classes: DataFrame, percent: int = PERCENT
     A class is a number that its set has got; `doc_id` is that of a row whose text has the set.
     """
     banded = classes.select("node", "n", F.explode(_band_keys("registers")).alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    members = store(banded.join(shared.filter("low < high").select("bucket"), "bucket"), "members")
+    shared = banded.groupBy("bucket").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size")
+    )
+    members = store(banded.join(shared.filter("low < high").select("bucket", "size"), "bucket"), "members")
     sets = _stored_sets(docs, classes, members.select("node").distinct())
     verifier = _Verifier(classes, sets, percent)
 
-    labels = store(components(verifier.links(_around(members, F.min, percent))), "components")
+    labels = store(components(verifier.links(_around_largest(members, percent))), "components")
     open_members = _unsettled(members, labels)
-    more = verifier.links(_around(open_members, F.max, percent))
+    more = verifier.links(_around_component(open_members, percent))
     labels = store(extended(labels, more), "components")
     open_members = _unsettled(open_members.drop("component"), labels)
-    return store(extended(labels, verifier.links(_by_prefix(open_members, sets, percent))), "components")
+    prefixes = _prefixes(open_members, sets, percent)
+    more = verifier.links(_met_in_pairs(prefixes, percent)).unionByName(_met_in_blocks(prefixes, classes, sets, percent))
+    return store(extended(labels, more), "components")
 
 
-def _by_prefix(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components among what is still unsettled, by prefix filter: none is lost.
+def _prefixes(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Stored (item, node, n, component, left, met) by which what is still unsettled can meet another component.
 
     Two sets of the wanted similarity share one of the rarest n - ceil(n * percent / 100) + 1 shingles of each.
     A shingle that no other unsettled set has only uses up a place, so sets with many shingles of their own,
-    as heavily edited copies in a large group have, meet nobody.
+    as heavily edited copies in a large group have, meet nobody. `left` counts the shingles from this one on that
+    others have too, `met` those who hold this one within their own prefix.
     """
     rest = open_members.select("node", "n", "component").distinct()
     items = sets.join(rest.select("node"), "node", "left_semi").select("node", F.explode("items").alias("item"))
@@ -275,12 +312,115 @@ def _by_prefix(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFr
     shared = items.join(counts, "item").groupBy("node").agg(held.alias("shared"))
     places = F.expr(f"n - (n * {percent} + 99) div 100 + 1 - (n - size(shared))").cast("int")
     prefix = shared.join(rest, "node").filter(places > 0).select(
-        "node", "n", "component", F.explode(F.slice("shared", F.lit(1), places)).alias("s")
+        "node", "n", "component", F.size("shared").alias("all"), F.posexplode(F.slice("shared", F.lit(1), places)).alias("at", "s")
+    )
+    prefix = prefix.select("node", "n", "component", F.col("s.item").alias("item"), (F.col("all") - F.col("at")).alias("left"))
+    prefix = store(prefix, "prefixes")
+    met = prefix.groupBy("item").agg(
+        F.count(F.lit(1)).alias("met"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    return store(prefix.join(met.filter("low < high").select("item", "met"), "item"), "meeting")
+
+
+def _met_in_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that meet at a shingle which few hold."""
+    few = prefixes.filter(F.col("met") <= FEW)
+    side = lambda z: few.select(
+        "item", *(F.col(c).alias(z + c) for c in ("node", "n", "component", "left"))
+    )
+    # What they can share is at most what is left from the first shingle at which they meet.
+    enough = F.least("xleft", "yleft") * (100 + percent) >= (F.col("xn") + F.col("yn")) * percent
+    sized = _sizes_allow(F.col("xn"), F.col("yn"), percent)
+    met = side("x").join(side("y"), "item").filter((F.col("xcomponent") < F.col("ycomponent")) & sized & enough)
+    return met.select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b")).distinct()
+
+
+def _met_in_blocks(prefixes: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Stored links (a, b) of different components that meet at shingles which many hold.
+
+    A class belongs with those who have the same most held shingle in their prefix; they are dealt to blocks.
+    """
+    many = prefixes.filter(F.col("met") > FEW)
+    homes = many.groupBy("node", "n", "component").agg(F.max(F.struct("met", "item")).alias("home"))
+    homes = homes.select("node", "n", "component", F.col("home.item").alias("home"))
+    dealt = homes.groupBy("home").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+    parts = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("shingles") / BLOCK_ITEMS))
+    block = F.xxhash64("home", F.pmod(F.xxhash64("node"), parts))
+    placed = store(homes.join(dealt, "home").select("node", "n", "component", block.alias("block")), "placed")
+
+    at = many.select("item", "node").join(placed.select("node", "component", "block"), "node").groupBy("item", "block").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    x, y = (at.select("item", *(F.col(c).alias(z + c) for c in ("block", "low", "high"))) for z in "xy")
+    differ = F.least("xlow", "ylow") < F.greatest("xhigh", "yhigh")
+    pairs = x.join(y, "item").filter((F.col("xblock") <= F.col("yblock")) & differ).select("xblock", "yblock").distinct()
+
+    filled = placed.join(classes.select("node", "registers"), "node").join(sets, "node")
+    blocks = filled.groupBy("block").agg(
+        F.collect_list(F.struct("node", "n", "component", "registers", "items")).alias("members")
     )
-    prefix = store(prefix.select("node", "n", "component", F.col("s.item").alias("item")), "prefixes")
-    x = prefix.select("item", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    y = prefix.select("item", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-    return _pairs(x.join(y, "item").filter("cx < cy"), percent)
+    sides = pairs.withColumn("block", F.explode(F.array_distinct(F.array("xblock", "yblock"))))
+    tried = sides.join(blocks, "block").groupBy("xblock", "yblock").applyInArrow(_block_links(percent), "a bigint, b bigint")
+    return store(tried.distinct(), "block-links")
+
+
+def _block_links(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Links between different components of two blocks, or within one."""
+    least = _least_estimate(percent)
+    # Registers agree about as often as sets are alike; so few of a link agree in no case.
+    agree = REGISTERS * (percent / 100 - 9 * math.sqrt(percent / 100 * (1 - percent / 100) / REGISTERS))
+
+    def tried(met: pa.Table) -> pa.Table:
+        members = met.column("members").combine_chunks()
+        first = len(members[0])
+        rows = members.flatten()
+        node, n, component = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("node", "n", "component"))
+        sketch = np.frombuffer(b"".join(rows.field("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
+        lists = rows.field("items")
+        values, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+        ends = ends - ends[0]
+        total = len(node)
+        xs, ys = [], []
+        for i in range(first if len(members) > 1 else total - 1):
+            j = np.arange(first if len(members) > 1 else i + 1, total)
+            j = j[(component[j] != component[i]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent)]
+            above, below = (sketch[i] > sketch[j]).sum(axis=1), (sketch[i] < sketch[j]).sum(axis=1)
+            near = REGISTERS - above - below >= agree
+            j, above, below = j[near], above[near], below[near]
+            if len(j):
+                j = j[similarity(above, below, np.full(len(j), float(n[i])), n[j].astype(float)) >= least]
+            xs.append(np.full(len(j), i))
+            ys.append(j)
+        x, y = (np.concatenate([*z, np.empty(0, np.int64)]).astype(np.int64) for z in (xs, ys))
+        shared = _shared(values, ends, x, y)
+        link = shared * 100 >= (n[x] + n[y] - shared) * percent
+        a, b = node[x[link]], node[y[link]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return tried
+
+
+def _shared(values: np.ndarray, ends: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many items sets x and y share, pair by pair; set k is values[ends[k]:ends[k + 1]], without repeats."""
+    if not len(x):
+        return np.empty(0, np.int64)
+    asked, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+    of = np.repeat(np.arange(len(asked)), ends[asked + 1] - ends[asked])
+    held = np.concatenate([values[ends[k] : ends[k + 1]] for k in asked])
+    _, column, holders = np.unique(held, return_inverse=True, return_counts=True)
+    kept = holders[column] > 1
+    of, column = of[kept], (np.cumsum(holders > 1) - 1)[column[kept]]
+    order = np.argsort(column, kind="stable")
+    of, column = of[order], column[order]
+    counts = np.zeros((len(asked), len(asked)), np.float32)  # Whole numbers below 2^24 each part, summed as such.
+    total = counts.astype(np.int64)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        inside = slice(*np.searchsorted(column, [low, low + _COLUMNS]))
+        part = np.zeros((len(asked), _COLUMNS), np.float32)
+        part[of[inside], column[inside] - low] = 1
+        np.matmul(part, part.T, out=counts)
+        total += counts.astype(np.int64)
+    return total[at[: len(x)], at[len(x) :]]
 
 
 def _stored_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -41,7 +41,11 @@ def test_sql(spark, sf):
     assert verdict == "ok"
 
 
-def test_large_groups_chains_and_threshold(spark):
+@pytest.mark.parametrize("few, block, salted", [(ss.FEW, ss.BLOCK, ss.SALTED), (1, 16, 8), (10**6, 1, 10**6)])
+def test_large_groups_chains_and_threshold(spark, monkeypatch, few, block, salted):
+    """The same components whether classes meet as pairs or in blocks, large ones or small ones."""
+    for name, value in (("FEW", few), ("BLOCK", block), ("SALTED", salted)):
+        monkeypatch.setattr(ss, name, value)
     dice = random.Random(11)
     fresh = lambda n: [f"w{dice.randrange(10**9)}" for _ in range(n)]
     texts = []
@@ -51,6 +55,11 @@ def test_large_groups_chains_and_threshold(spark):
         for _ in range(dice.randint(1, 6)):
             copy[dice.randrange(200)] = fresh(1)[0]
         texts.append(" ".join(copy))
+    for _ in range(60):  # Copies that link with the base at best.
+        copy = list(base)
+        for _ in range(dice.randint(5, 14)):
+            copy[dice.randrange(200)] = fresh(1)[0]
+        texts.append(" ".join(copy))
     step = fresh(120)
     for i in range(40):  # A chain: each links with the next only.
         step = step[4:] + fresh(4)
@@ -65,6 +74,16 @@ def test_large_groups_chains_and_threshold(spark):
     assert found == plain_components(ids, texts)
 
 
+def test_shared_counts():
+    dice = np.random.default_rng(3)
+    sets = [np.unique(dice.integers(0, 9000, dice.integers(1, 9000))) for _ in range(9)]
+    ends = np.cumsum([0, *map(len, sets)])
+    x, y = np.triu_indices(9, 1)
+    want = [len(np.intersect1d(sets[i], sets[j])) for i, j in zip(x, y, strict=True)]
+    assert ss._shared(np.concatenate(sets), ends, x, y).tolist() == want
+    assert len(ss._shared(np.concatenate(sets), ends, x[:0], y[:0])) == 0
+
+
 def test_registers_merge_and_estimate():
     dice = np.random.default_rng(1)
     pool = dice.integers(0, 1 << 63, 6000, dtype=np.uint64)
