@@ -12,12 +12,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fathomgrid.functions import times
 from fathomgrid.operators.status import SUCCESS
+from fathomgrid.session import keyed_state
 from fathomgrid.sources import tables
 from fathomgrid.streaming.sinks import batch_writer
 
 KEYS = ["cruise_name", "file_name"]
 SALTS = 64
-"""Parts the files of a cruise are followed in, so that a hot cruise is many keys of the state."""
+"""Parts the cruises are counted in: a call of the processor takes the rows of a part, not of one cruise."""
 
 NOTICES = "cruise_name string, stage string, files long, notice_time timestamp, batch_id long"
 LISTED = "cruise_name string, file_name string, expected long"
@@ -71,45 +72,29 @@ def publish_listing(files: DataFrame, path: str) -> None:
         rows.write.mode("append").parquet(path)
 
 
-class _Files(StatefulProcessor):
-    """Per (cruise, salt): which files are listed and which are finished. A file is met once, when it is both."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.files = handle.getMapState("files", "file_name string", "listed boolean, finished boolean")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        met = expected = 0
-        for part in rows:
-            listed = part["expected"].notna()
-            expected = max(expected, int(part["expected"].max()) if listed.any() else 0)
-            told = part.assign(listed=listed, finished=~listed).groupby("file_name")[["listed", "finished"]].any()
-            for name, now in zip(told.index, told.itertuples(index=False, name=None), strict=True):
-                before = self.files.getValue((name,)) or (False, False)
-                after = (before[0] or bool(now[0]), before[1] or bool(now[1]))
-                if after != tuple(before):
-                    self.files.updateValue((name,), after)
-                    met += all(after)
-        if met or expected:
-            yield pd.DataFrame({"cruise_name": [key[0]], "met": [met], "expected": [expected]})
-
-    def close(self) -> None:
-        pass
-
-
 class _Cruises(StatefulProcessor):
-    """Per cruise: how many files are met, how many there are, and whether that was reported."""
+    """Per part of the cruises: how many files of each are met, how many there are, and whether that was reported."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", "met long, expected long, reported boolean")
+        self.totals = handle.getMapState("totals", "cruise_name string", "met long, expected long, reported boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        met, expected, reported = self.total.get() if self.total.exists() else (0, 0, False)
+        told: dict[str, tuple[int, int]] = {}
         for part in rows:
-            met, expected = met + int(part["met"].sum()), max(expected, int(part["expected"].max()))
-        full = not reported and met >= expected > 0
-        self.total.update((met, expected, reported or full))
+            sums = part.groupby("cruise_name").agg({"met": "sum", "expected": "max"})
+            for name, met, expected in sums.itertuples(name=None):
+                before = told.get(name, (0, 0))
+                told[name] = (before[0] + int(met), max(before[1], int(expected)))
+        full = []
+        for name, (more, number) in told.items():
+            met, expected, reported = self.totals.getValue((name,)) or (0, 0, False)
+            met, expected = met + more, max(expected, number)
+            done = not reported and met >= expected > 0
+            self.totals.updateValue((name,), (met, expected, reported or done))
+            if done:
+                full.append((name, met, expected))
         if full:
-            yield pd.DataFrame({"cruise_name": [key[0]], "finished": [met], "expected": [expected]})
+            yield pd.DataFrame(full, columns=["cruise_name", "finished", "expected"])
 
     def close(self) -> None:
         pass
@@ -120,15 +105,19 @@ def completions(finished: DataFrame, listed: DataFrame, salts: int = SALTS) -> D
 
     `finished` is a stream of (cruise_name, file_name), `listed` one of (cruise_name, file_name, expected) as
     `publish_listing` writes it. Repeats change nothing; finishes of files that are not listed are held until
-    they are. A batch touches the state of the files it names and of their cruises, whatever came before.
+    they are: a file is met once, when the join of both streams finds it, so files of a hot cruise are keys of their
+    own. A batch touches the state of the files it names and of their cruises, whatever came before. Its query is
+    started within `keyed_state`, or in a session that keeps state in RocksDB.
     """
-    none = F.lit(None).cast("long").alias("expected")
-    rows = listed.select(*KEYS, "expected").unionByName(finished.select(*KEYS, none)).dropna(subset=KEYS)
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("file_name"), F.lit(salts)))
-    files = salted.groupBy("cruise_name", "salt").transformWithStateInPandas(
-        _Files(), "cruise_name string, met long, expected long", "Append", "None"
+    known = listed.select(*KEYS, "expected").dropna(subset=KEYS)
+    done = finished.select(*KEYS).dropna(subset=KEYS).dropDuplicates(KEYS)
+    met = known.select(*KEYS).dropDuplicates(KEYS).join(done, KEYS)
+    none = F.lit(0).cast("long")
+    counts = met.select("cruise_name", F.lit(1).cast("long").alias("met"), none.alias("expected")).unionByName(
+        known.select("cruise_name", none.alias("met"), "expected")
     )
-    return files.groupBy("cruise_name").transformWithStateInPandas(
+    parted = counts.withColumn("part", F.pmod(F.xxhash64("cruise_name"), F.lit(salts)))
+    return parted.groupBy("part").transformWithStateInPandas(
         _Cruises(), "cruise_name string, finished long, expected long", "Append", "None"
     )
 
@@ -170,15 +159,16 @@ def run_accumulator(
     reader = spark.readStream.schema(LISTED)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    query = (
-        completions(finished, reader.parquet(f"{base}/listed"))
-        .writeStream.outputMode("append")
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True)
-        .foreachBatch(completion_writer(base, stage, then))
-        .start()
-    )
-    query.awaitTermination()
+    with keyed_state(spark):
+        query = (
+            completions(finished, reader.parquet(f"{base}/listed"))
+            .writeStream.outputMode("append")
+            .option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True)
+            .foreachBatch(completion_writer(base, stage, then))
+            .start()
+        )
+        query.awaitTermination()
     return _read(spark, f"{base}/notices", NOTICES)
 
 

@@ -263,3 +263,17 @@ def test_log_lines(spark):
     )
     got = {(r["reason"], r["pipeline_status"]) for r in messages.classify_log_lines(lines).collect()}
     assert got == {("memory", "FAILURE"), ("time", "FAILURE")}
+
+
+@pytest.mark.parametrize("named", [None, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"])
+def test_completion_runs_in_a_session_with_another_state_store(spark, tmp_path, named):
+    key, source = "spark.sql.streaming.stateStore.providerClass", str(tmp_path / "in")
+    before = spark.conf.get(key)
+    put(spark, source, [("A", "f0"), ("A", "f1"), ("A", "f2")])
+    spark.conf.set(key, named) if named else spark.conf.unset(key)
+    there = spark.conf.get(key, None)
+    try:
+        assert accumulate(spark, source, str(tmp_path / "acc"), lambda: file_list(spark)) == [("A", 3)]
+        assert spark.conf.get(key, None) == there
+    finally:
+        spark.conf.set(key, before)
