@@ -13,7 +13,7 @@ from fathomgrid import schemas
 from fathomgrid.functions import times
 from fathomgrid.operators import gps
 from fathomgrid.operators.ordered import Layout
-from fathomgrid.session import stored
+from fathomgrid.session import few_listing_tasks, stored
 from fathomgrid.sources import stores
 
 
@@ -65,7 +65,8 @@ def export_documents(spark: SparkSession, path: str, target: str, name: str = "g
     A task appends the parts of a document block by block, so what it holds is one block however long the document
     is. Nothing is parsed on the way. Part files are found by Spark's listing, their contents are not read by it.
     """
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    with few_listing_tasks(spark):
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     parts = (
         listed.select("cruise", "file_name", "path")
         .groupBy("cruise", "file_name")
@@ -115,7 +116,8 @@ def _positions(features: DataFrame, folders: list[str]) -> DataFrame:
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """Stored features: id, position, geometry, and the folder columns."""
-    rows = spark.read.schema(schemas.FEATURE).json(path)
+    with few_listing_tasks(spark):
+        rows = spark.read.schema(schemas.FEATURE).json(path)
     own = [f.name for f in schemas.FEATURE]
     folders = [c for c in rows.columns if c not in own]
     return _positions(rows.select(*folders, F.struct(*own).alias("f")), folders)
@@ -132,7 +134,8 @@ def read_collections(spark: SparkSession, path: str, multi_line: bool = False) -
         documents = spark.read.schema(schemas.FEATURE_COLLECTION).option("multiLine", "true").json(path)
         folders = [c for c in documents.columns if c not in ("type", "features")]
         return _positions(documents.select(*folders, F.explode("features").alias("f")), folders)
-    lines = spark.read.option("recursiveFileLookup", "false").text(path)
+    with few_listing_tasks(spark):
+        lines = spark.read.option("recursiveFileLookup", "false").text(path)
     folders = [c for c in lines.columns if c != "value"]
     value = F.regexp_replace(F.trim("value"), "^,", "")
     feature = F.from_json(value, schemas.FEATURE)

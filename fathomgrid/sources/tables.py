@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from fathomgrid import schemas
 from fathomgrid.functions import times
 from fathomgrid.operators import cube, status
-from fathomgrid.session import stored
+from fathomgrid.session import few_listing_tasks, stored
 
 
 def as_status(rows: DataFrame) -> DataFrame:
@@ -172,7 +172,8 @@ def write_chunks(
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.CUBE_CHUNK).parquet(path)
+    with few_listing_tasks(spark):
+        return spark.read.schema(schemas.CUBE_CHUNK).parquet(path)
 
 
 def read_chunk(
@@ -204,7 +205,8 @@ def write_axes(placed: DataFrame, depths: DataFrame, path: str) -> None:
 
 def read_axis(spark: SparkSession, path: str, name: str) -> DataFrame:
     """The `time` or the `depth` axis."""
-    return spark.read.schema(schemas.TIME_AXIS if name == "time" else schemas.DEPTH_AXIS).parquet(f"{path}/{name}")
+    with few_listing_tasks(spark):
+        return spark.read.schema(schemas.TIME_AXIS if name == "time" else schemas.DEPTH_AXIS).parquet(f"{path}/{name}")
 
 
 # --- map tiles -----------------------------------------------------------------------------------

@@ -10,6 +10,7 @@ import random
 from pyspark.sql import functions as F
 
 from fathomgrid.operators import gps
+from fathomgrid.session import LISTING_TASKS
 from fathomgrid.sources import geojson
 
 T0 = dt.datetime(2007, 7, 11, 18, 0, 0)
@@ -177,3 +178,24 @@ def test_valid_ping_positions(spark):
     assert [(r["ping_idx"], r["position"]) for r in rows] == [(20, 0), (30, 1), (40, 2), (50, 3)]
     assert gps.valid_counts(aligned).first()["num_ping_time_dropna"] == 4
     assert aligned.filter(F.col("latitude").isNull()).count() == 2
+
+
+def test_many_folders_are_listed_in_few_tasks(spark, tmp_path):
+    """A listing's result grows with the folders, not with a report per folder."""
+    n, path, sc = 2 * LISTING_TASKS, str(tmp_path / "features"), spark.sparkContext
+    aligned = spark.range(n).selectExpr(
+        "'A' AS cruise", "concat('f', id) AS file_name", "id AS ping_idx",
+        "timestamp_ntz '2024-01-01 00:00:00' AS ping_time", "1e0 AS latitude", "2e0 AS longitude",
+    )
+    geojson.write_features(aligned.coalesce(1), path)
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key, None)
+    sc.setJobGroup("listing", "listing")
+    try:
+        features = geojson.read_features(spark, path)
+        jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("listing")]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tasks = [sc.statusTracker().getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+    assert tasks and max(tasks) <= LISTING_TASKS
+    assert features.count() == n and spark.conf.get(key, None) == before
