@@ -3,12 +3,15 @@
 import datetime as dt
 import json
 import os
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from fathomgrid.operators import status
+from fathomgrid.session import SETTINGS, STATE_PARTITIONS, keyed_state
 from fathomgrid.streaming import accumulator, messages, sinks
 
 T0 = dt.datetime(2023, 5, 23, 13, 0, 0)
@@ -277,3 +280,43 @@ def test_completion_runs_in_a_session_with_another_state_store(spark, tmp_path,
         assert spark.conf.get(key, None) == there
     finally:
         spark.conf.set(key, before)
+
+
+def test_state_is_dealt_to_few_partitions(spark, tmp_path):
+    """However many partitions the session shuffles to, a batch commits no more stores than keep the cores busy."""
+    key, source, base = "spark.sql.shuffle.partitions", str(tmp_path / "in"), tmp_path / "acc"
+    before = spark.conf.get(key)
+    most = max(STATE_PARTITIONS, 2 * spark.sparkContext.defaultParallelism)
+    put(spark, source, [("A", "f0"), ("A", "f1"), ("A", "f2")])
+    spark.conf.set(key, str(most + 2))
+    try:
+        assert accumulate(spark, source, str(base), lambda: file_list(spark)) == [("A", 3)]
+        assert spark.conf.get(key) == str(most + 2)
+    finally:
+        spark.conf.set(key, before)
+    noted = json.loads((base / "checkpoint/offsets/0").read_text().splitlines()[1])
+    assert noted["conf"][key] == str(most)
+    # A session with fewer keeps its own, and so does a query that has begun.
+    put(spark, source, [("B", "g0"), ("B", "g1")])
+    assert accumulate(spark, source, str(base), lambda: file_list(spark)) == [("A", 3), ("B", 2)]
+    noted = json.loads((base / "checkpoint/offsets/1").read_text().splitlines()[1])
+    assert noted["conf"][key] == str(most)
+
+
+def test_threads_do_not_put_back_each_others_settings(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.unset(key)
+
+    def within(wait):
+        time.sleep(wait)
+        with keyed_state(spark):
+            time.sleep(1)
+            return spark.conf.get(key, None)
+
+    try:
+        with ThreadPoolExecutor(2) as threads:
+            assert [*threads.map(within, (0, 0.5))] == [SETTINGS[key]] * 2
+        assert spark.conf.get(key, None) is None
+    finally:
+        spark.conf.set(key, before)
