@@ -15,9 +15,11 @@ from fathomgrid.operators import gps
 from fathomgrid.operators.ordered import Layout
 from fathomgrid.session import few_listing_tasks, stored
 from fathomgrid.sources import stores
+from fathomgrid.sources.folders import TextFile, folder_columns, write_folders
 
 
 _AS_JSON = {"ignoreNullFields": "false"}
+FOLDERS = ["cruise", "file_name"]
 
 
 def write_features(aligned: DataFrame, path: str) -> None:
@@ -25,14 +27,9 @@ def write_features(aligned: DataFrame, path: str) -> None:
 
     Rewriting a file's positions replaces its folder and no other.
     """
-    (
-        gps.features(aligned)
-        .select("cruise", "file_name", F.to_json("feature", _AS_JSON).alias("value"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("cruise", "file_name")
-        .text(path)
-    )
+    lines = gps.features(aligned).select("cruise", "file_name", F.to_json("feature", _AS_JSON).alias("value"))
+    rows = lines.withColumns(folder_columns(FOLDERS)).sortWithinPartitions(*FOLDERS)
+    write_folders(rows, FOLDERS, path, TextFile, ".txt")
 
 
 def write_collections(aligned: DataFrame, path: str, layout: Layout | None = None) -> None:
@@ -41,19 +38,10 @@ def write_collections(aligned: DataFrame, path: str, layout: Layout | None = Non
     Lines are dealt by range of file and ping, so a hot file is written by several tasks: its document is then the
     part files of its folder in the order of their names. `export_documents` makes single files of them.
     """
-    order = ["cruise", "file_name", "part", "ping_idx"]
-    # Folder names hold no null; where Spark knows that, it keeps the order of the lines as it is.
-    folder = {c: F.coalesce(c, F.lit("__HIVE_DEFAULT_PARTITION__")) for c in order[:2]}
-    lines = gps.collection_lines(aligned, layout=layout).withColumns(folder)
-    (
-        lines.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select("cruise", "file_name", F.col("line").alias("value"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("cruise", "file_name")
-        .text(path)
-    )
+    order = [*FOLDERS, "part", "ping_idx"]
+    lines = gps.collection_lines(aligned, layout=layout).withColumns(folder_columns(FOLDERS))
+    rows = lines.repartitionByRange(*order).sortWithinPartitions(*order).select(*FOLDERS, F.col("line").alias("value"))
+    write_folders(rows, FOLDERS, path, TextFile, ".txt")
 
 
 COPY_BYTES = 8_000_000

@@ -7,11 +7,12 @@ import json
 import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from fathomgrid.operators import gps
 from fathomgrid.session import LISTING_TASKS
-from fathomgrid.sources import geojson
+from fathomgrid.sources import folders, geojson
 
 T0 = dt.datetime(2007, 7, 11, 18, 0, 0)
 
@@ -199,3 +200,40 @@ def test_many_folders_are_listed_in_few_tasks(spark, tmp_path):
     tasks = [sc.statusTracker().getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
     assert tasks and max(tasks) <= LISTING_TASKS
     assert features.count() == n and spark.conf.get(key, None) == before
+
+
+def test_folders_are_those_of_partition_by(spark, tmp_path):
+    """Folder names and lines as Spark's own writer leaves them, whatever the names are; others' folders stay."""
+    names = ["f", "", None, "a/b=c d%'\"#*:?\\{[]^\x7f\t\n", "größe", "__HIVE_DEFAULT_PARTITION__"]
+    rows = spark.createDataFrame(
+        [(c, f, f"{c}-{n}-{i}") for c in ("A", None) for n, f in enumerate(names) for i in range(3)],
+        "cruise string, file_name string, value string",
+    )
+    own, there = str(tmp_path / "own"), str(tmp_path / "there")
+    rows.write.partitionBy(*geojson.FOLDERS).text(own)
+
+    def write(df):
+        sent = df.withColumns(folders.folder_columns(geojson.FOLDERS)).repartition(3)
+        folders.write_folders(sent, geojson.FOLDERS, there, folders.TextFile, ".txt")
+
+    write(rows.unionByName(rows))
+    write(rows)
+    below = lambda top: sorted(os.path.relpath(d, top) for d, _, _ in os.walk(top))
+    lines = lambda top: sorted(map(tuple, spark.read.text(top).collect()), key=str)
+    assert below(there) == below(own) and lines(there) == lines(own)
+    assert os.path.exists(f"{there}/_SUCCESS")
+    write(rows.filter("file_name = 'f' and cruise = 'A'").limit(1))
+    assert spark.read.text(there).filter("file_name = 'f' and cruise = 'A'").count() == 1
+    assert spark.read.text(there).count() == rows.count() - 2
+    write(rows.limit(0))
+    assert spark.read.text(there).count() == rows.count() - 2
+
+
+def test_a_write_that_fails_changes_no_folder(spark, tmp_path):
+    path = str(tmp_path / "there")
+    good = spark.range(8).selectExpr("'A' AS cruise", "concat('f', id) AS file_name", "cast(id AS string) AS value")
+    folders.write_folders(good, geojson.FOLDERS, path, folders.TextFile, ".txt")
+    bad = good.repartition(4, "file_name").withColumn("value", F.expr("if(file_name = 'f7', raise_error('lost'), 'new')"))
+    with pytest.raises(Exception, match="lost"):
+        folders.write_folders(bad, geojson.FOLDERS, path, folders.TextFile, ".txt")
+    assert {r["value"] for r in spark.read.text(path).collect()} == {str(i) for i in range(8)}
