@@ -53,6 +53,11 @@ CUBE_CHUNK = _fields(
     ("cruise", _STR), ("time_tile", _LONG), ("depth_tile", T.IntegerType()), ("file_name", _STR),
 )
 
+# Columns of Spark's reader of whole files.
+FILE_CONTENT = _fields(
+    ("path", _STR), ("modificationTime", T.TimestampType()), ("length", _LONG), ("content", T.BinaryType()),
+)
+
 TIME_AXIS = _fields(
     ("time_idx", _LONG), ("ts", _DOUBLE), ("latitude", T.FloatType()), ("longitude", T.FloatType()),
     ("cruise", _STR), ("file_name", _STR),

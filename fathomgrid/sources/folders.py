@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomgrid.session import stored
@@ -22,6 +25,11 @@ def folder_columns(columns: Sequence[str]) -> dict:
     return {c: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit(NO_VALUE)) for c in columns}
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = stores.address_in(spark, path)
+    return at.open().get_file_info(at.folder).type != fs.FileType.NotFound
+
+
 class TextFile:
     """Lines of a column."""
 
@@ -35,6 +43,27 @@ class TextFile:
         pass
 
 
+_CODECS = {"none": "none", "uncompressed": "none", "lz4_raw": "lz4", "lz4raw": "lz4"}
+
+
+class ParquetFile:
+    """Rows of any columns, in groups of about `group_bytes`."""
+
+    def __init__(self, stream, schema: pa.Schema, codec: str, group_bytes: int) -> None:
+        self.writer, self.group_bytes = pq.ParquetWriter(stream, schema, compression=_CODECS.get(codec, codec)), group_bytes
+
+    def write(self, rows: pa.RecordBatch) -> None:
+        self.writer.write_batch(rows, max(1, self.group_bytes * rows.num_rows // max(1, rows.nbytes)))
+
+    def close(self) -> None:
+        self.writer.close()
+
+
+def parquet_file(spark: SparkSession, group_bytes: int) -> Callable:
+    """`ParquetFile` with the session's compression."""
+    return partial(ParquetFile, codec=spark.conf.get("spark.sql.parquet.compression.codec").lower(), group_bytes=group_bytes)
+
+
 def write_folders(rows: DataFrame, columns: Sequence[str], path: str, file: Callable, suffix: str) -> None:
     """Rows below column=value folders, as `partitionBy` with a dynamic overwrite leaves them: a folder that has rows is
     replaced, others stay. Rows of a folder are next to each other in their partition, and keep their order.
@@ -77,8 +106,6 @@ def write_folders(rows: DataFrame, columns: Sequence[str], path: str, file: Call
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in noted], pa.string()) for i in (0, 1)], names=["folder", "name"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         store = into.open()
         for batch in batches:
             for row in batch.to_pylist():

@@ -15,6 +15,7 @@ from fathomgrid import schemas
 from fathomgrid.functions import times
 from fathomgrid.operators import cube, status
 from fathomgrid.session import few_listing_tasks, stored
+from fathomgrid.sources.folders import exists, folder_columns, parquet_file, write_folders
 
 
 def as_status(rows: DataFrame) -> DataFrame:
@@ -148,21 +149,17 @@ def write_chunks(
     are on the axes. Rows stay in the task that made them.
     """
     spark = rows.sparkSession
+    renewed = exists(spark, path)
     pieces = cube.tiled(rows, depth_tile).withColumn("time_tile", cube.time_tile(F.col("time_idx"), time_tile))
-    (
-        pieces.select(*CHUNK, "frequency", "time_idx", "sv")
-        .sortWithinPartitions(*CHUNK, "frequency", "time_idx")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("parquet.block.size", _CHUNK_BYTES)
-        .partitionBy(*CHUNK)
-        .parquet(path)
-    )
+    sent = pieces.select(*CHUNK, "frequency", "time_idx", "sv").sortWithinPartitions(*CHUNK, "frequency", "time_idx")
+    write_folders(sent.withColumns(folder_columns(CHUNK)), CHUNK, path, parquet_file(spark, _CHUNK_BYTES), ".parquet")
+    if not renewed:
+        return
     # What the slices reach now, from their narrow columns.
     reached = rows.groupBy("cruise", "file_name").agg(
         F.min("time_idx").alias("low"), F.max("time_idx").alias("high"), F.max(F.size("sv")).alias("deep")
     )
-    folders = read_chunks(spark, path).select(*CHUNK).distinct()
+    folders = _chunk_folders(spark, path)
     stale = folders.join(reached, ["cruise", "file_name"]).filter(
         (F.col("time_tile") < F.floor(F.col("low") / time_tile))
         | (F.col("time_tile") > F.floor(F.col("high") / time_tile))
@@ -171,6 +168,14 @@ def write_chunks(
     _drop_folders(spark, path, stale, CHUNK)
 
 
+def _chunk_folders(spark: SparkSession, path: str) -> DataFrame:
+    """Folders of the stored chunks, by their names: no file is opened."""
+    named = schemas.FILE_CONTENT.fields + [schemas.CUBE_CHUNK[c] for c in CHUNK]
+    with few_listing_tasks(spark):
+        files = spark.read.format("binaryFile").schema(StructType(named)).option("pathGlobFilter", "part-*").load(path)
+    return files.select(*CHUNK).distinct()
+
+
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     with few_listing_tasks(spark):
         return spark.read.schema(schemas.CUBE_CHUNK).parquet(path)
