@@ -8,6 +8,7 @@ from urllib.parse import unquote
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fathomgrid import schemas
 from fathomgrid.functions import times
@@ -53,8 +54,10 @@ def export_documents(spark: SparkSession, path: str, target: str, name: str = "g
     A task appends the parts of a document block by block, so what it holds is one block however long the document
     is. Nothing is parsed on the way. Part files are found by Spark's listing, their contents are not read by it.
     """
+    # Names of folders are text: Spark would try each for a number and a time, one by one in its driver.
+    named = StructType([*schemas.FILE_CONTENT, *(StructField(c, StringType()) for c in FOLDERS)])
     with few_listing_tasks(spark):
-        listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+        listed = spark.read.format("binaryFile").schema(named).option("pathGlobFilter", "part-*").load(path)
     parts = (
         listed.select("cruise", "file_name", "path")
         .groupBy("cruise", "file_name")

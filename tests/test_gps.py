@@ -237,3 +237,15 @@ def test_a_write_that_fails_changes_no_folder(spark, tmp_path):
     with pytest.raises(Exception, match="lost"):
         folders.write_folders(bad, geojson.FOLDERS, path, folders.TextFile, ".txt")
     assert {r["value"] for r in spark.read.text(path).collect()} == {str(i) for i in range(8)}
+
+
+def test_documents_keep_the_names_of_their_files(spark, tmp_path):
+    path, target = str(tmp_path / "lines"), str(tmp_path / "documents")
+    aligned = spark.range(4).selectExpr(
+        "'0707' AS cruise", "concat('00', id div 2) AS file_name", "id AS ping_idx",
+        "timestamp_ntz '2024-01-01 00:00:00' AS ping_time", "1e0 AS latitude", "2e0 AS longitude",
+    )
+    geojson.write_collections(aligned, path)
+    made = geojson.export_documents(spark, path, target).collect()
+    assert sorted((r["cruise"], r["file_name"]) for r in made) == [("0707", "000"), ("0707", "001")]
+    assert geojson.read_collections(spark, f"{target}/0707/001/geo.json").count() == 2
