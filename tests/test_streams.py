@@ -303,6 +303,26 @@ def test_state_is_dealt_to_few_partitions(spark, tmp_path):
     assert noted["conf"][key] == str(most)
 
 
+def test_a_partition_has_four_stores(spark, tmp_path):
+    """Each open store holds files, threads and memory, so tables of a join share one and checksums add no threads."""
+    source, base = str(tmp_path / "in"), str(tmp_path / "acc")
+    put(spark, source, [("A", "f0"), ("A", "f1"), ("A", "f2")])
+    accumulator.publish_listing(file_list(spark), f"{base}/listed")
+    stream = spark.readStream.schema("cruise_name string, file_name string, event_time timestamp").parquet(source)
+    listed = spark.readStream.schema(accumulator.LISTED).parquet(f"{base}/listed")
+    key = "spark.sql.streaming.checkpoint.fileChecksum.enabled"
+    with keyed_state(spark):
+        assert spark.conf.get(key) == "false"
+        query = (
+            accumulator.completions(stream, listed).writeStream.option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True).foreachBatch(accumulator.completion_writer(base, "stage")).start()
+        )
+    query.awaitTermination()
+    states = query.lastProgress["stateOperators"]
+    assert sum(s["numStateStoreInstances"] for s in states) == 4 * states[0]["numShufflePartitions"]
+    assert [tuple(r) for r in spark.read.parquet(f"{base}/notices").select("cruise_name", "files").collect()] == [("A", 3)]
+
+
 def test_threads_do_not_put_back_each_others_settings(spark):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
