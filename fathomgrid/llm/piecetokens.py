@@ -193,18 +193,26 @@ class ChunkCoder:
 
     def __init__(self, vocabulary: MergeVocabulary):
         self.vocabulary = vocabulary
-        self.held: dict[str, tuple[bytes, str]] = Memo(self._of, HELD_CHUNKS)
+        self.held: dict[str, bytes | tuple[bytes, str]] = Memo(self._of, HELD_CHUNKS)
 
-    def _of(self, chunk: str) -> tuple[bytes, str]:
-        """Decimal ids, each with a comma behind it, and what they decode to."""
+    def _of(self, chunk: str) -> bytes | tuple[bytes, str]:
+        """Decimal ids, each with a comma behind it, and what they decode to where that is not the chunk again."""
         ids = self.vocabulary.ids(chunk)
-        return "".join(f"{i}," for i in ids).encode(), self.vocabulary.surface(ids)
+        written, surface = "".join([f"{i}," for i in ids]).encode(), self.vocabulary.surface(ids)
+        return written if surface == chunk else (written, surface)
 
     def coded(self, text: str) -> tuple[bytes, str]:
         """Comma-joined ids, with a comma at the end, and the decoded text."""
-        held, of = self.held, self._of
-        made = [held[c] if len(c) <= LONGEST_HELD else of(c) for c in self.vocabulary.chunks(text)]
-        return b"".join([m[0] for m in made]), _plain("".join([m[1] for m in made]))
+        chunks = self.vocabulary.chunks(text)
+        if max(map(len, chunks), default=0) <= LONGEST_HELD:
+            made = list(map(self.held.__getitem__, chunks))
+        else:
+            held, of = self.held, self._of
+            made = [held[c] if len(c) <= LONGEST_HELD else of(c) for c in chunks]
+        if tuple in set(map(type, made)):
+            both = [m if type(m) is tuple else (m, c) for m, c in zip(made, chunks, strict=True)]
+            made, chunks = [m[0] for m in both], [m[1] for m in both]
+        return b"".join(made), _plain("".join(chunks))
 
     def digests(self, text: bytes) -> tuple[int, str, str]:
         ids, decoded = self.coded(text.decode("utf-8", "replace"))

@@ -102,3 +102,12 @@ def test_memo_forgets_the_older_half_only():
     for k in (1, 2, 3, 1, 4, 1, 2):
         assert memo[k] == 2 * k
     assert made == [1, 2, 3, 4] and len(memo) <= 3
+
+
+def test_chunks_that_decode_to_themselves_are_held_as_ids_alone(library, vocabulary):
+    coder = piecetokens.ChunkCoder(vocabulary)
+    for text in [*FIXED, "plain words \ud800 plain"]:
+        want = library.encode(text.encode("utf-8", "replace").decode())
+        ids, decoded = coder.coded(text.encode("utf-8", "replace").decode())
+        assert [int(i) for i in ids.split(b",")[:-1]] == want and decoded == library.decode(want), text
+    assert coder.held["▁a"] == b"".join(b"%d," % i for i in vocabulary.ids("▁a"))
