@@ -43,6 +43,9 @@ BUCKET_COUNTERS = 1 << 19
 """Occurrences per bucket, about, and so the most counters that a merge holds."""
 HELD_COUNTERS = 1 << 20
 
+DENSE = {"compression": "zstd"}
+"""How the large intermediate tables are written, whatever the session names."""
+
 # Lower-cases A-Z; what ends a piece becomes a full stop, a tab a space.
 _PLAIN = bytes(
     b + 32 if 65 <= b <= 90 else 46 if b in b",;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256)
@@ -283,11 +286,11 @@ def scored(found: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of each language's best phrases."""
-    cut = store(shards(docs), "shards")
+    cut = store(shards(docs), "shards", **DENSE)
     each = cut.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select(
         "shard", "lang", (F.col("at") + 1).alias("place"), F.col("w.words").alias("word"), F.col("w.counts").alias("count")
     )
-    totals = store(each.groupBy("lang", "word").agg(F.sum("count").alias("f")), "words")
+    totals = store(each.groupBy("lang", "word").agg(F.sum("count").alias("f")), "words", **DENSE)
     sizes = totals.groupBy("lang").agg(F.sum("f").alias("n"))
     # Two numbers set the widths of packed n-grams and of buckets.
     frequent = F.when(F.col("f") >= least, F.col("f"))
@@ -302,8 +305,8 @@ def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST) -> DataF
     # As many entries as the shard has words, which its size bounds.
     listed = known.groupBy("shard", "lang").agg(F.collect_list(F.struct("place", "id")).alias("known"))
     shard = cut.select("shard", "lang", "places").join(listed, ["shard", "lang"]).select("places", "known")
-    parts = store(filters(shard, bits, bucket_bits), "filters")
-    whole = store(merged_filters(parts, bits, bucket_bits), "merged")
+    parts = store(filters(shard, bits, bucket_bits), "filters", **DENSE)
+    whole = store(merged_filters(parts, bits, bucket_bits), "merged", **DENSE)
     found = store(frequent_grams(whole, bits, bucket_bits, least), "grams")
 
     ranking = store(scored(found, dictionary), "scored")

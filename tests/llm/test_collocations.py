@@ -126,3 +126,13 @@ def test_nothing_to_count(spark):
     docs = phrases(spark)
     assert collocations.collocations(docs.filter("false")).collect() == []
     assert collocations.collocations(docs.filter("lang = 'xx'")).collect() == []
+
+
+def test_intermediate_tables_are_written_densely(spark):
+    before = spark.conf.get("spark.sql.parquet.compression.codec")
+    spark.conf.set("spark.sql.parquet.compression.codec", "snappy")
+    try:
+        kept = collocations.store(spark.range(3), "dense", **collocations.DENSE)
+    finally:
+        spark.conf.set("spark.sql.parquet.compression.codec", before)
+    assert kept.count() == 3 and all(f.endswith(".zstd.parquet") for f in kept.inputFiles())
