@@ -50,7 +50,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         for batch in batches:
             made: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, ids in zip(
-                batch.column("doc_id").to_pylist(), encoder.ids(batch.column("text").to_pylist()), strict=True
+                batch.column("doc_id").to_pylist(), encoder.ids(batch.column("text")), strict=True
             ):
                 ids += end
                 for number, at in enumerate(range(0, len(ids), width)):

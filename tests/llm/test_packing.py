@@ -2,8 +2,9 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
-from fathomgrid.llm import packing
+from fathomgrid.llm import packing, tokens
 from fathomgrid.llm.common import store
 from fathomgrid.llm.queries import tokenizer_path
 
@@ -61,6 +62,42 @@ def test_odd_texts_keep_their_ids(spark):
     assert check_ids(rows, ids, packing.CAPACITY) == {k: len(v) for k, v in ids.items()}
 
 
+def plain_ids(text):
+    from tokenizers import Tokenizer
+
+    return np.array(Tokenizer.from_file(tokenizer_path()).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_new_words_are_encoded_many_in_a_row(monkeypatch):
+    dice = random.Random(5)
+    words = ["".join(dice.choices("abcdefgß", k=9)) + dice.choice(["", "", ",", ".)"]) for _ in range(3000)]
+    text, asked = " ".join(words), []
+    encode = tokens.Encoder._encode
+    monkeypatch.setattr(tokens.Encoder, "_encode", lambda self, texts: asked.append(len(texts)) or encode(self, texts))
+    encoder = tokens.Encoder(tokenizer_path())
+    assert list(encoder.ids(pa.array([text.encode()], pa.binary()))) == [plain_ids(text)]
+    assert sum(asked) < 30
+    # Known words are asked for no more, and a tokenizer without a mark gives the same ids.
+    asked.clear()
+    again = text.upper().replace("SS", "ß")
+    assert list(encoder.ids(pa.array([again.encode()], pa.binary()))) == [plain_ids(again)] and sum(asked) == 0
+    unmarked = tokens.Encoder(tokenizer_path())
+    unmarked.ends = None
+    assert list(unmarked.ids(pa.array([text.encode()], pa.binary()))) == [plain_ids(text)]
+
+
+def test_ids_of_bytes_that_are_no_utf8_and_of_part_of_a_column(monkeypatch):
+    monkeypatch.setattr(tokens, "_HELD_WORDS", 2)
+    monkeypatch.setattr(tokens, "_HELD_CHUNKS", 2)
+    texts = [b"skipped", b"", b" \t\x0b x\x1cY ", b"ab\xff\xfe cd\xc3 \xc3\x9f\xc3 \xe2\x82 x", b"A<|endoftext|>B <|ENDOFTEXT|> C", b"one two, three. one Two", b"\xc3"]
+    encoder = tokens.Encoder(tokenizer_path())
+    for _ in range(3):
+        got = [i for t in range(1, len(texts)) for i in encoder.ids(pa.array(texts, pa.binary()).slice(t, 1))]
+        assert got == [plain_ids(t.decode("utf-8", "replace")) for t in texts[1:]]
+    assert list(encoder.ids(pa.array(texts, pa.binary()).slice(1))) == got
+    assert list(encoder.ids(pa.array([], pa.binary()))) == []
+
+
 def test_awkward_rows(awkward, nothing):
     rows = packing.pack(awkward, tokenizer_path(), capacity=256).collect()
     check(rows, 256)
