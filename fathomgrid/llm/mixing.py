@@ -54,6 +54,8 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Data
     budget = ranked.agg(F.sum("source_size")).first()[0] or 0
     full, known = F.lit(False), -1
     left, weight = budget, 1
+    # A literal below 2^31 is an int, and so is a weight: their product would pass an int.
+    shared = lambda: F.col("weight") * F.lit(left).cast("bigint")
     while True:
         # One row: what is capped so far, and the weight of the rest.
         capped, count, weight = ranked.agg(
@@ -66,8 +68,8 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Data
             break
         known = count
         # Shares only grow, so a capped source stays capped.
-        full = F.col("most") * weight <= F.col("weight") * F.lit(left)
-    share = (F.col("weight") * F.lit(left)).cast("double") / F.lit(float(max(weight, 1)))
+        full = F.col("most") * weight <= shared()
+    share = shared().cast("double") / F.lit(float(max(weight, 1)))
     target = F.when(full, F.col("most").cast("double")).otherwise(share)
     return store(ranked.select("source", "source_size", "source_rows", "rank", target.alias("target")), "targets")
 

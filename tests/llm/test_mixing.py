@@ -16,6 +16,17 @@ def plain_targets(sizes):
         full = new
 
 
+def test_targets_of_many_words(spark):
+    """Budgets whose product with a weight passes 32 bits, below and above 2^31 words."""
+    for scale in (10**8, 4 * 10**8, 10**12):
+        sizes = {s: n * scale for s, n in zip("abcdef", (1, 2, 1, 0, 3, 2), strict=True)}
+        sized = spark.createDataFrame(list(sizes.items()), "source string, size long")
+        found = {r["source"]: (r["source_size"], r["target"]) for r in mixing.source_targets(sized).collect()}
+        assert {s: n for s, (n, _) in found.items()} == sizes
+        want = plain_targets(sizes)
+        assert all(abs(t - want[s]) <= 1e-9 * sum(sizes.values()) for s, (_, t) in found.items())
+
+
 def test_sql(spark):
     for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
         verdict, *_ = compare(spark, connect(sf), sf, "op4_source_mixing", QUERIES["op4_source_mixing"], ORACLES["op4_source_mixing"])
