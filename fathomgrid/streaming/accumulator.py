@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -19,6 +22,10 @@ from fathomgrid.streaming.sinks import batch_writer
 KEYS = ["cruise_name", "file_name"]
 SALTS = 64
 """Parts the cruises are counted in: a call of the processor takes the rows of a part, not of one cruise."""
+BUCKETS = 512
+"""Entries of a part's state: the cruises of an entry are read and written in one call."""
+COMBINED = 500_000
+"""Rows a task keeps before it adds them up by cruise."""
 
 NOTICES = "cruise_name string, stage string, files long, notice_time timestamp, batch_id long"
 LISTED = "cruise_name string, file_name string, expected long"
@@ -50,13 +57,14 @@ def completed_cruises(finished: DataFrame, files: DataFrame) -> DataFrame:
     return totals.filter("finished = expected")
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """None where nothing was written yet."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None
 
 
 def publish_listing(files: DataFrame, path: str) -> None:
@@ -64,35 +72,70 @@ def publish_listing(files: DataFrame, path: str) -> None:
 
     A cruise that is listed in several steps is complete when the last number published is reached.
     """
-    known = _read(files.sparkSession, path, LISTED).select(*KEYS)
-    fresh = listed_files(files).join(known, KEYS, "left_anti")
-    counts = known.unionByName(fresh).distinct().groupBy("cruise_name").agg(F.count(F.lit(1)).alias("expected"))
+    known = _read(files.sparkSession, path, LISTED)
+    if known is None:
+        fresh = together = listed_files(files)
+    else:
+        fresh = listed_files(files).join(known.select(*KEYS), KEYS, "left_anti")
+        together = known.select(*KEYS).unionByName(fresh).distinct()
+    counts = together.groupBy("cruise_name").agg(F.count(F.lit(1)).alias("expected"))
     rows = fresh.join(counts, "cruise_name").select(*KEYS, "expected")
-    if not rows.isEmpty():
+    if known is None or not rows.isEmpty():
         rows.write.mode("append").parquet(path)
 
 
+COUNTS = ["bucket", "cruise_name", "met", "expected"]
+
+
+def _by_cruise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cruise_name, met, expected) added up by cruise, some `COMBINED` rows at a time."""
+
+    def summed(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).group_by("cruise_name").aggregate([("met", "sum"), ("expected", "max")])
+        columns = [table.column(c) for c in ("cruise_name", "met_sum", "expected_max")]
+        # As the rows that come, so that both can be added up again.
+        return pa.Table.from_arrays(columns, schema=held[0].schema).to_batches()
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= COMBINED:
+            held = summed(held)
+            rows = sum(b.num_rows for b in held)
+            if 2 * rows >= COMBINED:
+                yield from held
+                held, rows = [], 0
+    if held:
+        yield from summed(held)
+
+
 class _Cruises(StatefulProcessor):
     """Per part of the cruises: how many files of each are met, how many there are, and whether that was reported."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.totals = handle.getMapState("totals", "cruise_name string", "met long, expected long, reported boolean")
+        # Each call for state costs some hundred times what a cruise in it does, so cruises share entries:
+        # {cruise: [met, expected, reported]} as JSON.
+        self.totals = handle.getMapState("totals", "bucket long", "cruises string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        told: dict[str, tuple[int, int]] = {}
+        told: dict[int, dict[str, tuple[int, int]]] = defaultdict(dict)
         for part in rows:
-            sums = part.groupby("cruise_name").agg({"met": "sum", "expected": "max"})
-            for name, met, expected in sums.itertuples(name=None):
-                before = told.get(name, (0, 0))
-                told[name] = (before[0] + int(met), max(before[1], int(expected)))
+            for bucket, name, met, expected in zip(*(part[c].tolist() for c in COUNTS), strict=True):
+                before = told[bucket].get(name, (0, 0))
+                told[bucket][name] = (before[0] + met, max(before[1], expected))
         full = []
-        for name, (more, number) in told.items():
-            met, expected, reported = self.totals.getValue((name,)) or (0, 0, False)
-            met, expected = met + more, max(expected, number)
-            done = not reported and met >= expected > 0
-            self.totals.updateValue((name,), (met, expected, reported or done))
-            if done:
-                full.append((name, met, expected))
+        for bucket, cruises in told.items():
+            found = self.totals.getValue((bucket,))
+            totals = json.loads(found[0]) if found else {}
+            for name, (more, number) in cruises.items():
+                met, expected, reported = totals.get(name, (0, 0, False))
+                met, expected = met + more, max(expected, number)
+                done = not reported and met >= expected > 0
+                totals[name] = (met, expected, reported or done)
+                if done:
+                    full.append((name, met, expected))
+            self.totals.updateValue((bucket,), (json.dumps(totals),))
         if full:
             yield pd.DataFrame(full, columns=["cruise_name", "finished", "expected"])
 
@@ -105,18 +148,30 @@ def completions(finished: DataFrame, listed: DataFrame, salts: int = SALTS) -> D
 
     `finished` is a stream of (cruise_name, file_name), `listed` one of (cruise_name, file_name, expected) as
     `publish_listing` writes it. Repeats change nothing; finishes of files that are not listed are held until
-    they are: a file is met once, when the join of both streams finds it, so files of a hot cruise are keys of their
-    own. A batch touches the state of the files it names and of their cruises, whatever came before. Its query is
-    started within `keyed_state`, or in a session that keeps state in RocksDB.
+    they are. The files of a cruise that are listed and finished are those listed and those finished less those that
+    are one or the other, so three distinct streams count them without a join, and files of a hot cruise are keys of
+    their own. A batch touches the state of the files it names and of their cruises, whatever came before. `finished`
+    is read twice. Its query is started within `keyed_state`, or in a session that keeps state in RocksDB.
     """
-    known = listed.select(*KEYS, "expected").dropna(subset=KEYS)
-    done = finished.select(*KEYS).dropna(subset=KEYS).dropDuplicates(KEYS)
-    met = known.select(*KEYS).dropDuplicates(KEYS).join(done, KEYS)
-    none = F.lit(0).cast("long")
-    counts = met.select("cruise_name", F.lit(1).cast("long").alias("met"), none.alias("expected")).unionByName(
-        known.select("cruise_name", none.alias("met"), "expected")
+    known = listed.dropna(subset=KEYS)
+    done = finished.select(*KEYS).dropna(subset=KEYS)
+    either = known.select(*KEYS).unionByName(done)
+
+    def tells(rows: DataFrame, met: int, expected: Column) -> DataFrame:
+        return rows.select("cruise_name", F.lit(met).cast("long").alias("met"), expected.cast("long").alias("expected"))
+
+    counts = (
+        tells(known.select(*KEYS).dropDuplicates(KEYS), 1, F.lit(0))
+        .unionByName(tells(done.dropDuplicates(KEYS), 1, F.lit(0)))
+        .unionByName(tells(either.dropDuplicates(KEYS), -1, F.lit(0)))
+        .unionByName(tells(known, 0, F.col("expected")))
+    )
+    # A cruise's rows meet once as columns, so that the processor gets one row of each.
+    summed = counts.repartition("cruise_name").mapInArrow(_by_cruise, counts.schema)
+    hashed = F.xxhash64("cruise_name")
+    parted = summed.withColumns(
+        {"part": F.pmod(hashed, F.lit(salts)), "bucket": F.pmod(F.shiftrightunsigned(hashed, 32), F.lit(BUCKETS))}
     )
-    parted = counts.withColumn("part", F.pmod(F.xxhash64("cruise_name"), F.lit(salts)))
     return parted.groupBy("part").transformWithStateInPandas(
         _Cruises(), "cruise_name string, finished long, expected long", "Append", "None"
     )
@@ -169,7 +224,8 @@ def run_accumulator(
             .start()
         )
     query.awaitTermination()
-    return _read(spark, f"{base}/notices", NOTICES)
+    notices = _read(spark, f"{base}/notices", NOTICES)
+    return spark.createDataFrame([], NOTICES) if notices is None else notices
 
 
 def completion_notices(completed: DataFrame, stage: str) -> DataFrame:

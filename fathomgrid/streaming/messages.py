@@ -74,23 +74,28 @@ def requested_file(events: DataFrame) -> DataFrame:
     return events.filter(F.col("file_name") == F.col("input_file_name"))
 
 
-def failures(parsed: DataFrame, reason: str = "malformed message") -> DataFrame:
-    """Status rows for messages that cannot be processed; what could be read is kept."""
-    return parsed.filter(~F.col("valid")).select(
+def failures(parsed: DataFrame, reason: str = "malformed message", done: str | None = None) -> DataFrame:
+    """Status rows for messages that cannot be processed; what could be read is kept.
+
+    With a status `done`, those that can be processed have rows too, of that status and without a reason: both kinds
+    from one reading and parsing of a stream, which a union of two selections of it would take twice.
+    """
+    failed = ~F.col("valid")
+    return (parsed.filter(failed) if done is None else parsed).select(
         *[c for c in ("event_seq", "event_time") if c in parsed.columns],
         F.col("input_file_name").alias("file_name"),
         "ship_name",
         "cruise_name",
         "sensor_name",
-        F.lit(FAILURE).alias("pipeline_status"),
-        F.lit(reason).alias("reason"),
+        F.when(failed, FAILURE).otherwise(done).alias("pipeline_status"),
+        F.when(failed, reason).alias("reason"),
     )
 
 
-def finished_events(done: DataFrame, failed: DataFrame) -> DataFrame:
+def finished_events(*outcomes: DataFrame) -> DataFrame:
     """Completions and failures together: a failed file still counts towards its cruise."""
     columns = ["cruise_name", "file_name", "event_time"]
-    return done.select(*columns).unionByName(failed.select(*columns)).dropna(
+    return reduce(DataFrame.unionByName, [o.select(*columns) for o in outcomes]).dropna(
         subset=["cruise_name", "file_name"]
     )
 

@@ -6,6 +6,7 @@ import os
 import time
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -212,6 +213,81 @@ def test_cost_of_a_batch_does_not_grow_with_history(spark, tmp_path):
     assert max(touched[-2 * third :]) <= 40 and sum(touched[-third:]) <= 1.2 * sum(touched[-2 * third : -third])
 
 
+def test_cruises_share_entries_of_state(spark, tmp_path):
+    """A batch asks the state once for many cruises, and each is still counted and reported by itself."""
+    source, base, n = str(tmp_path / "in"), str(tmp_path / "acc"), 4 * accumulator.BUCKETS
+    files = [(f"C{i}", f"f{i}-{j}") for i in range(n) for j in range(2)]
+    listing = lambda: file_list(spark, files)
+    put(spark, source, [f for f in files if f[1].endswith("-0")])
+    accumulator.publish_listing(listing(), f"{base}/listed")
+    stream = lambda: spark.readStream.schema("cruise_name string, file_name string, event_time timestamp").parquet(source)
+    listed = lambda: spark.readStream.schema(accumulator.LISTED).parquet(f"{base}/listed")
+
+    def run():
+        with keyed_state(spark):
+            query = (
+                accumulator.completions(stream(), listed(), salts=1).writeStream.trigger(availableNow=True)
+                .option("checkpointLocation", f"{base}/checkpoint").foreachBatch(accumulator.completion_writer(base, "stage")).start()
+            )
+        query.awaitTermination()
+        states = [s for p in query.recentProgress for s in p["stateOperators"] if s["operatorName"].startswith("transform")]
+        notices = spark.read.schema(accumulator.NOTICES).parquet(f"{base}/notices").select("cruise_name", "files").collect()
+        return max(s["numRowsUpdated"] for s in states), notices
+
+    touched, rows = run()
+    assert 0 < touched <= accumulator.BUCKETS and rows == []
+    put(spark, source, [f for f in files if f[1].endswith("-1") and f[0] != "C7"])
+    _, rows = run()
+    assert sorted(tuple(r) for r in rows) == sorted((f"C{i}", 2) for i in range(n) if i != 7)
+    put(spark, source, [("C7", "f7-1"), ("C8", "f8-1")])
+    _, rows = run()
+    assert sorted(tuple(r) for r in rows) == sorted((f"C{i}", 2) for i in range(n))
+
+
+@pytest.mark.parametrize("most", [1, 7, 100, 10_000])
+def test_counts_are_added_up_in_parts(monkeypatch, most):
+    monkeypatch.setattr(accumulator, "COMBINED", most)
+    schema = pa.schema([("cruise_name", pa.string()), pa.field("met", pa.int64(), False), pa.field("expected", pa.int64(), False)])
+    rows = [(f"C{i * i % 11}", i % 2, i % 5) for i in range(200)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows[i : i + 9]], schema) for i in range(0, 200, 9)]
+    found, made = {}, 0
+    for batch in accumulator._by_cruise(iter(batches)):
+        assert batch.schema == schema
+        made += batch.num_rows
+        for name, met, expected in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            before = found.get(name, (0, 0))
+            found[name] = (before[0] + met, max(before[1], expected))
+    want = {n: (sum(m for c, m, _ in rows if c == n), max(e for c, _, e in rows if c == n)) for n, *_ in rows}
+    assert found == want and (most < 10_000 or made == len(want))
+
+
+def test_messages_of_both_outcomes_are_parsed_once(spark, tmp_path):
+    fields = {"prefix": "p", "ship_name": "S", "sensor_name": "EK60", "input_bucket": "i", "output_bucket": "o"}
+    texts = [
+        json.dumps(fields | {"cruise_name": "A", "input_file_name": "f0"}),
+        json.dumps({**fields, "cruise_name": "A", "input_file_name": "f1"} | {"sensor_name": None}),
+        json.dumps({k: v for k, v in fields.items() if k != "ship_name"} | {"cruise_name": "B", "input_file_name": "g"}),
+        json.dumps(fields | {"cruise_name": "B"}),
+        "{broken",
+    ]
+    notes = spark.createDataFrame([(i, T0, wrapped(t)) for i, t in enumerate(texts)], "event_seq long, event_time timestamp, value string")
+    parsed = messages.parse_messages(notes)
+    done = parsed.filter("valid").withColumn("file_name", F.col("input_file_name"))
+    apart = messages.finished_events(done, messages.failures(parsed))
+    both = messages.failures(parsed, done="SUCCESS")
+    assert sorted(messages.finished_events(both).collect()) == sorted(apart.collect()) and apart.count() == 3
+    assert both.filter("reason is not null").collect() == messages.failures(parsed).collect()
+    assert [r["event_seq"] for r in both.filter("pipeline_status = 'SUCCESS' and reason is null").collect()] == [0]
+    # The query reads its messages once a batch.
+    source = str(tmp_path / "in")
+    notes.repartition(1).write.parquet(source)
+    stream = messages.parse_messages(spark.readStream.schema(notes.schema).parquet(source))
+    query = sinks.run_available(
+        messages.finished_events(messages.failures(stream, done="SUCCESS")), str(tmp_path / "out"), str(tmp_path / "cp")
+    )
+    assert sum(p["numInputRows"] for p in query.recentProgress) == len(texts)
+
+
 def test_failures_complete_a_cruise(spark):
     done = spark.createDataFrame([("A", "f0", T0)], "cruise_name string, file_name string, event_time timestamp")
     failed = spark.createDataFrame(

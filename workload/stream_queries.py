@@ -237,8 +237,7 @@ def message_completion(spark, d):
     )
     stream = _stream_of(spark, made.select("event_seq", "event_time", value.alias("value")), "notifications")
     parsed = messages.parse_messages(stream)
-    done = parsed.filter("valid").withColumn("file_name", F.col("input_file_name"))
-    finished = messages.finished_events(done, messages.failures(parsed))
+    finished = messages.finished_events(messages.failures(parsed, done=status.SUCCESS))
     notices = accumulator.run_accumulator(finished, lambda: listed, scratch_path(spark, "accumulator"))
     return notices.groupBy("cruise_name", "files").agg(F.count(F.lit(1)).alias("notices"))
 
